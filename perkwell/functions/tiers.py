@@ -10,30 +10,35 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 MAX_TIERS = 1000
+LADDER = "_ladder"
 
 
-def tier_ladder(tiers: DataFrame) -> Column:
-    """All tiers as a sorted array of (points_required, tier_id).
+def with_ladder(rows: DataFrame, tiers: DataFrame) -> DataFrame:
+    """Add all tiers to each row as a sorted array of (points_required, tier_id).
 
-    Reads at most ``MAX_TIERS + 1`` rows and fails beyond the bound.
+    Reads at most ``MAX_TIERS + 1`` tiers and fails beyond the bound.
     """
     bounded = tiers.select("points_required", "tier_id").limit(MAX_TIERS + 1)
     steps = F.sort_array(F.collect_list(F.struct("points_required", "tier_id")))
     checked = F.when(F.count("*") <= MAX_TIERS, steps).otherwise(
         F.raise_error(F.lit(f"more than {MAX_TIERS} tiers"))
     )
-    return bounded.agg(checked.alias("ladder")).scalar()
+    return rows.withColumn(LADDER, bounded.agg(checked.alias(LADDER)).scalar())
 
 
-def tier_by_points(ladder: Column, points: Column) -> Column:
+def tier_by_points(points: Column) -> Column:
     """The reached tier with the most required points; NULL if none is reached."""
-    return F.array_max(_reached(ladder, points))["tier_id"]
+    return F.array_max(_reached(points))["tier_id"]
 
 
-def highest_reached_tier(ladder: Column, points: Column) -> Column:
+def highest_reached_tier(points: Column) -> Column:
     """The largest tier id among the reached tiers; NULL if none is reached."""
-    return F.array_max(F.transform(_reached(ladder, points), lambda s: s["tier_id"]))
+    return F.array_max(F.transform(_reached(points), lambda step: step["tier_id"]))
 
 
-def _reached(ladder: Column, points: Column) -> Column:
-    return F.filter(ladder, lambda s: s["points_required"] <= points)
+def every_tier() -> Column:
+    return F.transform(LADDER, lambda step: step["tier_id"])
+
+
+def _reached(points: Column) -> Column:
+    return F.filter(LADDER, lambda step: step["points_required"] <= points)

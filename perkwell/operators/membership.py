@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from perkwell.functions.columns import (
     day_start, floor_days, joined_text, moment, number_text, plus_days, plus_months, strict_greatest,
 )
-from perkwell.functions.tiers import highest_reached_tier, tier_ladder
+from perkwell.functions.tiers import LADDER, highest_reached_tier, with_ladder
 from perkwell.operators.audit import activity_rows
 from perkwell.operators.ordered_spend import spend_in_order
 
@@ -294,11 +294,14 @@ def downgrade_tiers(ledger: DataFrame, customers: DataFrame, tiers: DataFrame, a
         (F.col("transaction_type") == "EXPIRY")
         & (F.col("transaction_date") >= today) & (F.col("transaction_date") < plus_days(today, 1))
     )
-    return (
+    rows = (
         customers.select("customer_id", "tier_id", "points_balance")
         .join(touched.select("customer_id"), "customer_id", "left_semi")
         .join(tiers.select("tier_id"), "tier_id", "left_semi")
-        .withColumn("qualified", highest_reached_tier(tier_ladder(tiers), F.col("points_balance")))
+    )
+    return (
+        with_ladder(rows, tiers)
+        .withColumn("qualified", highest_reached_tier(F.col("points_balance")))
         .where(F.col("qualified") < F.col("tier_id"))
         .select("customer_id", F.col("tier_id").alias("old_tier_id"), F.col("qualified").alias("new_tier_id"))
     )
@@ -330,9 +333,9 @@ def expiry_run(
 def realign_tiers(customers: DataFrame, tiers: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
     """Move every customer to the highest reached tier, up or down, with a history row."""
     changed = (
-        customers.select("customer_id", "tier_id", "points_balance")
-        .withColumn("new_tier_id", highest_reached_tier(tier_ladder(tiers), F.col("points_balance")))
-        .where(F.col("new_tier_id") != F.col("tier_id"))
+        with_ladder(customers.select("customer_id", "tier_id", "points_balance"), tiers)
+        .withColumn("new_tier_id", highest_reached_tier(F.col("points_balance")))
+        .where(F.col("new_tier_id") != F.col("tier_id")).drop(LADDER)
     )
     history = changed.select(
         "customer_id", F.col("tier_id").alias("old_tier_id"), "new_tier_id",

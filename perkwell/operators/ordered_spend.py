@@ -26,15 +26,17 @@ MAX_GROUP = 1000
 
 
 def spend_in_order(
-    entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str, max_group: int | None = None
+    entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str, max_group: int | None = None,
+    written: bool = False,
 ) -> DataFrame:
     """Return ``entries`` with a boolean ``accepted`` column.
 
     ``order`` must be total within a key. Amounts are whole and not negative, and
-    ``budget`` is the starting budget, repeated on each row of the key.
+    ``budget`` is the starting budget, repeated on each row of the key. ``written``
+    says that ``entries`` already reads from a checkpoint and need not be cut again.
     """
     max_group = MAX_GROUP if max_group is None else max_group
-    entries = cut(entries)
+    entries = entries if written else cut(entries)
     sizes = entries.groupBy(key).agg(F.count("*").alias("_n"))
     large = sizes.where(F.col("_n") > max_group).select(key)
     if large.isEmpty():
@@ -106,7 +108,7 @@ def _next_phase(items: DataFrame, state: DataFrame, key: str) -> DataFrame:
         .withColumn("_small", F.when(size < below, size).otherwise(0))
     )
     sums = active.groupBy(key, BLOCK).agg(F.sum("_small").alias("_sum"))
-    offsets = block_offsets(sums, [key], "_sum", "_before")
+    offsets = block_offsets(sums, "_sum", "_before", [key])
     within = Window.partitionBy(key, BLOCK).orderBy(PLACE)
     left_here = left - F.col("_before") - F.sum("_small").over(within)
     is_big = size >= below

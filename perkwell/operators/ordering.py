@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from perkwell.sources.checkpoints import cut
 
@@ -28,10 +28,15 @@ def place_in_order(df: DataFrame, by: Sequence[str]) -> DataFrame:
     return blocks.withColumn(PLACE, F.shiftleft(F.col(BLOCK), _ROW_BITS) + F.row_number().over(within))
 
 
-def block_offsets(blocks: DataFrame, keys: Sequence[str], value: str, name: str) -> DataFrame:
-    """Per key and block, the sum of ``value`` over the earlier blocks of the key.
+def row_in_block() -> Column:
+    """The row number within the block, counted from 1."""
+    return F.col(PLACE) - F.shiftleft(F.col(BLOCK), _ROW_BITS)
 
-    ``blocks`` has one row per key and block, so a window holds at most as many
+
+def block_offsets(blocks: DataFrame, value: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
+    """The sum of ``value`` over the earlier blocks, within each combination of ``keys``.
+
+    ``blocks`` has one row per block (and keys), so a window holds at most as many
     rows as there are partitions.
     """
     earlier = Window.partitionBy(*keys).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DecimalType, LongType, StringType, StructField, StructType, TimestampNTZType
 
 # Table layouts. Dates and times carry no zone.
 _COLUMNS = {
@@ -55,7 +56,18 @@ _COLUMNS = {
         ip_address STRING, details STRING""",
 }
 
-SCHEMAS: dict[str, StructType] = {name: StructType.fromDDL(ddl) for name, ddl in _COLUMNS.items()}
+_TYPES = {"BIGINT": LongType(), "STRING": StringType(), "TIMESTAMP_NTZ": TimestampNTZType()}
+_COLUMN = re.compile(r"(\w+) (?:(BIGINT|STRING|TIMESTAMP_NTZ)|DECIMAL\((\d+),(\d+)\))( NOT NULL)?")
+
+
+def _struct(columns: str) -> StructType:
+    return StructType([
+        StructField(m[1], _TYPES[m[2]] if m[2] else DecimalType(int(m[3]), int(m[4])), not m[5])
+        for m in _COLUMN.finditer(columns)
+    ])
+
+
+SCHEMAS: dict[str, StructType] = {name: _struct(columns) for name, columns in _COLUMNS.items()}
 TABLES = tuple(SCHEMAS)
 
 PRIMARY_KEYS: dict[str, tuple[str, ...]] = {

@@ -298,8 +298,8 @@ class RetailLoyalty:
     """Loyalty tables over the parquet files of one directory, built on first use."""
 
     def __init__(self, spark: SparkSession, directory: str):
-        self._spark = spark
-        self._directory = directory
+        self.spark = spark
+        self.directory = directory
         self._tables: dict[str, DataFrame] = {}
 
     @cached_property
@@ -307,7 +307,7 @@ class RetailLoyalty:
         return loyalty_selects(SPARK)
 
     def source(self, name: str) -> DataFrame:
-        return self._spark.read.parquet(f"{self._directory}/{name}.parquet")
+        return self.spark.read.parquet(f"{self.directory}/{name}.parquet")
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
@@ -315,9 +315,23 @@ class RetailLoyalty:
         if name not in self._tables:
             text = self._selects[name]
             sources = {src: self.source(src) for src in set(_PLACEHOLDER.findall(text))}
-            self._tables[name] = self._spark.sql(text, **sources)
+            self._tables[name] = self.spark.sql(text, **sources)
         return self._tables[name]
 
+    def stream(self, table: str, source: str) -> DataFrame:
+        """A loyalty table over the files of ``source`` as a stream; its other inputs stay batch."""
+        files = (
+            self.spark.readStream.schema(self.source(source).schema)
+            .option("pathGlobFilter", f"{source}.parquet").option("maxFilesPerTrigger", 1).parquet(self.directory)
+        )
+        # A stream cannot count itself, so the text gets the count of the present files.
+        counting = f"(SELECT count(*) FROM {{{source}}})"
+        text = self._selects[table]
+        if counting in text:
+            text = text.replace(counting, str(self.source(source).count()))
+        others = {src: self.source(src) for src in set(_PLACEHOLDER.findall(text)) if src != source}
+        return self.spark.sql(text, **{source: files}, **others)
+
 
 def duckdb_prelude(query: str) -> str:
     """Put the loyalty tables a DuckDB query names (as ``ly_<table>``) in front of it."""
