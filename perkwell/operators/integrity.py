@@ -74,11 +74,8 @@ def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     parts = []
     for name, rows in tables.items():
         for key in [PRIMARY_KEYS[name], *[(c,) for c in UNIQUE_COLUMNS.get(name, ())]]:
-            present = rows
-            for column in key:
-                present = present.where(F.col(column).isNotNull())
             parts.append(
-                present.groupBy(*key).agg(F.count("*").alias("row_count")).where("row_count > 1")
+                rows.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("row_count")).where("row_count > 1")
                 .select(
                     F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key_name"),
                     F.concat_ws("|", *[F.col(c).cast("string") for c in key]).alias("key_value"), "row_count",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -331,8 +330,3 @@ def create_setmeal_orders(
         "orders": orders, "order_items": lines, "promotions": new_promotions, "rejects": rejects,
         "activity": activity_rows(made.unionByName(failed), "ORDER", as_of, customer="customer_id"),
     }
-
-
-def items_frame(items: DataFrame, ids: Sequence[int]) -> DataFrame:
-    """The given item ids as a DataFrame."""
-    return items.sparkSession.createDataFrame([(i,) for i in ids], "item_id long")

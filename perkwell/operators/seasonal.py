@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -54,7 +53,8 @@ def seasonal_item_performance(
             F.sum("quantity").alias("quantity"), F.count("quantity").alias("sized_lines"),
         )
     )
-    redeemed = redemptions.where(F.col("order_id").isNotNull()).groupBy("order_id", "promotion_id").agg(
+    # Both uses below need these keys; filtering here lets them share one shuffle.
+    redeemed = redemptions.dropna(subset=["order_id", "promotion_id"]).groupBy("order_id", "promotion_id").agg(
         F.count("redemption_id").alias("times")
     )
     per_order = redeemed.groupBy("order_id").agg(F.sum("times").alias("redeemed"))
@@ -277,8 +277,3 @@ def expire_seasonal_items(items: DataFrame, promotions: DataFrame, as_of: dateti
         "menu_items": switched, "removed_promotions": removed.select(promotions.columns),
         "activity": activity_rows(reports, "SEASONAL_EXPIRATION", as_of),
     }
-
-
-def names_frame(items: DataFrame, names: Sequence[str]) -> DataFrame:
-    """The given names as a DataFrame."""
-    return items.sparkSession.createDataFrame([(n,) for n in names], "name string")

@@ -362,7 +362,9 @@ SQL: dict[str, str] = {
             CAST(p.discount_value AS DOUBLE) AS discount_value, p.set_meal_id
         FROM ly_promotions p WHERE p.set_meal_id IN (SELECT item_id FROM ly_menu_items WHERE item_type = 'SEASONAL'
             AND name IN (SELECT name FROM ly_menu_items WHERE item_type = 'SEASONAL' AND is_active = 'N'))""",
-    "tier_requirements": "SELECT tier_id, tier_name, points_required FROM ly_membership_tiers",
+    "tier_requirements": """
+        SELECT tier_id, tier_name, points_required FROM ly_membership_tiers
+        WHERE tier_id IN (SELECT tier_id FROM ly_customers)""",
     "used_promotions": "SELECT * FROM ly_customer_promotions WHERE is_used = 'Y'",
     "expired_item_status": """
         SELECT item_id, item_type, name, CAST(base_price AS DOUBLE) AS base_price, valid_to, is_active

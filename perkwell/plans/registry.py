@@ -146,7 +146,8 @@ def promotions_of_named_item(t):
 
 @query
 def tier_requirements(t):
-    return membership.tier_requirements(t.membership_tiers)
+    in_use = t.membership_tiers.join(t.customers.select("tier_id"), "tier_id", "left_semi")
+    return membership.tier_requirements(in_use)
 
 
 @query
