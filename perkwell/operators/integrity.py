@@ -148,9 +148,10 @@ def assign_keys(rows: DataFrame, order_by: Sequence[str], key: str, start: int |
     """Number rows from ``start`` without gaps along ``order_by``.
 
     Rows are counted per ordered block and numbered within it, so no task sees
-    the whole table.
+    the whole table. Ties are broken by a hash of the row, which also spreads a
+    value that very many rows share over several blocks.
     """
-    placed = place_in_order(rows, order_by)
+    placed = place_in_order(rows.withColumn("_tie", F.xxhash64(*rows.columns)), [*order_by, "_tie"])
     sizes = placed.groupBy(BLOCK).agg(F.count("*").alias("_size"))
     offsets = block_offsets(sizes, "_size", "_before")
     start = F.lit(start) if isinstance(start, int) else start

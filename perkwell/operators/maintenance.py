@@ -141,10 +141,12 @@ def line_totals(order_items: DataFrame) -> DataFrame:
 def sync_order_totals(changes: DataFrame, order_items: DataFrame, orders: DataFrame) -> DataFrame:
     """New header amounts of the orders whose lines changed, 0 when no line is left.
 
-    ``order_items`` is the table after the changes; only lines of touched orders are summed.
+    ``order_items`` is the table after the changes. Lines are summed before the touched
+    orders are picked, so an order with very many lines is reduced where its lines
+    are read; Spark moves the pick below the sum when the touched set is small.
     """
     touched = touched_orders(changes)
-    totals = line_totals(order_items.join(touched, "order_id", "left_semi"))
+    totals = line_totals(order_items).join(touched, "order_id", "left_semi")
     zero = F.lit(0).cast(MONEY)
     return (
         orders.select("order_id").join(touched, "order_id", "left_semi").join(totals, "order_id", "left")
@@ -158,7 +160,7 @@ def mark_promo_used(new_redemptions: DataFrame, holdings: DataFrame, as_of: date
     """Holdings that the new redemptions turn into used ones."""
     pair = ["customer_id", "promotion_id"]
     return (
-        holdings.join(new_redemptions.select(pair), pair, "left_semi")
+        holdings.join(new_redemptions.select(pair).distinct(), pair, "left_semi")
         .withColumns({"is_used": F.lit("Y"), "used_date": moment(as_of)})
         .select(holdings.columns)
     )
@@ -170,7 +172,7 @@ def birthday_bonus(customers: DataFrame, tiers: DataFrame, ledger: DataFrame, as
         (F.col("description") == BIRTHDAY_TEXT)
         & (F.col("transaction_date") >= moment(datetime(as_of.year, 1, 1)))
         & (F.col("transaction_date") < moment(datetime(as_of.year + 1, 1, 1)))
-    ).select("customer_id")
+    ).select("customer_id").distinct()
     now = moment(as_of)
     bonus = (
         customers.where(

@@ -296,7 +296,7 @@ def downgrade_tiers(ledger: DataFrame, customers: DataFrame, tiers: DataFrame, a
     )
     rows = (
         customers.select("customer_id", "tier_id", "points_balance")
-        .join(touched.select("customer_id"), "customer_id", "left_semi")
+        .join(touched.select("customer_id").distinct(), "customer_id", "left_semi")
         .join(tiers.select("tier_id"), "tier_id", "left_semi")
     )
     return (

@@ -6,16 +6,17 @@ more than a running sum. Two exact ways are used, chosen per key by its size:
 
 * a usual key has few entries: they are folded as one sorted array, in one pass;
 * a key with more than ``max_group`` entries never becomes one group. Its entries
-  stay spread over ordered blocks, and the decision is made in phases. While the
-  budget lies in [T, 2T), with T a power of two, every entry below T fits, and the
-  first fitting entry of at least T ends the phase. So a phase is a prefix sum over
-  blocks plus a minimum, and each phase at least halves the budget: there are at
-  most as many phases as the budget has binary digits.
+  stay spread over ordered blocks, and the decision is made in phases. Take a power
+  of two T not above the budget. While the budget stays at T or more, every entry
+  below T fits, and the first fitting entry of at least T ends the phase. So a
+  phase is a prefix sum over blocks plus a minimum. T starts just above the largest
+  entry and at least halves from phase to phase: there are at most two more phases
+  than the largest entry has binary digits.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -23,6 +24,7 @@ from perkwell.operators.ordering import BLOCK, PLACE, block_offsets, place_in_or
 from perkwell.sources.checkpoints import cut
 
 MAX_GROUP = 1000
+SENT_KEYS = 100_000
 
 
 def spend_in_order(
@@ -38,11 +40,14 @@ def spend_in_order(
     max_group = MAX_GROUP if max_group is None else max_group
     entries = entries if written else cut(entries)
     sizes = entries.groupBy(key).agg(F.count("*").alias("_n"))
-    large = sizes.where(F.col("_n") > max_group).select(key)
-    if large.isEmpty():
+    large = cut(sizes.where(F.col("_n") > max_group).select(key))
+    keys = large.count()
+    if keys == 0:
         return _fold(entries, key, order, amount, budget)
-    small = _fold(entries.join(large, key, "left_anti"), key, order, amount, budget)
-    spread = _phases(entries.join(large, key, "left_semi"), key, order, amount, budget)
+    # Only a counted, small set of keys is sent to every task; more keys join by shuffle.
+    send = F.broadcast if keys <= SENT_KEYS else (lambda few: few)
+    small = _fold(entries.join(send(large), key, "left_anti"), key, order, amount, budget)
+    spread = _phases(entries.join(send(large), key, "left_semi"), key, order, amount, budget, send)
     return small.unionByName(spread)
 
 
@@ -73,10 +78,16 @@ def _power_below(value: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(value)) - 1)
 
 
-def _phases(entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str) -> DataFrame:
+def _phases(
+    entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str,
+    send: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
     placed = cut(place_in_order(entries, [key, *order]))
     state = cut(
-        entries.groupBy(key).agg(F.first(budget).cast("long").alias("_left"))
+        entries.groupBy(key).agg(
+            F.first(budget).cast("long").alias("_left"),
+            (_power_below(F.max(amount).cast("long")) * 2).alias("_top"),
+        )
         .withColumns({
             "_after": F.lit(-1).cast("long"),
             "_open": F.lit(True),
@@ -85,25 +96,27 @@ def _phases(entries: DataFrame, key: str, order: Sequence[str], amount: str, bud
     )
     items = placed.select(key, BLOCK, PLACE, F.col(amount).cast("long").alias("_amount"))
     while not state.where("_open").isEmpty():
-        state = cut(_next_phase(items, state, key))
+        state = cut(_next_phase(items, state, key, send))
     in_span = F.exists(
         "_spans",
         lambda span: (F.col(PLACE) > span["after"]) & (F.col(PLACE) <= span["upto"])
         & ((F.col(amount) < span["below"]) | (F.col(PLACE) == span["upto"])),
     )
     return (
-        placed.join(state.select(key, "_spans"), key)
+        placed.join(send(state.select(key, "_spans")), key)
         .withColumn("accepted", in_span)
         .select(*entries.columns, "accepted")
     )
 
 
-def _next_phase(items: DataFrame, state: DataFrame, key: str) -> DataFrame:
+def _next_phase(
+    items: DataFrame, state: DataFrame, key: str, send: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
     """Advance every open key by one phase; a key without a stop is done."""
     left, size = F.col("_left"), F.col("_amount")
-    below = _power_below(left)
+    below = F.least(_power_below(left), "_top")
     active = (
-        items.join(state.where("_open").select(key, "_left", "_after"), key)
+        items.join(send(state.where("_open").select(key, "_left", "_top", "_after")), key)
         .where((F.col(PLACE) > F.col("_after")) & (size <= left))
         .withColumn("_small", F.when(size < below, size).otherwise(0))
     )

@@ -187,9 +187,10 @@ def redeem_seasonal(
     item = items.where(_is_seasonal()).select("item_id", F.col("base_price").alias("_price"))
     head = orders.select("order_id", F.col("customer_id").alias("_owner"))
     asked = requests.select("order_id", "item_id").distinct()
-    contained = asked.join(
-        order_items.select("order_id", "item_id"), ["order_id", "item_id"], "left_semi"
-    ).withColumn("_contained", F.lit(True))
+    contained = (
+        order_items.select("order_id", "item_id").distinct()
+        .join(asked, ["order_id", "item_id"], "left_semi").withColumn("_contained", F.lit(True))
+    )
     promo = F.col("promo")
     failure = (
         F.when(F.col("_known").isNull(), "INVALID_CUSTOMER")

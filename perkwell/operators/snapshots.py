@@ -31,5 +31,5 @@ def bulk_delete(
     if condition is not None:
         rows = rows.where(~F.coalesce(condition, F.lit(False)))
     if keys is not None:
-        rows = rows.join(keys, on, "left_anti")
+        rows = rows.join(keys.select(on).distinct(), on, "left_anti")
     return rows

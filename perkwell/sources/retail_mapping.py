@@ -336,8 +336,8 @@ class RetailLoyalty:
     def stream(self, table: str, source: str) -> DataFrame:
         """A loyalty table over the files of ``source`` as a stream; its other inputs stay batch."""
         files = (
-            self.spark.readStream.schema(SOURCES[source])
-            .option("pathGlobFilter", f"{source}.parquet").option("maxFilesPerTrigger", 1).parquet(self.directory)
+            self.spark.readStream.schema(SOURCES[source]).option("maxFilesPerTrigger", 1)
+            .parquet(f"{self.directory}/{source}.parquet*")  # a pattern fits a file as well as a folder
         )
         # A stream cannot count itself, so the text gets the count of the present files.
         counting = f"(SELECT count(*) FROM {{{source}}})"
