@@ -82,7 +82,7 @@ def _phases(
     entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str,
     send: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
-    placed = cut(place_in_order(entries, [key, *order]))
+    placed = place_in_order(entries, [key, *order])
     state = cut(
         entries.groupBy(key).agg(
             F.first(budget).cast("long").alias("_left"),

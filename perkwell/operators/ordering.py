@@ -11,26 +11,27 @@ from perkwell.sources.checkpoints import cut
 BLOCK = "_block"
 PLACE = "_place"
 
-# Blocks are numbered in the upper bits and rows in the lower bits of a place.
-_ROW_BITS = 36
+# A monotonically increasing id holds the partition above these bits and the row below.
+_ROW_BITS = 33
 
 
 def place_in_order(df: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Add ``_block`` and a ``_place`` that rises along the order ``by``.
+    """Add a ``_place`` that rises along the order ``by`` and the ``_block`` it lies in.
 
     Rows are range-partitioned on the full order, so even one value of the first
-    column spreads over many blocks. The partitioned rows are written once,
-    because a range partitioning computed twice need not fall on the same bounds.
+    column spreads over many blocks, and sorted within each block. The result is
+    written once, because a range partitioning computed twice need not fall on the
+    same bounds.
     """
-    ranged = df.repartitionByRange(*[F.col(c).asc_nulls_first() for c in by])
-    blocks = cut(ranged.withColumn(BLOCK, F.spark_partition_id().cast("long")))
-    within = Window.partitionBy(BLOCK).orderBy(*[F.col(c).asc_nulls_first() for c in by])
-    return blocks.withColumn(PLACE, F.shiftleft(F.col(BLOCK), _ROW_BITS) + F.row_number().over(within))
+    order = [F.col(c).asc_nulls_first() for c in by]
+    ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = cut(ranged.withColumn(PLACE, F.monotonically_increasing_id()))
+    return placed.withColumn(BLOCK, F.shiftright(PLACE, _ROW_BITS))
 
 
 def row_in_block() -> Column:
     """The row number within the block, counted from 1."""
-    return F.col(PLACE) - F.shiftleft(F.col(BLOCK), _ROW_BITS)
+    return F.col(PLACE) - F.shiftleft(F.col(BLOCK), _ROW_BITS) + 1
 
 
 def block_offsets(blocks: DataFrame, value: str, name: str, keys: Sequence[str] = ()) -> DataFrame:
