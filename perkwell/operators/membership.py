@@ -89,6 +89,13 @@ def customer_status(customers: DataFrame, tiers: DataFrame) -> DataFrame:
     )
 
 
+def customer_tiers(customers: DataFrame, tiers: DataFrame) -> DataFrame:
+    """Balance and current tier, without a look at the next one."""
+    return customers.join(tiers.select("tier_id", F.col("tier_name").alias("current_tier")), "tier_id").select(
+        "customer_id", "name", "points_balance", "current_tier"
+    )
+
+
 def tier_requirements(tiers: DataFrame) -> DataFrame:
     return tiers.select("tier_id", "tier_name", "points_required").orderBy("tier_id")
 
@@ -161,6 +168,13 @@ def upgrade_value(requests: DataFrame, customers: DataFrame, tiers: DataFrame) -
     )
 
 
+def upgrade_value_log(values: DataFrame, as_of: datetime) -> DataFrame:
+    """Audit rows for the sentences of ``upgrade_value``; none where there is no next tier."""
+    found = values.where(F.col("upgrade_value").startswith("Upgrade to "))
+    text = joined_text("Calculated upgrade for customer ", F.col("customer_id"), ": ", F.col("upgrade_value"))
+    return activity_rows(found.select("customer_id", text.alias("details")), "TIER_CHANGE", as_of, "customer_id")
+
+
 def membership_health(requests: DataFrame, customers: DataFrame, tiers: DataFrame, as_of: datetime) -> DataFrame:
     """One sentence per asked customer on the state of the membership."""
     days = floor_days(F.col("membership_expiry_date"), moment(as_of))

@@ -341,6 +341,9 @@ SQL: dict[str, str] = {
             t.points_required AS current_tier_requirement, n.tier_name AS next_tier,
             n.points_required AS next_tier_requirement, n.points_required - c.points_balance AS points_needed
         FROM ly_customers c JOIN ly_membership_tiers t ON t.tier_id = c.tier_id {_NEXT_TIER}""",
+    "customer_tiers": """
+        SELECT c.customer_id, c.name, c.points_balance, t.tier_name AS current_tier
+        FROM ly_customers c JOIN ly_membership_tiers t ON t.tier_id = c.tier_id""",
     "ledger_by_type": """
         SELECT transaction_id, customer_id, points_amount, transaction_type, transaction_date, description
         FROM ly_point_transactions WHERE transaction_type = 'REDEMPTION'""",
@@ -476,6 +479,16 @@ SQL: dict[str, str] = {
             WHERE c.customer_id IN (SELECT customer_id FROM ly_point_transactions WHERE transaction_type = 'EXPIRY'
                 AND CAST(transaction_date AS DATE) = CAST($now AS DATE)))
         WHERE new_tier_id < old_tier_id""",
+    "expiry_run_downgrades": f"""
+        WITH RECURSIVE {_EXPIRY_STEPS},
+        lowered AS (SELECT customer_id, min(rest) AS rest FROM walk WHERE hit GROUP BY customer_id),
+        people AS (SELECT c.customer_id, c.tier_id, coalesce(l.rest, c.points_balance) AS points
+            FROM ly_customers c LEFT JOIN lowered l ON l.customer_id = c.customer_id
+            WHERE l.customer_id IS NOT NULL OR c.customer_id IN (SELECT customer_id FROM ly_point_transactions
+                WHERE transaction_type = 'EXPIRY' AND CAST(transaction_date AS DATE) = CAST($now AS DATE)))
+        SELECT * FROM (SELECT c.customer_id, c.tier_id AS old_tier_id, (SELECT max(t.tier_id)
+            FROM ly_membership_tiers t WHERE t.points_required <= c.points) AS new_tier_id FROM people c)
+        WHERE new_tier_id < old_tier_id""",
     "bulk_assign_vouchers": f"""
         SELECT c.customer_id, p.promotion_id, $now AS date_acquired, 'N' AS is_used,
             'AUTO_TIER' AS acquisition_method
@@ -489,6 +502,13 @@ SQL: dict[str, str] = {
             coalesce(f.failure, CASE WHEN w.hit THEN 'REDEEMED' ELSE 'INSUFFICIENT_POINTS' END) AS status,
             CASE WHEN w.hit THEN f.points END AS points_used
         FROM facts f LEFT JOIN walk w ON w.request_id = f.request_id""",
+    "redeem_vouchers_orders": f"""
+        WITH RECURSIVE {_redeem_walk("ly_voucher_redeem_requests", "ly_orders")}
+        SELECT o.order_id, CAST(o.discount_amount + p.discount_value AS DOUBLE) AS discount_amount,
+            CAST(o.total_amount - (o.discount_amount + p.discount_value) AS DOUBLE) AS final_amount
+        FROM walk w JOIN ly_voucher_redeem_requests r ON r.request_id = w.request_id
+        JOIN ly_orders o ON o.order_id = r.order_id JOIN ly_promotions p ON p.promotion_id = r.promotion_id
+        WHERE w.hit AND p.discount_value IS NOT NULL""",
     "create_alacarte_orders": f"""
         WITH {_ALACARTE_PARTS}
         SELECT request_id, customer_id, $now AS order_date, CAST(total AS DOUBLE) AS total_amount,
@@ -600,6 +620,14 @@ SQL: dict[str, str] = {
             WHERE reached <> tier_id)
         SELECT u.customer_id, u.old_tier_id, u.new_tier_id, $now AS change_date, {_CHANGE_REASON} AS change_reason,
             'SYSTEM' AS changed_by FROM u""",
+    "points_cascade_vouchers": f"""
+        WITH {_CASCADE}
+        SELECT u.customer_id, p.promotion_id, $now AS date_acquired, 'N' AS is_used,
+            'TIER_UPGRADE' AS acquisition_method
+        FROM cascade u JOIN ly_promotions p ON p.is_auto_assign = 'Y' AND {_LIVE}
+            AND (p.applicable_tier_id IS NULL OR p.applicable_tier_id = u.reached)
+        WHERE u.reached <> u.tier_id AND NOT EXISTS (SELECT 1 FROM ly_customer_promotions h
+            WHERE h.customer_id = u.customer_id AND h.promotion_id = p.promotion_id)""",
     "alacarte_order_flow": f"""
         WITH RECURSIVE {_ALACARTE_PARTS}, made AS (SELECT * FROM {_ALACARTE_ORDERS}),
         asked AS (SELECT request_id, customer_id, promotion_id, request_id AS order_id FROM made WHERE discount > 0),

@@ -113,6 +113,11 @@ def customer_status(t):
     return membership.customer_status(t.customers, t.membership_tiers)
 
 
+@query
+def customer_tiers(t):
+    return membership.customer_tiers(t.customers, t.membership_tiers)
+
+
 @query
 def ledger_by_type(t):
     return membership.ledger_by_type(t.point_transactions, "REDEMPTION")
@@ -264,6 +269,11 @@ def downgrade_tiers(t):
     return membership.downgrade_tiers(t.point_transactions, t.customers, t.membership_tiers, AS_OF)
 
 
+@query
+def expiry_run_downgrades(t):
+    return membership.expiry_run(t.point_transactions, t.customers, t.membership_tiers, AS_OF)["downgrades"]
+
+
 @query
 def bulk_assign_vouchers(t):
     return vouchers.bulk_assign_vouchers(
@@ -278,6 +288,13 @@ def redeem_vouchers(t):
     )["outcomes"]
 
 
+@query
+def redeem_vouchers_orders(t):
+    return vouchers.redeem_vouchers(
+        t.voucher_redeem_requests, t.promotions, t.customers, t.orders, AS_OF
+    )["orders"]
+
+
 @query
 def create_alacarte_orders(t):
     return meals.create_alacarte_orders(
@@ -422,6 +439,14 @@ def points_cascade_history(t):
     )["membership_history"]
 
 
+@query
+def points_cascade_vouchers(t):
+    return points_cascade.points_cascade(
+        t.ledger_changes, t.point_transactions, t.customers, t.membership_tiers, t.promotions,
+        t.customer_promotions, AS_OF,
+    )["customer_promotions"]
+
+
 @query
 def alacarte_order_flow(t):
     return order_flow.place_alacarte_orders(
