@@ -203,38 +203,40 @@ def create_alacarte_orders(
     ``assign_keys`` numbers them.
     """
     members = customers.where(F.col("is_member") == "Y").select("customer_id", F.lit(True).alias("_member"))
-    known = requests.join(members, "customer_id", "left").withColumn(
-        "_parts", F.filter(F.transform(F.split("item_ids", ","), lambda part: F.trim(part)), lambda part: part != "")
-    ).withColumn(
-        "_unreadable", F.exists("_parts", lambda part: part.try_cast("decimal(38,9)").isNull())
+    parts = F.filter(F.transform(F.split("item_ids", ","), lambda part: F.trim(part)), lambda part: part != "")
+    known = (
+        requests.join(members, "customer_id", "left")
+        .withColumn("_parts", F.when(F.col("_member"), parts))
+        .withColumn("_unreadable", F.exists("_parts", lambda part: part.try_cast("decimal(38,9)").isNull()))
     )
     for_sale = items.where((F.col("item_type") == "A_LA_CARTE") & (F.col("is_active") == "Y")).select(
         "item_id", F.col("base_price").alias("price")
     )
     number = F.col("_text").try_cast("decimal(38,9)")
+    facts = ["request_id", "customer_id", "promotion_id", "payment_method", "_member", "_unreadable"]
     asked = (
-        known.where(F.col("_member") & ~F.col("_unreadable"))
-        .select("request_id", F.posexplode("_parts").alias("line_no", "_text"))
-        .select("request_id", "line_no", "_text",
-                F.when(number == F.floor(number), number.cast("long")).alias("item_id"))
+        known.select(*facts, F.posexplode_outer(F.when(~F.col("_unreadable"), F.col("_parts")))
+                     .alias("line_no", "_text"))
+        .withColumn("item_id", F.when(number == F.floor(number), number.cast("long")))
         .join(for_sale, "item_id", "left")
     )
     lines = asked.where(F.col("price").isNotNull()).select(
         "request_id", "line_no", "item_id", F.lit(1).cast("long").alias("quantity"), "price",
         F.lit(0).cast(MONEY).alias("discount_applied"),
     )
-    skipped = asked.where(F.col("price").isNull()).select(
+    skipped = asked.where(F.col("_text").isNotNull() & F.col("price").isNull()).select(
         "request_id", "line_no", F.col("_text").alias("item_text")
     )
-    totals = lines.groupBy("request_id").agg(
-        F.sum("price").cast(MONEY).alias("total_amount"), F.count("*").alias("items")
-    )
-    judged = known.join(totals, "request_id", "left").withColumn(
-        "status",
-        F.when(F.col("_member").isNull(), "NOT_A_MEMBER")
-        .when(F.col("_unreadable"), "BAD_ITEM_LIST")
-        .when(F.col("items").isNull(), "NO_VALID_ITEMS")
-        .otherwise("CREATED"),
+    # One sum over the exploded lines judges every request; rejected ones left a single empty line.
+    judged = (
+        asked.groupBy(*facts).agg(F.sum("price").cast(MONEY).alias("total_amount"), F.count("price").alias("items"))
+        .withColumn(
+            "status",
+            F.when(F.col("_member").isNull(), "NOT_A_MEMBER")
+            .when(F.col("_unreadable"), "BAD_ITEM_LIST")
+            .when(F.col("items") == 0, "NO_VALID_ITEMS")
+            .otherwise("CREATED"),
+        )
     )
     created = judged.where(F.col("status") == "CREATED").select(
         "request_id", "customer_id", "promotion_id", "payment_method", "total_amount", "items"

@@ -304,6 +304,7 @@ def loyalty_selects(d: Dialect) -> dict[str, str]:
 
 
 _PLACEHOLDER = re.compile(r"\{(\w+)\}")
+_COUNT = re.compile(r"\(SELECT count\(\*\) FROM \{(\w+)\}\)")
 
 
 class RetailLoyalty:
@@ -314,6 +315,7 @@ class RetailLoyalty:
         self.directory = directory
         self._tables: dict[str, DataFrame] = {}
         self._sources: dict[str, DataFrame] = {}
+        self._counts: dict[str, int] = {}
 
     @cached_property
     def _selects(self) -> dict[str, str]:
@@ -328,22 +330,28 @@ class RetailLoyalty:
         if name.startswith("_"):
             raise AttributeError(name)
         if name not in self._tables:
-            text = self._selects[name]
+            text = self._counted(self._selects[name])
             sources = {src: self.source(src) for src in set(_PLACEHOLDER.findall(text))}
             self._tables[name] = self.spark.sql(text, **sources)
         return self._tables[name]
 
+    def _counted(self, text: str) -> str:
+        """Put source row counts, read once from the file footers, into the text."""
+        def count(match: re.Match) -> str:
+            name = match.group(1)
+            if name not in self._counts:
+                self._counts[name] = self.source(name).count()
+            return str(self._counts[name])
+
+        return _COUNT.sub(count, text)
+
     def stream(self, table: str, source: str) -> DataFrame:
         """A loyalty table over the files of ``source`` as a stream; its other inputs stay batch."""
         files = (
             self.spark.readStream.schema(SOURCES[source]).option("maxFilesPerTrigger", 1)
             .parquet(f"{self.directory}/{source}.parquet*")  # a pattern fits a file as well as a folder
         )
-        # A stream cannot count itself, so the text gets the count of the present files.
-        counting = f"(SELECT count(*) FROM {{{source}}})"
-        text = self._selects[table]
-        if counting in text:
-            text = text.replace(counting, str(self.source(source).count()))
+        text = self._counted(self._selects[table])
         others = {src: self.source(src) for src in set(_PLACEHOLDER.findall(text)) if src != source}
         return self.spark.sql(text, **{source: files}, **others)
 
