@@ -71,7 +71,7 @@ def fk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Repeated key values and NULLs in required columns, as (table_name, key_name, key_value, row_count)."""
-    parts = []
+    parts, missing = [], []
     for name, rows in tables.items():
         for key in [PRIMARY_KEYS[name], *[(c,) for c in UNIQUE_COLUMNS.get(name, ())]]:
             parts.append(
@@ -82,16 +82,12 @@ def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
                 )
             )
         required = [f.name for f in SCHEMAS[name] if not f.nullable and f.name in rows.columns]
-        counts = rows.agg(*[F.count(F.when(F.col(c).isNull(), 1)).alias(c) for c in required])
-        parts.append(
-            counts.select(F.explode(F.array(*[
-                F.struct(F.lit(c).alias("key_name"), F.col(c).alias("row_count")) for c in required
-            ])).alias("found"))
-            .where("found.row_count > 0")
-            .select(F.lit(name).alias("table_name"), "found.key_name", F.lit("NULL").alias("key_value"),
-                    "found.row_count")
-        )
-    return union_all(parts)
+        absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
+        missing.append(rows.select(F.lit(name).alias("table_name"), F.explode(absent).alias("key_name")))
+    counts = union_all(missing).groupBy("table_name", "key_name").agg(F.count("*").alias("row_count"))
+    return union_all([
+        *parts, counts.select("table_name", "key_name", F.lit("NULL").alias("key_value"), "row_count")
+    ])
 
 
 def cascade_delete(

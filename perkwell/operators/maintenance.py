@@ -11,10 +11,9 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkwell.functions.columns import MONEY, TOTAL, joined_text, moment, plus_months
-from perkwell.functions.joins import spread_join
 from perkwell.functions.tiers import tier_by_points, with_ladder
 from perkwell.operators.audit import activity_rows
-from perkwell.operators.vouchers import promotions_per_tier
+from perkwell.operators.vouchers import offers_not_held, promotions_per_tier
 
 BIRTHDAY_TEXT = "Birthday reward points"
 BIRTHDAY_MONTHS = 12
@@ -112,13 +111,10 @@ def assign_on_tier_change(
         "customer_id", F.col("new_tier_id").alias("tier_id"),
         F.when(F.col("old_tier_id").isNull(), "AUTO_TIER").otherwise("TIER_UPGRADE").alias("acquisition_method"),
     )
-    offers = spread_join(moved, promotions_per_tier(promotions, tiers, as_of), "tier_id", "customer_id")
-    return (
-        offers.join(holdings.select("customer_id", "promotion_id"), ["customer_id", "promotion_id"], "left_anti")
-        .select(
-            "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
-            "acquisition_method",
-        )
+    fresh = offers_not_held(moved, promotions_per_tier(promotions, tiers, as_of), holdings)
+    return fresh.select(
+        "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
+        "acquisition_method",
     )
 
 

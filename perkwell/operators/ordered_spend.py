@@ -40,10 +40,11 @@ def spend_in_order(
     max_group = MAX_GROUP if max_group is None else max_group
     entries = entries if written else cut(entries)
     sizes = entries.groupBy(key).agg(F.count("*").alias("_n"))
-    large = cut(sizes.where(F.col("_n") > max_group).select(key))
+    large = sizes.where(F.col("_n") > max_group).select(key)
     keys = large.count()
     if keys == 0:
         return _fold(entries, key, order, amount, budget)
+    large = cut(large)
     # Only a counted, small set of keys is sent to every task; more keys join by shuffle.
     send = F.broadcast if keys <= SENT_KEYS else (lambda few: few)
     small = _fold(entries.join(send(large), key, "left_anti"), key, order, amount, budget)

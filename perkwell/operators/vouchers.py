@@ -16,6 +16,8 @@ from perkwell.sources.checkpoints import cut
 VOUCHER_TYPES = ("AUTO", "BIRTHDAY", "ALL")
 # Code letters, one per hex digit of a digest.
 CODE_LETTERS = "ABCDEFGHJKLMNPQR"
+# More live offers than this are joined row by row, not sent to every task as lists.
+LISTED_OFFERS = 10_000
 # Up to this value a discount is a percentage, above it an amount of money.
 PERCENT_LIMIT = 100
 
@@ -179,9 +181,33 @@ def promotions_per_tier(promotions: DataFrame, tiers: DataFrame, as_of: datetime
     )
 
 
+def offers_not_held(people: DataFrame, offers: DataFrame, holdings: DataFrame, listed: int = LISTED_OFFERS) -> DataFrame:
+    """``people`` (customer_id, tier_id, ...) with every offer of their tier they do not hold yet.
+
+    While there are few offers, they travel as one list per tier and each customer's
+    list is emptied of what is held before it is unfolded, so the many result rows
+    are never shuffled. More offers than ``listed`` are joined row by row instead.
+    """
+    offers = cut(offers)
+    if offers.count() > listed:
+        pairs = spread_join(people, offers, "tier_id", "customer_id")
+        held = holdings.select("customer_id", "promotion_id")
+        return pairs.join(held, ["customer_id", "promotion_id"], "left_anti")
+    lists = offers.groupBy("tier_id").agg(F.collect_set("promotion_id").alias("_offers"))
+    held = (
+        holdings.join(F.broadcast(offers.select("promotion_id").distinct()), "promotion_id", "left_semi")
+        .groupBy("customer_id").agg(F.collect_set("promotion_id").alias("_held"))
+    )
+    fresh = F.array_except("_offers", F.coalesce("_held", F.array().cast("array<bigint>")))
+    return (
+        people.join(F.broadcast(lists), "tier_id").join(held, "customer_id", "left")
+        .select(*people.columns, F.explode(fresh).alias("promotion_id"))
+    )
+
+
 def bulk_assign_vouchers(
     customers: DataFrame, tiers: DataFrame, promotions: DataFrame, holdings: DataFrame, as_of: datetime,
-    voucher_type: str = "ALL", tier_id: int | None = None,
+    voucher_type: str = "ALL", tier_id: int | None = None, listed: int = LISTED_OFFERS,
 ) -> dict[str, DataFrame]:
     """Give members every live automatic promotion open to their tier that they do not hold yet.
 
@@ -192,13 +218,10 @@ def bulk_assign_vouchers(
         members = members.where(F.col("tier_id") == tier_id)
     if voucher_type not in ("AUTO", "ALL"):
         members = members.where(F.lit(False))
-    offers = spread_join(members, promotions_per_tier(promotions, tiers, as_of), "tier_id", "customer_id")
-    new = (
-        offers.join(holdings.select("customer_id", "promotion_id"), ["customer_id", "promotion_id"], "left_anti")
-        .select(
-            "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
-            F.lit("AUTO_TIER").alias("acquisition_method"),
-        )
+    fresh = offers_not_held(members, promotions_per_tier(promotions, tiers, as_of), holdings, listed)
+    new = fresh.select(
+        "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
+        F.lit("AUTO_TIER").alias("acquisition_method"),
     )
     report = new.agg(joined_text("Total new assignments: ", F.count("*")).alias("details"))
     return {"customer_promotions": new, "activity": activity_rows(report, "VOUCHER_ASSIGNMENT", as_of)}

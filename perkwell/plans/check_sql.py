@@ -246,12 +246,12 @@ _GONE_REDEMPTION = (
 SQL: dict[str, str] = {
     "seasonal_item_performance": f"""
         SELECT m.item_id, m.name, m.description AS season, CAST(count(l.order_item_id) AS BIGINT) AS total_sold,
-            CAST(sum(CASE WHEN o.discount_amount = 0 THEN l.price ELSE 0 END) AS DOUBLE) AS revenue,
+            CAST(coalesce(sum(l.price) FILTER (WHERE o.discount_amount = 0), 0) AS DOUBLE) AS revenue,
             CAST(count(r.redemption_id) AS BIGINT) AS points_redemptions,
             CASE WHEN m.initial_stock IS NOT NULL THEN
                 {_ratio("count(l.order_item_id) * 100", "greatest(1, m.initial_stock)", 2)} END AS sell_through_rate,
             {_ratio("sum(l.quantity)", "count(l.quantity)", 1)} AS avg_order_size,
-            {_ratio("count(CASE WHEN r.redemption_id IS NOT NULL AND o.total_amount >= p.min_spend THEN 1 END) * 100",
+            {_ratio("(count(*) FILTER (WHERE r.redemption_id IS NOT NULL AND p.min_spend <= o.total_amount)) * 100",
                     "greatest(1, count(r.redemption_id))", 2)} AS min_spend_met
         FROM ly_menu_items m JOIN ly_order_items l ON l.item_id = m.item_id JOIN ly_orders o ON o.order_id = l.order_id
         LEFT JOIN ly_redemptions r ON r.order_id = o.order_id
@@ -292,7 +292,7 @@ SQL: dict[str, str] = {
         SELECT p.promotion_id, p.name, p.voucher_code,
             CASE WHEN p.name LIKE 'BDAY%' THEN 'BIRTHDAY' ELSE 'AUTO_ASSIGN' END AS voucher_type,
             CAST(count(h.customer_id) AS BIGINT) AS assigned_count,
-            CAST(count(CASE WHEN h.is_used = 'Y' THEN 1 END) AS BIGINT) AS redeemed_count,
+            CAST(count(*) FILTER (WHERE h.is_used = 'Y') AS BIGINT) AS redeemed_count,
             min(h.date_acquired) AS first_assignment, max(h.date_acquired) AS last_assignment
         FROM ly_promotions p LEFT JOIN ly_customer_promotions h ON h.promotion_id = p.promotion_id
         WHERE p.is_auto_assign = 'Y' OR p.name LIKE 'BDAY%' GROUP BY p.promotion_id, p.name, p.voucher_code""",

@@ -217,6 +217,8 @@ def test_bulk_assign(spark, t):
     assert out["activity"].first().details == "Total new assignments: 11"
     again = snapshots.append_from_select(held, out["customer_promotions"])
     assert run(again)["customer_promotions"].count() == 0
+    by_row = run(held, listed=0)["customer_promotions"]
+    assert set(tuples(by_row, "customer_id", "promotion_id")) == pairs and by_row.count() == len(pairs)
     assert run(held, voucher_type="BIRTHDAY")["customer_promotions"].count() == 0
     bronze = run(held, voucher_type="AUTO", tier_id=1)["customer_promotions"]
     assert set(tuples(bronze, "customer_id")) == {(1001,), (1006,)}
