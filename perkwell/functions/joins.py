@@ -5,6 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 SPREAD = 32
+SENT_ROWS = 100_000
+
+
+def sent_if_few(side: DataFrame, rows: int) -> DataFrame:
+    """A join side of a counted size: sent to every task while small, else left to a shuffle."""
+    return F.broadcast(side) if rows <= SENT_ROWS else side
 
 
 def spread_join(many: DataFrame, few: DataFrame, key: str, row_id: str, spread: int = SPREAD) -> DataFrame:

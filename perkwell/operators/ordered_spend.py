@@ -16,15 +16,15 @@ more than a running sum. Two exact ways are used, chosen per key by its size:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from perkwell.functions.joins import sent_if_few
 from perkwell.operators.ordering import BLOCK, PLACE, block_offsets, place_in_order
 from perkwell.sources.checkpoints import cut
 
 MAX_GROUP = 1000
-SENT_KEYS = 100_000
 
 
 def spend_in_order(
@@ -45,10 +45,9 @@ def spend_in_order(
     if keys == 0:
         return _fold(entries, key, order, amount, budget)
     large = cut(large)
-    # Only a counted, small set of keys is sent to every task; more keys join by shuffle.
-    send = F.broadcast if keys <= SENT_KEYS else (lambda few: few)
-    small = _fold(entries.join(send(large), key, "left_anti"), key, order, amount, budget)
-    spread = _phases(entries.join(send(large), key, "left_semi"), key, order, amount, budget, send)
+    sent = sent_if_few(large, keys)
+    small = _fold(entries.join(sent, key, "left_anti"), key, order, amount, budget)
+    spread = _phases(entries.join(sent, key, "left_semi"), key, order, amount, budget, keys)
     return small.unionByName(spread)
 
 
@@ -80,8 +79,7 @@ def _power_below(value: Column) -> Column:
 
 
 def _phases(
-    entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str,
-    send: Callable[[DataFrame], DataFrame],
+    entries: DataFrame, key: str, order: Sequence[str], amount: str, budget: str, keys: int
 ) -> DataFrame:
     placed = place_in_order(entries, [key, *order])
     state = cut(
@@ -97,27 +95,25 @@ def _phases(
     )
     items = placed.select(key, BLOCK, PLACE, F.col(amount).cast("long").alias("_amount"))
     while not state.where("_open").isEmpty():
-        state = cut(_next_phase(items, state, key, send))
+        state = cut(_next_phase(items, state, key, keys))
     in_span = F.exists(
         "_spans",
         lambda span: (F.col(PLACE) > span["after"]) & (F.col(PLACE) <= span["upto"])
         & ((F.col(amount) < span["below"]) | (F.col(PLACE) == span["upto"])),
     )
     return (
-        placed.join(send(state.select(key, "_spans")), key)
+        placed.join(sent_if_few(state.select(key, "_spans"), keys), key)
         .withColumn("accepted", in_span)
         .select(*entries.columns, "accepted")
     )
 
 
-def _next_phase(
-    items: DataFrame, state: DataFrame, key: str, send: Callable[[DataFrame], DataFrame]
-) -> DataFrame:
+def _next_phase(items: DataFrame, state: DataFrame, key: str, keys: int) -> DataFrame:
     """Advance every open key by one phase; a key without a stop is done."""
     left, size = F.col("_left"), F.col("_amount")
     below = F.least(_power_below(left), "_top")
     active = (
-        items.join(send(state.where("_open").select(key, "_left", "_top", "_after")), key)
+        items.join(sent_if_few(state.where("_open").select(key, "_left", "_top", "_after"), keys), key)
         .where((F.col(PLACE) > F.col("_after")) & (size <= left))
         .withColumn("_small", F.when(size < below, size).otherwise(0))
     )

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkwell.functions.columns import MONEY, cents, joined_text, live_at, moment, strict_least
-from perkwell.functions.joins import spread_join
+from perkwell.functions.joins import sent_if_few, spread_join
 from perkwell.functions.tiers import every_tier, with_ladder
 from perkwell.operators.audit import activity_rows
 from perkwell.operators.ordered_spend import spend_in_order
@@ -292,8 +292,10 @@ def _decide(passed: DataFrame, max_group: int | None) -> DataFrame:
     Usually no order is asked twice and points are the only limit that changes on
     the way. Otherwise order room is spent first and points second. That is right
     unless a request refused for points had taken room from a later request on the
-    same order; the first such request of each customer is then settled as refused
-    and the rest decided again, so every pass settles at least one request.
+    same order. Up to the first such request of a customer all is right, so the
+    points left there are known, and every later request that needs more than that
+    is settled as refused before the rest is decided again. Each pass so settles
+    all requests from some points price on: there are no more passes than prices.
     """
     shared = (
         passed.where(F.col("order_id").isNotNull() & (F.col("_value_cents") > 0))
@@ -317,12 +319,23 @@ def _decide(passed: DataFrame, max_group: int | None) -> DataFrame:
         clash = (
             paid.where(~F.col("accepted") & F.col("order_id").isNotNull())
             .join(late, "order_id").where(F.col("_last") > F.col("request_id"))
-            .groupBy("customer_id").agg(F.min("request_id").alias("request_id")).select("request_id")
+            .groupBy("customer_id").agg(F.min("request_id").alias("_from"))
         )
         clash = cut(clash)
-        if clash.isEmpty():
+        clashing = clash.count()
+        if clashing == 0:
             break
-        refused = cut(clash if refused is None else refused.unionByName(clash))
+        before = F.when(F.col("accepted") & (F.col("request_id") < F.col("_from")), F.col("points_used"))
+        left = (
+            paid.join(sent_if_few(clash, clashing), "customer_id").groupBy("customer_id", "_from")
+            .agg((F.max("_balance") - F.coalesce(F.sum(before), F.lit(0))).alias("_left"))
+        )
+        beyond = (
+            open_rows.join(sent_if_few(left, clashing), "customer_id")
+            .where((F.col("request_id") >= F.col("_from")) & (F.col("points_used") > F.col("_left")))
+            .select("request_id")
+        )
+        refused = cut(beyond if refused is None else refused.unionByName(beyond))
     decided = paid.withColumn("_reason", F.when(~F.col("accepted"), "INSUFFICIENT_POINTS")).unionByName(
         fitted.where(~F.col("_fits")).drop("_fits")
         .withColumns({"accepted": F.lit(False), "_reason": F.lit("DISCOUNT_ABOVE_TOTAL")})
