@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from datetime import datetime
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -33,19 +35,24 @@ def check_violations(
     """
     parts = []
     for name, rows in tables.items():
-        broken = [
-            F.when(~F.coalesce(F.expr(test), F.lit(True)), F.lit(rule))
+        broken = {
+            rule: ~F.coalesce(F.expr(test), F.lit(True))
             for rule, test in rules.get(name, {}).items()
             if _columns_of(test) <= set(rows.columns)
-        ]
+        }
         if broken:
-            parts.append(rows.select(
-                F.lit(name).alias("table_name"), F.explode(F.array_compact(F.array(*broken))).alias("rule_name"),
-                row_key(name).alias("row_key"),
+            parts.append(_flagged(rows, broken, "rule_name").select(
+                F.lit(name).alias("table_name"), "rule_name", row_key(name).alias("row_key")
             ))
     return union_all(parts)
 
 
+def _flagged(rows: DataFrame, flags: Mapping[str, Column], name: str) -> DataFrame:
+    """A row per raised flag; rows without one are filtered out before anything is unfolded."""
+    raised = F.array_compact(F.array(*[F.when(test, F.lit(flag)) for flag, test in flags.items()]))
+    return rows.where(reduce(or_, flags.values())).withColumn(name, F.explode(raised))
+
+
 def _columns_of(test: str) -> set[str]:
     """Column names of a rule: its lower-case words (keywords and values are upper case)."""
     words = "".join(c if c.isalnum() or c == "_" else " " for c in test).split()
@@ -82,8 +89,8 @@ def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
                 )
             )
         required = [f.name for f in SCHEMAS[name] if not f.nullable and f.name in rows.columns]
-        absent = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in required]))
-        missing.append(rows.select(F.lit(name).alias("table_name"), F.explode(absent).alias("key_name")))
+        absent = {c: F.col(c).isNull() for c in required}
+        missing.append(_flagged(rows, absent, "key_name").select(F.lit(name).alias("table_name"), "key_name"))
     counts = union_all(missing).groupBy("table_name", "key_name").agg(F.count("*").alias("row_count"))
     return union_all([
         *parts, counts.select("table_name", "key_name", F.lit("NULL").alias("key_value"), "row_count")
