@@ -335,7 +335,8 @@ SQL: dict[str, str] = {
         SELECT h.history_id, h.customer_id, c.name, a.tier_name AS old_tier, b.tier_name AS new_tier, h.change_date,
             h.change_reason
         FROM ly_membership_history h JOIN ly_customers c ON c.customer_id = h.customer_id
-        JOIN ly_membership_tiers a ON a.tier_id = h.old_tier_id JOIN ly_membership_tiers b ON b.tier_id = h.new_tier_id""",
+        JOIN ly_membership_tiers a ON a.tier_id = h.old_tier_id
+        JOIN ly_membership_tiers b ON b.tier_id = h.new_tier_id""",
     "customer_status": f"""
         SELECT c.customer_id, c.name, c.points_balance, t.tier_name AS current_tier,
             t.points_required AS current_tier_requirement, n.tier_name AS next_tier,
