@@ -26,8 +26,7 @@ def test_every_query_has_a_check():
     assert set(contract.queries()) == set(contract.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
-def test_query(spark, duck, name):
+def compare(spark, duck, name):
     df = contract.queries()[name](spark, DIRECTORY)
     order = sorted(df.columns)
     sql = contract.oracle_sql()[name]
@@ -38,3 +37,22 @@ def test_query(spark, duck, name):
     theirs = sorted(repr([r[place[c]] for c in order]) for r in result.fetchall())
     ours = sorted(repr([r[c] for c in order]) for r in df.collect())
     assert ours == theirs
+
+
+@pytest.mark.parametrize("name", sorted(contract.queries()))
+def test_query(spark, duck, name):
+    compare(spark, duck, name)
+
+
+@pytest.mark.parametrize("name", [
+    "seasonal_item_performance", "order_type_comparison", "setmeal_profitability", "redeem_seasonal",
+    "redeem_vouchers", "bulk_assign_vouchers", "create_alacarte_orders", "cascade_delete", "sync_order_totals",
+])
+def test_query_when_nothing_fits_a_broadcast(spark, duck, name):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        compare(spark, duck, name)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
