@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perkwell.llm import decontamination, mixing, pii, spotsigs, url_lists
+from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, spotsigs, toxicity, url_lists
 from perkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,11 @@ def op1_mixing(spark: SparkSession, directory: str) -> DataFrame:
     return mixing.mix_plan(table(spark, directory, "documents"), MIX)
 
 
+@query
+def op2_near_duplicates(spark: SparkSession, directory: str) -> DataFrame:
+    return near_duplicates.near_duplicate_classes(table(spark, directory, "documents"))
+
+
 @query
 def op3_pii(spark: SparkSession, directory: str) -> DataFrame:
     found = pii.find_spans(table(spark, directory, "documents"))
@@ -77,6 +82,16 @@ def op5_url_lists(spark: SparkSession, directory: str) -> DataFrame:
     return out.withColumn("fetched", F.col("fetched").cast("string")).withColumn("listed_since", F.col("listed_since").cast("string"))
 
 
+@query
+def op7_quality(spark: SparkSession, directory: str) -> DataFrame:
+    return quality.scored(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
+@query
+def op8_toxicity(spark: SparkSession, directory: str) -> DataFrame:
+    return toxicity.scored(table(spark, directory, "documents"), table(spark, directory, "labels"))
+
+
 @query
 def op9_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontamination.contained_items(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
