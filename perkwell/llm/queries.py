@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, spotsigs, toxicity, url_lists
+from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, quotations, spotsigs, toxicity, url_lists
 from perkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,6 +97,28 @@ def op9_decontamination(spark: SparkSession, directory: str) -> DataFrame:
     return decontamination.contained_items(table(spark, directory, "documents"), table(spark, directory, "benchmark"))
 
 
+def quoting_messages(conversations: DataFrame) -> DataFrame:
+    """The conversations as mail: two of three replies quote the message before, and some of these what it quoted."""
+    plain = conversations.select("conv_id", "turn", "text")
+
+    def quoted(mark: str) -> F.Column:
+        return F.concat(F.lit(mark), F.regexp_replace(F.coalesce("text", F.lit("")), "\n", f"\n{mark}"), F.lit("\n"))
+
+    before = plain.select("conv_id", (F.col("turn") + 1).alias("turn"), quoted("> ").alias("_one"))
+    earlier = plain.select("conv_id", (F.col("turn") + 2).alias("turn"), quoted(">> ").alias("_two"))
+    kind = (F.col("conv_id") + F.col("turn")) % 3
+    joined = conversations.join(before, ["conv_id", "turn"], "left").join(earlier, ["conv_id", "turn"], "left")
+    quotes = F.when(kind == 1, F.coalesce("_one", F.lit(""))).when(
+        kind == 2, F.concat(F.coalesce("_two", F.lit("")), F.coalesce("_one", F.lit("")))
+    ).otherwise(F.lit(""))
+    return joined.select("conv_id", "turn", "role", F.concat(quotes, F.lit("\n"), F.coalesce("text", F.lit(""))).alias("text"))
+
+
+@query
+def op10_quotations(spark: SparkSession, directory: str) -> DataFrame:
+    return quotations.link_quotations(quoting_messages(table(spark, directory, "conversations")))
+
+
 ORACLE_SQL: dict[str, str] = {}
 
 _MIX_SQL = f"""
