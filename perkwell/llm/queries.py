@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, quotations, spotsigs, toxicity, url_lists
+from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, quotations, repeated_bytes, spotsigs, toxicity, url_lists
 from perkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,6 +82,16 @@ def op5_url_lists(spark: SparkSession, directory: str) -> DataFrame:
     return out.withColumn("fetched", F.col("fetched").cast("string")).withColumn("listed_since", F.col("listed_since").cast("string"))
 
 
+@query
+def op6_repeated_bytes(spark: SparkSession, directory: str) -> DataFrame:
+    out = repeated_bytes.remove_repeated(table(spark, directory, "documents"))
+    removed = F.col("n_bytes") - F.octet_length("kept")
+    return out.select(
+        "doc_id", "n_bytes", removed.cast("long").alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 @query
 def op7_quality(spark: SparkSession, directory: str) -> DataFrame:
     return quality.scored(table(spark, directory, "documents"), table(spark, directory, "labels"))
