@@ -163,6 +163,13 @@ def mix_plan(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
 
 
 def mixed_documents(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
-    """The documents of the plan with their texts, and where they stand in it."""
-    plan = mix_plan(docs, mix).select(F.col("doc_id").alias("_id"), "n_tokens", "epoch", "block", "position")
-    return docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).drop("_id")
+    """The documents of the plan with their texts, and where they stand in it.
+
+    doc_id must name one row here: rows that share one are repeated for each other's
+    places. Columns of the same names as those added give way to them.
+    """
+    added = ["n_tokens", "epoch", "block", "position"]
+    plan = mix_plan(docs, mix)
+    texts = docs.drop(*added).alias("t")
+    same = F.col("t.doc_id").eqNullSafe(F.col("p.doc_id"))
+    return texts.join(plan.alias("p"), same).select("t.*", *[f"p.{c}" for c in added])

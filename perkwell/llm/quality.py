@@ -94,7 +94,7 @@ def grow(x: np.ndarray, y: np.ndarray) -> Forest:
     base = float(np.log(share / (1 - share))) if 0 < share < 1 else (0.0 if not len(y) else float(np.copysign(5.0, share - 0.5)))
     nodes: list[tuple[int, float, int, int, float]] = []
     roots: list[int] = []
-    if 0 < share < 1:
+    if len(y) and 0 < share < 1:
         cuts = [np.unique(np.quantile(x[:, j], np.linspace(0, 1, BINS + 1)[1:-1])) for j in range(x.shape[1])]
         binned = np.column_stack([np.searchsorted(c, x[:, j], side="left") for j, c in enumerate(cuts)])
         total = np.full(len(y), base)

@@ -31,7 +31,7 @@ from perkwell.llm.textbytes import text_batches
 # Letters of other scripts that look like Latin ones, and signs used for letters.
 HOMOGLYPHS = dict(zip("аеорсухіјѕԁһкмтвнгαεορτυνικβ", "aeopcyxijsdhkmtbhraeoptuvikb", strict=True))
 SIGNS = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "|": "l", "€": "e"}
-FOLDING = str.maketrans(HOMOGLYPHS | SIGNS)
+LOOKALIKES, SPELLINGS = str.maketrans(HOMOGLYPHS), str.maketrans(SIGNS)
 STARTERS = ("idiot", "moron", "loser", "scum", "worthless", "pathetic", "stupid", "trash", "disgusting", "clown")
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clown nose", "stupid mistake")
 HOLD_PARTS, HOLD_PART = 4, 2
@@ -52,9 +52,9 @@ def folded(text: str | None) -> str:
     plain = (text or "").lower()
     if not plain.isascii():
         plain = unicodedata.normalize("NFKC", plain).lower()
-    plain = _RUN.sub(lambda m: m.group().translate(FOLDING), plain)
+    plain = _RUN.sub(lambda m: m.group().translate(SPELLINGS), plain)
     if not plain.isascii():
-        plain = plain.translate(FOLDING)
+        plain = plain.translate(LOOKALIKES)
     return f" {' '.join(_WORD.findall(plain))} "
 
 
