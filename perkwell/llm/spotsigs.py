@@ -74,31 +74,29 @@ def likeness(a: Column, b: Column) -> Column:
     return (shared / (F.size(a) + F.size(b) - shared)).cast("double")
 
 
-def with_next(docs: DataFrame, order: str, columns: list[str], rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
-    """Add ``next_<column>``: the values of the row that follows in descending ``order``, the first row's after the last.
+def with_next(docs: DataFrame, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """doc_id, text, signatures and those of the next document in descending doc_id, the first one after the last.
 
-    Rows are dealt into blocks of neighbouring keys (NULL keys come last, in one block),
-    so that each block finds its followers alone; only the first row of each block
-    is handed to the block before it.
+    Documents are dealt into blocks of neighbouring ids (NULL ids come last, in a block of
+    their own), so each block finds its followers alone and texts are shuffled once.
+    Only the first document of each block is also handed to the block before it.
     """
-    span = docs.agg(F.min(order).alias("low"), F.max(order).alias("high"), F.count("*").alias("n")).first()
+    span = docs.agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), F.count("*").alias("n")).first()
     low, high = span["low"] or 0, span["high"] or 0
     width = max(1, math.ceil((high - low + 1) * rows_per_block / max(span["n"], 1)))
-    block = F.coalesce(F.floor((F.col(order) - F.lit(low)) / F.lit(width)), F.lit(-1))
-    blocked = docs.withColumn("_block", block)
-    downwards = [F.col(order).desc_nulls_last(), *[F.col(c) for c in columns if c != order]]
-    inside = Window.partitionBy("_block").orderBy(*downwards)
-    row = F.struct(*columns)
-    followed = blocked.withColumn("_next", F.lead(row).over(inside)).withColumn("_n", F.row_number().over(inside))
-    firsts = cut(followed.filter("_n = 1").select("_block", row.alias("_first")))
+    block = F.coalesce(F.floor((F.col("doc_id") - F.lit(low)) / F.lit(width)), F.lit(-1))
+    blocked = docs.select(block.alias("_block"), "doc_id", whole_text().alias("text"))
+    firsts = cut(blocked.groupBy("_block").agg(F.max(F.struct("doc_id", "text")).alias("_first")))
     among = Window.orderBy(F.col("_block").desc())
-    chain = firsts.select("_block", F.lead("_block").over(among).alias("_then"), F.max("_block").over(Window.partitionBy()).alias("_top"))
-    handed = chain.select("_block", F.coalesce("_then", "_top").alias("_from")).join(
-        firsts.withColumnRenamed("_block", "_from"), "_from"
-    ).select("_block", "_first")
-    after = F.coalesce("_next", "_first")
-    return followed.join(handed, "_block").select(
-        *docs.columns, *[after[c].alias(f"next_{c}") for c in columns]
+    chain = firsts.select("_block", F.coalesce(F.lead("_block").over(among), F.first("_block").over(among)).alias("_from"))
+    handed = chain.join(firsts.withColumnRenamed("_block", "_from"), "_from").select("_block", "_first")
+
+    inside = Window.partitionBy("_block").orderBy(F.col("doc_id").desc_nulls_last(), F.col("text").desc())
+    rows = blocked.withColumn("_next", F.lead("text").over(inside)).withColumn("signatures", signatures(F.col("text")))
+    rows = rows.withColumn("_next_signatures", F.lead("signatures").over(inside)).join(handed, "_block")
+    return rows.select(
+        "doc_id", "text", "signatures", F.coalesce("_next", "_first.text").alias("next_text"),
+        F.coalesce("_next_signatures", signatures(F.col("_first.text"))).alias("next_signatures"),
     )
 
 
@@ -149,8 +147,7 @@ def similar_documents(prints: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
 def edit_report(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edited form, and how alike they are."""
-    rows = with_next(fingerprints(docs), "doc_id", ["text", "signatures"])
-    rows = rows.withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
+    rows = with_next(docs).withColumn("edited_text", edited(F.col("text"), F.col("next_text")))
     rows = rows.withColumn("edited_signatures", signatures(F.col("edited_text")))
     return rows.select(
         "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited_text", 256).alias("edited_sha256"),
