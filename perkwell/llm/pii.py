@@ -18,7 +18,7 @@ that table reaches the driver; finding and scoring spans are column expressions.
 
 Edge cases: NULL and empty texts have no spans; positions count code points;
 repeated rows give repeated rows; an empty table gives an empty result; other
-columns pass through ``mask`` untouched and are not read by ``find_spans``.
+columns pass through ``mask`` untouched; ``find_spans`` adds ``_base`` and ``_spans`` to those it is given.
 """
 
 from __future__ import annotations
@@ -103,12 +103,14 @@ def _matches(text: Column, pattern: str) -> Column:
 def _walk(gaps: Column, found: Column) -> Column:
     none = F.array().cast("array<struct<start:int,stop:int,text:string,before:string,after:string>>")
 
+    # No helper lambda here: its result, with all that was found so far, would be copied for each match.
     def step(state: Column, i: Column) -> Column:
         begin = state["at"] + F.length(F.get(gaps, i))
-        return let(begin, lambda b: F.struct((b + F.length(F.get(found, i))).alias("at"), F.array_append(state["out"], F.struct(
-            b.alias("start"), (b + F.length(F.get(found, i))).alias("stop"), F.get(found, i).alias("text"),
+        end = begin + F.length(F.get(found, i))
+        return F.struct(end.alias("at"), F.array_append(state["out"], F.struct(
+            begin.alias("start"), end.alias("stop"), F.get(found, i).alias("text"),
             F.right(F.get(gaps, i), F.lit(30)).alias("before"), F.left(F.get(gaps, i + 1), F.lit(1)).alias("after"),
-        )).alias("out")))
+        )).alias("out"))
 
     start = F.struct(F.lit(0).alias("at"), none.alias("out"))
     walked = F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(found) - 1, F.lit(0))), start, step)["out"]
@@ -238,7 +240,8 @@ def mask(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
 
     Overlapping spans become one, named after the first.
     """
-    found = find_spans(docs, model)
+    # The columns of the document travel in one struct, so none of them can clash with those made here.
+    found = find_spans(docs.select("text", F.struct(*docs.columns).alias("_doc")), model)
     text = whole_text()
     empty = F.array().cast("array<struct<start:int,stop:int,kind:string>>")
 
@@ -258,8 +261,10 @@ def mask(docs: DataFrame, model: SpanModel | None = None) -> DataFrame:
     ))
     rest = F.substr(text, F.try_element_at("_spans", F.lit(-1))["stop"] + 1, F.length(text))
     masked = F.when(F.size("_spans") > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(F.col("text"))
-    out = merged.withColumn("text", masked)
-    if "n_chars" in docs.columns:
-        count = F.when(F.size("_spans") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
-        out = out.withColumn("n_chars", count)
-    return out.select(*docs.columns)
+    out = merged.select("_doc", masked.alias("_masked"), (F.size("_spans") > 0).alias("_changed"))
+    columns = {c: F.col("_doc")[c] for c in docs.columns}
+    columns["text"] = F.col("_masked")
+    if "n_chars" in columns:
+        count = F.length("_masked").cast(docs.schema["n_chars"].dataType)
+        columns["n_chars"] = F.when(F.col("_changed"), count).otherwise(columns["n_chars"])
+    return out.select(*[value.alias(name) for name, value in columns.items()])
