@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from perkwell.functions.columns import MONEY, moment
 from perkwell.operators.ordering import BLOCK, block_offsets, place_in_order, row_in_block
-from perkwell.schemas import DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS
+from perkwell.schemas import (
+    DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS, USER,
+)
 
 
 def row_key(table: str) -> Column:
@@ -31,15 +33,14 @@ def check_violations(
     """Rows that break a check rule, as (table_name, rule_name, row_key).
 
     One pass per table tests all its rules. A rule that comes out NULL is kept.
-    Rules on columns a table does not have are left out.
+    A rule on a column that its table does not have is an error, as the check would be incomplete.
     """
     parts = []
     for name, rows in tables.items():
-        broken = {
-            rule: ~F.coalesce(F.expr(test), F.lit(True))
-            for rule, test in rules.get(name, {}).items()
-            if _columns_of(test) <= set(rows.columns)
-        }
+        for rule, test in rules.get(name, {}).items():
+            if absent := sorted(_columns_of(test) - set(rows.columns)):
+                raise ValueError(f"rule {rule} of {name} needs the columns {', '.join(absent)}")
+        broken = {rule: ~F.coalesce(F.expr(test), F.lit(True)) for rule, test in rules.get(name, {}).items()}
         if broken:
             parts.append(_flagged(rows, broken, "rule_name").select(
                 F.lit(name).alias("table_name"), "rule_name", row_key(name).alias("row_key")
@@ -134,15 +135,18 @@ def _children_last(tables: Mapping[str, DataFrame]) -> list[str]:
     return placed
 
 
-def apply_defaults(rows: DataFrame, table: str, as_of: datetime) -> DataFrame:
-    """Add the columns ``rows`` omits with their declared default, else NULL; given NULLs stay."""
+def apply_defaults(rows: DataFrame, table: str, as_of: datetime, user: str | None = None) -> DataFrame:
+    """Add the columns ``rows`` omits with their declared default, else NULL; given NULLs stay.
+
+    ``user`` is whoever makes the change, the default of ``changed_by``.
+    """
     out = []
     for field in SCHEMAS[table]:
         if field.name in rows.columns:
             value = F.col(field.name)
         else:
             default = DEFAULTS.get(table, {}).get(field.name)
-            value = moment(as_of) if default is NOW else F.lit(default)
+            value = moment(as_of) if default is NOW else F.lit(user if default is USER else default)
         out.append(value.cast(field.dataType).alias(field.name))
     return rows.select(out)
 

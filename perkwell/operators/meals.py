@@ -11,6 +11,7 @@ from perkwell.functions.columns import (
 )
 from perkwell.operators.audit import activity_rows
 from perkwell.operators.vouchers import voucher_value
+from perkwell.schemas import RULES
 
 # Set-meal pricing in percent, and the terms of an automatic promotion.
 STANDARD_DISCOUNT = 15
@@ -19,6 +20,8 @@ PRICE_FLOOR = "0.7"
 AUTO_PROMOTION_DAYS = 30
 AUTO_PROMOTION_VALUE = 5
 SALES_MONTHS = 3
+# Fixed value: the error code of a broken check rule.
+CHECK_FAILED = -2290
 # Report order of the tiers, best first.
 TIER_RANK = ("Diamond", "Platinum", "Gold", "Silver", "Bronze")
 
@@ -193,12 +196,17 @@ def _voucher_part(rows: DataFrame, promotions: DataFrame, customers: DataFrame,
                              .otherwise(F.col("voucher_value")))
 
 
+def _payable() -> Column:
+    """Whether an order may be stored with the payment method: the check rule of orders, which lets NULL pass."""
+    return F.coalesce(F.expr(RULES["orders"]["payment_method"]), F.lit(True))
+
+
 def create_alacarte_orders(
     requests: DataFrame, customers: DataFrame, items: DataFrame, promotions: DataFrame, as_of: datetime
 ) -> dict[str, DataFrame]:
     """Create orders from requests of (request_id, customer_id, item_ids text, payment_method, promotion_id).
 
-    Each id in the text must be an active à la carte item, else it is skipped;
+    The payment method must be one an order may have. Each id in the text must be an active à la carte item, else it is skipped;
     repeated ids give repeated lines. Orders are keyed by ``request_id`` until
     ``assign_keys`` numbers them.
     """
@@ -206,14 +214,15 @@ def create_alacarte_orders(
     parts = F.filter(F.transform(F.split("item_ids", ","), lambda part: F.trim(part)), lambda part: part != "")
     known = (
         requests.join(members, "customer_id", "left")
-        .withColumn("_parts", F.when(F.col("_member"), parts))
+        .withColumn("_payable", _payable())
+        .withColumn("_parts", F.when(F.col("_member") & F.col("_payable"), parts))
         .withColumn("_unreadable", F.exists("_parts", lambda part: part.try_cast("decimal(38,9)").isNull()))
     )
     for_sale = items.where((F.col("item_type") == "A_LA_CARTE") & (F.col("is_active") == "Y")).select(
         "item_id", F.col("base_price").alias("price")
     )
     number = F.col("_text").try_cast("decimal(38,9)")
-    facts = ["request_id", "customer_id", "promotion_id", "payment_method", "_member", "_unreadable"]
+    facts = ["request_id", "customer_id", "promotion_id", "payment_method", "_member", "_payable", "_unreadable"]
     asked = (
         known.select(*facts, F.posexplode_outer(F.when(~F.col("_unreadable"), F.col("_parts")))
                      .alias("line_no", "_text"))
@@ -233,6 +242,7 @@ def create_alacarte_orders(
         .withColumn(
             "status",
             F.when(F.col("_member").isNull(), "NOT_A_MEMBER")
+            .when(~F.col("_payable"), "PAYMENT_METHOD_REFUSED")
             .when(F.col("_unreadable"), "BAD_ITEM_LIST")
             .when(F.col("items") == 0, "NO_VALID_ITEMS")
             .otherwise("CREATED"),
@@ -246,7 +256,8 @@ def create_alacarte_orders(
         *_order_totals(F.col("voucher_value")), "payment_method", F.lit("COMPLETED").alias("status"), "items",
     )
     codes = F.create_map(
-        F.lit("NOT_A_MEMBER"), F.lit(-20010), F.lit("NO_VALID_ITEMS"), F.lit(-20011)
+        F.lit("NOT_A_MEMBER"), F.lit(-20010), F.lit("NO_VALID_ITEMS"), F.lit(-20011),
+        F.lit("PAYMENT_METHOD_REFUSED"), F.lit(CHECK_FAILED),
     )
     rejects = judged.where(F.col("status") != "CREATED").select(
         "request_id", "customer_id", "status", codes[F.col("status")].alias("error_code")
@@ -284,6 +295,7 @@ def create_setmeal_orders(
             F.when(F.col("_known").isNull(), "CUSTOMER_NOT_FOUND")
             .when(F.col("is_member") != "Y", "NOT_A_MEMBER")
             .when(F.col("total_amount").isNull(), "SET_MEAL_NOT_AVAILABLE")
+            .when(~_payable(), "PAYMENT_METHOD_REFUSED")
             .otherwise("CREATED"),
         )
     )
@@ -292,7 +304,7 @@ def create_setmeal_orders(
     )
     now = moment(as_of)
     new_promotions = (
-        judged.where(F.col("status").isin("CREATED", "SET_MEAL_NOT_AVAILABLE") & F.col("_on_menu"))
+        judged.where(F.col("status").isin("CREATED", "SET_MEAL_NOT_AVAILABLE", "PAYMENT_METHOD_REFUSED") & F.col("_on_menu"))
         .select("item_id").distinct().join(live, "item_id", "left_anti")
         .select(
             F.lit("SET_MEAL").alias("promotion_type"),
@@ -315,6 +327,7 @@ def create_setmeal_orders(
     )
     codes = F.create_map(*[F.lit(x) for x in (
         "CUSTOMER_NOT_FOUND", -20011, "NOT_A_MEMBER", -20010, "SET_MEAL_NOT_AVAILABLE", -20020,
+        "PAYMENT_METHOD_REFUSED", CHECK_FAILED,
     )])
     rejects = judged.where(F.col("status") != "CREATED").select(
         "request_id", "customer_id", "item_id", "status", codes[F.col("status")].alias("error_code")

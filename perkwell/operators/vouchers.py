@@ -10,6 +10,7 @@ from perkwell.functions.columns import MONEY, cents, joined_text, live_at, momen
 from perkwell.functions.joins import sent_if_few, spread_join
 from perkwell.functions.tiers import every_tier, with_ladder
 from perkwell.operators.audit import activity_rows
+from perkwell.operators.integrity import assign_keys
 from perkwell.operators.ordered_spend import spend_in_order
 from perkwell.sources.checkpoints import cut
 
@@ -103,6 +104,19 @@ def _code(prefix: str, letters: int, seed: str, row_id: str, attempt: int) -> Co
     return F.concat(F.lit(prefix), F.substring(text, 1, letters))
 
 
+def _handed_out(waiting: DataFrame, used: DataFrame, prefix: str, letters: int, row_id: str) -> DataFrame:
+    """Free codes in order, one per id in order. The list is at most twice as long as used codes and ids together."""
+    digit = [
+        F.substring(F.lit(CODE_LETTERS), ((F.col("id") / len(CODE_LETTERS)**k).cast("long") % len(CODE_LETTERS) + 1).cast("int"), F.lit(1))
+        for k in range(letters)
+    ]
+    every = waiting.sparkSession.range(len(CODE_LETTERS) ** letters).select(
+        F.concat(F.lit(prefix), *reversed(digit)).alias("voucher_code")
+    )
+    free = assign_keys(every.join(used, "voucher_code", "left_anti"), ["voucher_code"], "_rank", 0)
+    return assign_keys(waiting, [row_id], "_rank", 0).join(free, "_rank").select(row_id, "voucher_code")
+
+
 def voucher_codes(
     ids: DataFrame, used_codes: DataFrame, prefix: str | None = None, length: int = 12, seed: str = "",
     row_id: str = "id",
@@ -110,13 +124,27 @@ def voucher_codes(
     """One code per id: the upper-case prefix plus letters, at least one of them.
 
     Codes are a seeded hash of the id, so a rerun gives the same ones. An id whose
-    code is in ``used_codes`` or was drawn by a lower id draws again.
+    code is in ``used_codes`` or was drawn by a lower id draws again. Where more than
+    half of the possible codes would be used, drawing would take long; the free codes
+    are then listed and handed out in order instead. It is an error only if there are
+    fewer free codes than ids.
     """
     prefix = (prefix or "").upper()
     letters = max(1, length - len(prefix))
     taken = used_codes.select("voucher_code").where(F.col("voucher_code").isNotNull())
     done = None
     waiting = cut(ids.select(row_id))
+    possible = len(CODE_LETTERS) ** letters
+    fitting = F.col("voucher_code").startswith(prefix) & (F.translate(
+        F.substring("voucher_code", len(prefix) + 1, letters + 1), CODE_LETTERS, "0" * len(CODE_LETTERS)
+    ) == "0" * letters)
+    used = cut(taken.where(fitting).distinct())
+    wanted = waiting.count()
+    free = possible - used.count()
+    if wanted > free:
+        raise ValueError("code space is used up; ask for longer codes")
+    if 2 * (possible - free + wanted) > possible:
+        return _handed_out(waiting, used, prefix, letters, row_id)
     attempt = 0
     while True:
         drawn = waiting.withColumn("voucher_code", _code(prefix, letters, seed, row_id, attempt))
@@ -126,8 +154,6 @@ def voucher_codes(
         waiting = cut(waiting.join(fresh, row_id, "left_anti"))
         if waiting.isEmpty():
             return done.select(row_id, "voucher_code")
-        if fresh.isEmpty() and attempt > 20:
-            raise ValueError("code space is used up; ask for longer codes")
         taken = taken.unionByName(fresh.select("voucher_code"))
         attempt += 1
 

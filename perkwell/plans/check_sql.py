@@ -138,25 +138,27 @@ _CASCADE = f"""cascade AS (
 _ALACARTE_PARTS = """
     parts AS (
         SELECT r.request_id, r.customer_id, r.promotion_id, r.payment_method, trim(part) AS part,
-               c.is_member IS NOT DISTINCT FROM 'Y' AS member
+               c.is_member IS NOT DISTINCT FROM 'Y' AS member,
+               coalesce(payment_method IN ('CASH', 'CARD', 'ONLINE'), true) AS payable
         FROM (SELECT *, unnest(string_split(item_ids, ',')) AS part FROM ly_alacarte_requests) r
         LEFT JOIN ly_customers c ON c.customer_id = r.customer_id),
     judged AS (
-        SELECT request_id, customer_id, promotion_id, payment_method, member,
+        SELECT request_id, customer_id, promotion_id, payment_method, member, payable,
             bool_or(part <> '' AND TRY_CAST(part AS DECIMAL(38,9)) IS NULL) AS bad,
             count(m.item_id) AS items, sum(m.base_price) AS total
         FROM parts LEFT JOIN ly_menu_items m ON m.item_id = TRY_CAST(part AS BIGINT)
             AND m.item_type = 'A_LA_CARTE' AND m.is_active = 'Y'
-        GROUP BY request_id, customer_id, promotion_id, payment_method, member)"""
+        GROUP BY request_id, customer_id, promotion_id, payment_method, member, payable)"""
 _ALACARTE_ORDERS = f"""(SELECT r.request_id, r.customer_id, r.promotion_id, r.payment_method, r.items,
         CAST(r.total AS DECIMAL(10,2)) AS total,
         CASE WHEN r.promotion_id IS NULL THEN 0 ELSE {_voucher_value("CAST(r.total AS DECIMAL(10,2))")} END AS discount
-    FROM (SELECT * FROM judged WHERE member AND NOT bad AND items > 0) r {_VOUCHER_JOIN})"""
+    FROM (SELECT * FROM judged WHERE member AND payable AND NOT bad AND items > 0) r {_VOUCHER_JOIN})"""
 
 _SETMEAL_JUDGED = """(SELECT r.*, m.item_id AS on_menu,
     CASE WHEN m.item_type = 'SET_MEAL' AND m.is_active = 'Y' THEN m.base_price END AS total,
     CASE WHEN c.customer_id IS NULL THEN 'CUSTOMER_NOT_FOUND' WHEN c.is_member <> 'Y' THEN 'NOT_A_MEMBER'
-         WHEN m.item_type = 'SET_MEAL' AND m.is_active = 'Y' THEN 'CREATED' ELSE 'SET_MEAL_NOT_AVAILABLE' END AS status
+         WHEN m.item_type = 'SET_MEAL' AND m.is_active = 'Y' THEN CASE WHEN r.payment_method NOT IN ('CASH', 'CARD', 'ONLINE')
+             THEN 'PAYMENT_METHOD_REFUSED' ELSE 'CREATED' END ELSE 'SET_MEAL_NOT_AVAILABLE' END AS status
     FROM ly_setmeal_requests r LEFT JOIN ly_customers c ON c.customer_id = r.customer_id
     LEFT JOIN ly_menu_items m ON m.item_id = r.item_id)"""
 
@@ -367,8 +369,7 @@ SQL: dict[str, str] = {
         FROM ly_promotions p WHERE p.set_meal_id IN (SELECT item_id FROM ly_menu_items WHERE item_type = 'SEASONAL'
             AND name IN (SELECT name FROM ly_menu_items WHERE item_type = 'SEASONAL' AND is_active = 'N'))""",
     "tier_requirements": """
-        SELECT tier_id, tier_name, points_required FROM ly_membership_tiers
-        WHERE tier_id IN (SELECT tier_id FROM ly_customers)""",
+        SELECT tier_id, tier_name, points_required FROM ly_membership_tiers""",
     "used_promotions": "SELECT * FROM ly_customer_promotions WHERE is_used = 'Y'",
     "expired_item_status": """
         SELECT item_id, item_type, name, CAST(base_price AS DOUBLE) AS base_price, valid_to, is_active
@@ -523,13 +524,28 @@ SQL: dict[str, str] = {
         FROM parts p JOIN judged j ON j.request_id = p.request_id
         JOIN ly_menu_items m ON m.item_id = TRY_CAST(p.part AS BIGINT) AND m.item_type = 'A_LA_CARTE'
             AND m.is_active = 'Y'
-        WHERE j.member AND NOT j.bad""",
+        WHERE j.member AND j.payable AND NOT j.bad""",
+    "create_alacarte_skipped": f"""
+        WITH {_ALACARTE_PARTS}
+        SELECT p.request_id, p.part AS item_text FROM parts p JOIN judged j ON j.request_id = p.request_id
+        WHERE j.member AND j.payable AND NOT j.bad AND p.part <> '' AND NOT EXISTS (
+            SELECT 1 FROM ly_menu_items m WHERE m.item_id = TRY_CAST(p.part AS BIGINT) AND m.item_type = 'A_LA_CARTE'
+                AND m.is_active = 'Y')""",
+    "create_setmeal_lines": f"""
+        SELECT r.request_id, r.item_id, CAST(1 AS BIGINT) AS quantity, CAST(r.total AS DOUBLE) AS price,
+            CAST(0 AS DOUBLE) AS discount_applied
+        FROM {_SETMEAL_JUDGED} r WHERE r.status = 'CREATED'""",
+    "create_setmeal_rejects": f"""
+        SELECT r.request_id, r.customer_id, r.item_id, r.status, CAST(CASE r.status WHEN 'CUSTOMER_NOT_FOUND' THEN -20011
+            WHEN 'NOT_A_MEMBER' THEN -20010 WHEN 'SET_MEAL_NOT_AVAILABLE' THEN -20020 ELSE -2290 END AS INTEGER) AS error_code
+        FROM {_SETMEAL_JUDGED} r WHERE r.status <> 'CREATED'""",
     "create_alacarte_rejects": f"""
         WITH {_ALACARTE_PARTS}
-        SELECT request_id, customer_id, CASE WHEN NOT member THEN 'NOT_A_MEMBER' WHEN bad THEN 'BAD_ITEM_LIST'
-                ELSE 'NO_VALID_ITEMS' END AS status,
-            CAST(CASE WHEN NOT member THEN -20010 WHEN bad THEN NULL ELSE -20011 END AS INTEGER) AS error_code
-        FROM judged WHERE NOT member OR bad OR items = 0""",
+        SELECT request_id, customer_id, CASE WHEN NOT member THEN 'NOT_A_MEMBER' WHEN NOT payable
+                THEN 'PAYMENT_METHOD_REFUSED' WHEN bad THEN 'BAD_ITEM_LIST' ELSE 'NO_VALID_ITEMS' END AS status,
+            CAST(CASE WHEN NOT member THEN -20010 WHEN NOT payable THEN -2290 WHEN bad THEN NULL ELSE -20011 END
+                AS INTEGER) AS error_code
+        FROM judged WHERE NOT member OR NOT payable OR bad OR items = 0""",
     "create_setmeal_orders": f"""
         SELECT r.request_id, r.customer_id, r.item_id, $now AS order_date, CAST(r.total AS DOUBLE) AS total_amount,
             CAST(least(v, r.total) AS DOUBLE) AS discount_amount,
@@ -541,7 +557,7 @@ SQL: dict[str, str] = {
         SELECT DISTINCT 'SET_MEAL' AS promotion_type, 'Auto Promo for Set Meal ' || r.item_id AS name,
             $now AS valid_from, $now + INTERVAL 30 DAY AS valid_to, CAST(5 AS DOUBLE) AS discount_value,
             r.item_id AS set_meal_id
-        FROM {_SETMEAL_JUDGED} r WHERE r.status IN ('CREATED', 'SET_MEAL_NOT_AVAILABLE') AND r.on_menu IS NOT NULL
+        FROM {_SETMEAL_JUDGED} r WHERE r.status IN ('CREATED', 'SET_MEAL_NOT_AVAILABLE', 'PAYMENT_METHOD_REFUSED') AND r.on_menu IS NOT NULL
           AND NOT EXISTS (SELECT 1 FROM ly_promotions p WHERE p.promotion_type = 'SET_MEAL'
               AND p.set_meal_id = r.item_id AND {_LIVE})""",
     "audit_activity": f"""

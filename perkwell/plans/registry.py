@@ -151,8 +151,7 @@ def promotions_of_named_item(t):
 
 @query
 def tier_requirements(t):
-    in_use = t.membership_tiers.join(t.customers.select("tier_id"), "tier_id", "left_semi")
-    return membership.tier_requirements(in_use)
+    return membership.tier_requirements(t.membership_tiers)
 
 
 @query
@@ -316,6 +315,27 @@ def create_alacarte_rejects(t):
     )["rejects"]
 
 
+@query
+def create_alacarte_skipped(t):
+    return meals.create_alacarte_orders(
+        t.alacarte_requests, t.customers, t.menu_items, t.promotions, AS_OF
+    )["skipped"].drop("line_no")
+
+
+@query
+def create_setmeal_lines(t):
+    return meals.create_setmeal_orders(
+        t.setmeal_requests, t.customers, t.menu_items, t.promotions, AS_OF
+    )["order_items"]
+
+
+@query
+def create_setmeal_rejects(t):
+    return meals.create_setmeal_orders(
+        t.setmeal_requests, t.customers, t.menu_items, t.promotions, AS_OF
+    )["rejects"]
+
+
 @query
 def create_setmeal_orders(t):
     return meals.create_setmeal_orders(t.setmeal_requests, t.customers, t.menu_items, t.promotions, AS_OF)["orders"]

@@ -130,8 +130,8 @@ REFERENCES: tuple[Reference, ...] = (
     Reference("customer_activity", "customer_id", "customers"),
 )
 
-# Declared defaults. ``now`` stands for the as-of time.
-NOW = object()
+# Declared defaults. ``NOW`` stands for the as-of time, ``USER`` for who makes the change.
+NOW, USER = object(), object()
 DEFAULTS: dict[str, dict[str, object]] = {
     "membership_tiers": {
         "renewal_fee": 0, "birthday_bonus_points": 0, "points_expiry_months": 12, "base_earn_rate": 1,
@@ -144,7 +144,7 @@ DEFAULTS: dict[str, dict[str, object]] = {
     "promotions": {"is_auto_assign": "N"},
     "orders": {"order_date": NOW, "discount_amount": 0, "status": "COMPLETED"},
     "point_transactions": {"transaction_date": NOW},
-    "membership_history": {"change_date": NOW},
+    "membership_history": {"change_date": NOW, "changed_by": USER},
     "customer_promotions": {"date_acquired": NOW, "is_used": "N"},
     "redemptions": {"redemption_date": NOW, "redemption_status": "COMPLETED"},
     "set_meal_components": {"quantity": 1},
@@ -221,3 +221,19 @@ RULES: dict[str, dict[str, str]] = {
         " 'VOUCHER_ASSIGNMENT', 'BIRTHDAY')",
     },
 }
+
+# Declared lengths of text columns.
+LENGTHS: dict[str, dict[str, int]] = {
+    "membership_tiers": {"tier_name": 20},
+    "customers": {"name": 100, "email": 100, "phone": 15, "membership_status": 20},
+    "menu_items": {"item_type": 20, "name": 100, "description": 200},
+    "promotions": {"promotion_type": 20, "name": 100, "voucher_code": 50},
+    "orders": {"payment_method": 50, "status": 20},
+    "point_transactions": {"transaction_type": 20, "description": 200},
+    "membership_history": {"change_reason": 100, "changed_by": 30},
+    "customer_promotions": {"acquisition_method": 20},
+    "redemptions": {"redemption_status": 20},
+    "customer_activity": {"activity_type": 30, "ip_address": 45, "details": 4000},
+}
+for _table, _columns in LENGTHS.items():
+    RULES[_table] |= {f"{_column}_length": f"LENGTH({_column}) <= {_most}" for _column, _most in _columns.items()}

@@ -262,14 +262,14 @@ def loyalty_selects(d: Dialect) -> dict[str, str]:
                    CASE WHEN o_orderkey % 101 = 0 THEN concat(o_orderkey, ',abc')
                         ELSE concat((o_orderkey * 7) % {n_parts}, ', ', (o_orderkey * 11) % {n_parts}, ',,',
                                     (o_orderkey * 13) % ({n_parts} + 50)) END AS item_ids,
-                   'CARD' AS payment_method,
+                   CASE WHEN o_orderkey % 43 = 0 THEN 'BITCOIN' WHEN o_orderkey % 41 <> 0 THEN 'CARD' END AS payment_method,
                    CASE WHEN o_orderkey % 2 = 0 THEN {asked_voucher} END AS promotion_id
             FROM {{orders}}""",
         "setmeal_requests": f"""
             SELECT o_orderkey AS request_id, {asking_customer},
                    CAST(8 * (o_orderkey % CAST(floor({n_parts} / 8) AS BIGINT)) + CASE WHEN o_orderkey % 19 = 0
                         THEN 1 ELSE 0 END AS BIGINT) AS item_id,
-                   'ONLINE' AS payment_method,
+                   CASE WHEN o_orderkey % 47 = 0 THEN 'CHEQUE' WHEN o_orderkey % 41 <> 0 THEN 'ONLINE' END AS payment_method,
                    CASE WHEN o_orderkey % 2 = 1 THEN {asked_voucher} END AS promotion_id
             FROM {{orders}}""",
         # Change sets: what a statement on the ledger or on the order lines touched.
@@ -294,11 +294,14 @@ def loyalty_selects(d: Dialect) -> dict[str, str]:
         "raw_customers": """
             SELECT c_custkey AS customer_id, CAST(floor(c_acctbal) AS BIGINT) AS points_balance,
                    CASE WHEN c_mktsegment = 'MACHINERY' THEN '?' ELSE 'Y' END AS is_member,
-                   'ACTIVE' AS membership_status
+                   'ACTIVE' AS membership_status, c_name AS name,
+                   CASE WHEN c_custkey % 50 = 0 THEN repeat('x', 101) ELSE '' END AS email,
+                   concat('555-', c_custkey, CASE WHEN c_custkey % 60 = 0 THEN '-555-555-555' ELSE '' END) AS phone
             FROM {customer}""",
         "raw_point_transactions": f"""
             SELECT event_id AS transaction_id, {points} AS points_amount,
-                   CASE WHEN event_type = 'view' THEN 'GIFT' ELSE {ledger_type} END AS transaction_type
+                   CASE WHEN event_type = 'view' THEN 'GIFT' ELSE {ledger_type} END AS transaction_type,
+                   event_type AS description
             FROM {{events}}""",
     }
 

@@ -143,3 +143,15 @@ def test_too_many_tiers_are_refused(spark, t):
     with pytest.raises(Exception, match="more than"):
         maintenance.recalc_tier(t["customers"], tiers).collect()
     assert len(ITEMS) == 13
+
+
+def test_a_rule_needs_its_columns(spark, t):
+    with pytest.raises(ValueError, match="membership_status"):
+        integrity.check_violations({"customers": t["customers"].drop("membership_status")})
+
+
+def test_lengths_and_who_changed(spark, t):
+    long = table(spark, "menu_items", [{"item_id": 1, "item_type": "SEASONAL", "name": "x" * 101, "base_price": 1, "is_active": "Y"}])
+    assert tuples(integrity.check_violations({"menu_items": long}), "rule_name") == [("name_length",)]
+    rows = spark.createDataFrame([(1, 2)], "customer_id long, new_tier_id long")
+    assert integrity.apply_defaults(rows, "membership_history", LOADED, user="ann").first()["changed_by"] == "ann"

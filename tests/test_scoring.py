@@ -148,3 +148,11 @@ def test_setmeal_price(spark, t):
         requests, t["menu_items"], t["set_meal_components"], t["customers"], t["membership_tiers"]),
         "request_id", "setmeal_price"))
     assert got == {1: Decimal("23.84"), 2: Decimal("25.33"), 3: Decimal("20.86"), 4: Decimal("25.33"), 5: None}
+
+
+def test_the_last_free_code_is_found(spark):
+    used = spark.createDataFrame([(c,) for c in "ABCDEFGHJKLMNPQ"] + [("R2",), (None,), ("PA",)], "voucher_code string")
+    for seed in range(3):
+        assert tuples(vouchers.voucher_codes(spark.range(1), used, None, 1, str(seed))) == [(0, "R")]
+    with pytest.raises(ValueError):
+        vouchers.voucher_codes(spark.range(2), used, None, 1, "x")
