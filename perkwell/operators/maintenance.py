@@ -70,6 +70,8 @@ def recalc_points_expiry(changes: DataFrame, ledger: DataFrame, customers: DataF
             (F.col("expiry_date") > moment(as_of)) & F.col("transaction_type").isin("PURCHASE", "BONUS")
             & (F.col("points_amount") > 0)
         )
+        # Only the ledger of touched customers is aggregated.
+        .join(touched, "customer_id", "left_semi")
         .groupBy("customer_id").agg(F.min("expiry_date").alias("points_expiry_date"))
     )
     return (

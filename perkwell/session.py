@@ -23,3 +23,10 @@ def with_settings(builder: SparkSession.Builder, shuffle_partitions: int | None
     if shuffle_partitions is not None:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder
+
+
+def apply_settings(spark: SparkSession) -> None:
+    """Apply those settings that a running session still takes."""
+    for name, value in SETTINGS.items():
+        if spark.conf.isModifiable(name):
+            spark.conf.set(name, value)
