@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from perkwell.functions.columns import MONEY, cents, joined_text, live_at, moment, strict_least
 from perkwell.functions.joins import sent_if_few, spread_join
@@ -374,6 +374,44 @@ def _decide(passed: DataFrame, max_group: int | None) -> DataFrame:
     )
 
 
+def _decide_once_each(passed: DataFrame, max_group: int | None) -> DataFrame:
+    """Decide requests where a customer can use each voucher once.
+
+    Of the requests of a customer for one voucher only the first is decided at first.
+    They cost the same points, so where it is refused for points all later ones are,
+    and where it succeeds they come too late. Only where its order had no room left
+    does the next one get its turn; then all is decided again with it.
+    """
+    turn = Window.partitionBy("customer_id", "promotion_id").orderBy("request_id")
+    queued = cut(passed.withColumn("_turn", F.row_number().over(turn)))
+    upto = None
+    while True:
+        last = F.lit(1) if upto is None else F.coalesce("_upto", F.lit(1))
+        numbered = queued if upto is None else queued.join(upto, ["customer_id", "promotion_id"], "left")
+        marked = numbered.withColumn("_last", last)
+        decided = cut(_decide(cut(marked.where(F.col("_turn") <= F.col("_last")).select(*queued.columns, "_last")), max_group))
+        no_room = decided.where((F.col("_turn") == F.col("_last")) & (F.col("_reason") == "DISCOUNT_ABOVE_TOTAL"))
+        more = no_room.select("customer_id", "promotion_id", (F.col("_last") + 1).alias("_turn")).join(
+            queued.select("customer_id", "promotion_id", "_turn"), ["customer_id", "promotion_id", "_turn"], "left_semi"
+        )
+        if more.isEmpty():
+            break
+        raised = more.withColumnRenamed("_turn", "_upto")
+        upto = cut(raised if upto is None else raised.unionByName(upto).groupBy("customer_id", "promotion_id").agg(
+            F.max("_upto").alias("_upto")
+        ))
+    settled = decided.where(F.col("_turn") == F.col("_last")).select(
+        "customer_id", "promotion_id", F.col("accepted").alias("_used_up"), F.col("_last").alias("_decided")
+    )
+    late = queued.join(settled, ["customer_id", "promotion_id"]).where(F.col("_turn") > F.col("_decided")).withColumns({
+        "accepted": F.lit(False),
+        "_reason": F.when(F.col("_used_up"), "ALREADY_USED").otherwise("INSUFFICIENT_POINTS"),
+    })
+    return decided.select(*passed.columns, "accepted", "_reason").unionByName(
+        late.select(*passed.columns, "accepted", "_reason")
+    )
+
+
 def redeem_vouchers(
     requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame, as_of: datetime,
     holdings: DataFrame | None = None, value_mode: str = "money", strict: bool = False,
@@ -384,7 +422,7 @@ def redeem_vouchers(
     Requests of one customer are served in the order of ``request_id``, each on the
     balance the earlier ones left. The discount is taken as money even for percent
     vouchers; ``value_mode="percent"`` computes the percentage instead. ``strict``
-    also checks validity, tier, holding and earlier use. ``outcomes`` has one row
+    also checks validity, tier, holding and earlier use, in the batch too. ``outcomes`` has one row
     per request; the other results are the rows to write.
     """
     if strict and holdings is None:
@@ -392,7 +430,8 @@ def redeem_vouchers(
     checked = cut(_checked_redemptions(
         requests, promotions, customers, orders, holdings, as_of, value_mode, strict
     ))
-    decided = _decide(checked.where(F.col("_failure").isNull()), max_group)
+    passed = checked.where(F.col("_failure").isNull())
+    decided = _decide_once_each(passed, max_group) if strict else _decide(passed, max_group)
     failed = checked.where(F.col("_failure").isNotNull()).withColumns({
         "accepted": F.lit(False), "_reason": F.col("_failure"),
     })

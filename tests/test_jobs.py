@@ -383,3 +383,20 @@ def test_append_update_delete(spark, t):
     assert sorted(tuples(left, "promotion_id")) == [(1,), (2,), (3,), (5,), (6,)]
     kept = snapshots.bulk_delete(t["customer_promotions"], keys=left.select("promotion_id"), on="promotion_id")
     assert tuples(kept, "customer_id") == [(1005,)]
+
+
+def test_a_held_voucher_is_used_once_per_batch(spark, t):
+    asked = requests(spark, VOUCHER, (1, 1001, 1, 5001), (2, 1001, 1, None), (3, 1001, 1, 5001))
+    out = vouchers.redeem_vouchers(
+        asked, t["promotions"], t["customers"], t["orders"], LOADED, t["customer_promotions"], strict=True)
+    assert dict(tuples(out["outcomes"], "request_id", "status")) == {
+        1: "REDEEMED", 2: "ALREADY_USED", 3: "ALREADY_USED"}
+    assert out["redemptions"].count() == 1
+
+
+@pytest.mark.parametrize(("method", "made"), [("CARD", True), (None, True), ("BITCOIN", False)])
+def test_payment_methods_of_orders(spark, t, method, made):
+    out = meals.create_alacarte_orders(
+        requests(spark, ALACARTE, (1, 1001, "1,3", method, None)), t["customers"], t["menu_items"], t["promotions"], LOADED)
+    assert out["orders"].count() == int(made) and out["order_items"].count() == 2 * int(made)
+    assert tuples(out["rejects"], "status", "error_code") == ([] if made else [("PAYMENT_METHOD_REFUSED", -2290)])
