@@ -10,14 +10,14 @@ not depend on the corpus.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per document;
 two documents agree in a sample with the probability of their weighted Jaccard
-similarity. Documents that agree in a whole band share a bucket. Within a bucket
-every document is compared with one anchor only, by exact weighted Jaccard on the
-whole texts. That distance obeys the triangle inequality: what is close to the
-anchor and far from everything that the anchor rejects has all its links within the
-anchor's class and leaves the bucket. The rest is dealt into finer buckets (two
-bands) and meets new anchors, until no bucket has anything left to compare. So a
-bucket of copies costs one comparison per document and no pair that shares a
-bucket is given up.
+similarity. Documents that agree in a whole band share a bucket. First every document
+is compared with one anchor per bucket, by exact weighted Jaccard of the whole texts,
+then with a second anchor from outside the first one's class. That connects
+most classes with one comparison per document and bucket. Where a bucket of two bands
+still holds several classes, its members meet an anchor of the largest class and one of
+the others. So comparisons grow with the documents, not with the square of a group.
+Texts that are alike through an edit they share agree in samples of that edit, in
+buckets without the rest of their group, where one of them is the anchor.
 
 Anchors are the members of the largest buckets: the text that the others were
 edited from agrees with more of them than they do with each other.
@@ -35,6 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from perkwell.llm.common import SHINGLE_WORDS, SIMILAR, salted_join
@@ -42,7 +43,7 @@ from perkwell.llm.components import components
 from perkwell.llm.textbytes import mixed, packed, shingle_hashes, slices, text_batches, word_hashes
 from perkwell.sources.checkpoints import cut
 
-IDF_BITS = 20
+IDF_BITS = 18
 BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
@@ -68,7 +69,7 @@ def word_frequencies(docs: DataFrame) -> np.ndarray:
         used = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used])], ["slot", "df"])
 
-    counted = docs.select("text").mapInArrow(count, "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toPandas()
+    counted = docs.select("text").mapInArrow(count, "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toArrow()
     df = np.zeros(1 << IDF_BITS)
     df[counted["slot"].to_numpy()] = counted["df"].to_numpy()
     n = docs.count()
@@ -153,32 +154,32 @@ def band_keys(chosen: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def sampled(docs: DataFrame, idf: np.ndarray) -> DataFrame:
-    """doc_id, digest of the text, band keys (NULL for a text without words)."""
-    sent = docs.sparkSession.sparkContext.broadcast(idf)
+def sampled(docs: DataFrame, sent: Broadcast) -> DataFrame:
+    """doc_id, digest of the text, band keys (NULL for a text without words) and all samples, shortened to 16 bits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _random_tables()
         for batch in batches:
             for begin, end, texts in text_batches(batch.column(1)):
                 row, key, weight = weighted_shingles(texts, sent.value)
-                keys = band_keys(samples(row, key, weight, len(texts), tables))
+                chosen = samples(row, key, weight, len(texts), tables)
+                keys, short = band_keys(chosen), (chosen >> np.uint64(48)).astype(np.uint16).view(np.int16)
                 filled = np.bincount(row, minlength=len(texts)) > 0
                 digest = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(begin, end - begin), pa.array(digest, pa.binary()),
                     pa.array([k.tolist() if f else None for k, f in zip(keys, filled, strict=True)], pa.list_(pa.int64())),
-                ], ["doc_id", "digest", "bands"])
+                    pa.array(short.tolist(), pa.list_(pa.int16())),
+                ], ["doc_id", "digest", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, sketch array<short>")
 
 
 # ---- comparison ----------------------------------------------------------------------
 
 
-def similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFrame:
+def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
     """a, b, similarity: exact weighted Jaccard of whole texts for each pair (a, b)."""
-    sent = pairs.sparkSession.sparkContext.broadcast(idf)
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
         texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
     ).select("a", "b", "text_a", "text_b")
@@ -204,67 +205,100 @@ def similarities(pairs: DataFrame, texts: DataFrame, idf: np.ndarray) -> DataFra
     return both.mapInArrow(run, "a long, b long, similarity double")
 
 
-def _links(open_rows: DataFrame, texts: DataFrame, idf: np.ndarray, least: float) -> tuple[DataFrame, DataFrame]:
-    """One round: compare every member of each bucket with its anchor.
+def _star(members: DataFrame, anchors: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
+    """Compare the members (key, doc_id, class_id) of each bucket with its anchor (key, anchor, anchor_class), if of another class."""
+    met = salted_join(members, anchors, ["key"], "doc_id", SALTS).filter("class_id <> anchor_class")
+    pairs = met.select(F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")).distinct()
+    return cut(similarities(pairs, texts, sent))
 
-    ``open_rows`` has key, doc_id, popularity and ``waiting`` (may become an anchor). Gives the
-    compared pairs and the rows that stay open.
+
+def _most_popular(members: DataFrame) -> DataFrame:
+    """The anchor of each bucket: its member with the most company in all its buckets, then the smallest doc_id."""
+    best = members.groupBy("key").agg(F.max(F.struct("popularity", -F.col("doc_id"), "class_id")).alias("top"))
+    return best.select("key", (-F.col("top.col2")).alias("anchor"), F.col("top.class_id").alias("anchor_class"))
+
+
+def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
+    """``members`` with the classes that the links make."""
+    roots = components(links).withColumnRenamed("node", "doc_id")
+    return cut(members.drop("class_id").join(roots, "doc_id", "left").select(
+        "key", "doc_id", "popularity", F.coalesce("root", "doc_id").alias("class_id")
+    ))
+
+
+def _crossing(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
+    """Pairs of different classes in buckets of two bands, each member with the anchors of the bucket.
+
+    A bucket has two anchors: the most popular member of its largest class and of the others.
+    Only pairs whose samples agree often enough are left: a pair at ``least`` agrees in fewer than
+    that share, less three standard deviations, once in a thousand.
     """
-    anchors = open_rows.groupBy("key").agg(
-        F.max(F.when(F.col("waiting"), F.struct("popularity", -F.col("doc_id")))).alias("top"), F.count("*").alias("n")
-    ).filter("n > 1 and top is not null").select("key", (-F.col("top.col2")).alias("anchor"))
-    members = cut(salted_join(open_rows, anchors, ["key"], "doc_id", SALTS).filter("doc_id <> anchor"))
-    pairs = members.select(F.col("anchor").alias("a"), F.col("doc_id").alias("b")).distinct()
-    compared = cut(similarities(pairs, texts, idf))
-    scored = members.join(compared.select(F.col("a").alias("anchor"), F.col("b").alias("doc_id"), "similarity"), ["anchor", "doc_id"])
-    nearest = scored.groupBy("key").agg(F.max(F.when(F.col("similarity") < least, F.col("similarity"))).alias("nearest"))
-    judged = salted_join(scored, nearest.filter("nearest is not null"), ["key"], "doc_id", SALTS)
-    # Distances to the anchor: a link to what the anchor rejects needs 1 - similarity + (1 - least) >= 1 - nearest.
-    stays = judged.filter((F.col("similarity") < least) | (F.col("similarity") <= F.col("nearest") + (1 - least)))
-    still = stays.select("key", "doc_id", "popularity", (F.col("waiting") & (F.col("similarity") < least)).alias("waiting"))
-    return compared, cut(still)
+    other = members.select("doc_id", F.col("key").alias("_other"))
+    finer = members.join(other, "doc_id").filter("key < _other").select(
+        F.xxhash64("key", "_other").alias("key"), "doc_id", "class_id", "popularity"
+    )
+    counts = finer.groupBy("key", "class_id").agg(
+        F.count("*").alias("n"), F.max(F.struct("popularity", -F.col("doc_id"))).alias("best")
+    )
+    largest = counts.groupBy("key").agg(F.max(F.struct("n", "class_id")).alias("top"), F.count("*").alias("classes"))
+    mixed_keys = cut(largest.filter("classes > 1").select("key", F.col("top.class_id").alias("_largest")))
+    # One row per bucket and class here, so neither join brings a bucket's members together.
+    beside = counts.join(mixed_keys, "key")
+    anchors = beside.groupBy("key").agg(
+        F.max(F.when(F.col("class_id") == F.col("_largest"), F.struct("best", "class_id"))).alias("_one"),
+        F.max(F.when(F.col("class_id") != F.col("_largest"), F.struct("best", "class_id"))).alias("_two"),
+    ).select("key", F.explode(F.array("_one", "_two")).alias("_a")).select(
+        "key", (-F.col("_a.best.col2")).alias("anchor"), F.col("_a.class_id").alias("anchor_class")
+    )
+    met = salted_join(finer, anchors, ["key"], "doc_id", SALTS).filter("class_id <> anchor_class")
+    pairs = met.select(F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")).distinct()
+    left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_sa"))
+    right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_sb"))
+    agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda p, q: p == q), lambda e: e))
+    lowest = least - 3 * (least * (1 - least) / SAMPLES) ** 0.5
+    return pairs.join(left, "a").join(right, "b").filter(agree >= F.lit(lowest * SAMPLES)).select("a", "b")
 
 
 def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """Which text each document has, and the verified links between different texts.
+    """Which text each document has, and verified links that connect every class of different texts.
 
-    The first result has doc_id and ``text_id`` (smallest doc_id with the same text), the second a, b and similarity.
+    The first result has doc_id and ``text_id`` (smallest doc_id with the same text), the second a and b.
     """
-    idf = word_frequencies(docs)
-    signed = cut(sampled(docs, idf).filter("doc_id is not null"))
-    kinds = cut(signed.groupBy("digest").agg(F.min("doc_id").alias("text_id"), F.first("bands").alias("bands")))
+    sent = docs.sparkSession.sparkContext.broadcast(word_frequencies(docs))
+    signed = cut(sampled(docs, sent).filter("doc_id is not null"))
+    kinds = cut(signed.groupBy("digest").agg(
+        F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+    ))
     texts_of = salted_join(signed.select("doc_id", "digest"), kinds.select("digest", "text_id"), ["digest"], "doc_id", SALTS)
 
     banded = kinds.filter("bands is not null").select(F.col("text_id").alias("doc_id"), F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = cut(salted_join(banded, full, ["key"], "doc_id", SALTS))
     popular = shared.groupBy("doc_id").agg(F.sum("size").alias("popularity"))
-    open_rows = cut(shared.join(popular, "doc_id").select("key", "doc_id", "popularity", F.lit(True).alias("waiting")))
-    wanted = open_rows.select("doc_id").distinct()
+    members = cut(shared.join(popular, "doc_id").select("key", "doc_id", "popularity", F.col("doc_id").alias("class_id")))
+    wanted = popular.select("doc_id")
     texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
-    found, still = _links(open_rows, texts, idf, least)
-    links = found.filter(F.col("similarity") >= least)
-    if still.limit(1).count():
-        # Two bands make a finer bucket: similar texts share several bands, others hardly any.
-        again = still.alias("x").join(
-            shared.select(F.col("doc_id").alias("_doc"), F.col("key").alias("_other")), (F.col("doc_id") == F.col("_doc")) & (F.col("key") != F.col("_other"))
-        )
-        finer = F.xxhash64(F.least("key", "_other"), F.greatest("key", "_other"))
-        still = cut(again.groupBy(finer.alias("key"), "doc_id").agg(F.max("popularity").alias("popularity"), F.max("waiting").alias("waiting")))
-        while still.filter("waiting").limit(1).count():
-            found, still = _links(still, texts, idf, least)
-            links = links.union(found.filter(F.col("similarity") >= least))
-    return texts_of.select("doc_id", "text_id"), links
+    anchors = cut(_most_popular(members))
+    links = _star(members, anchors, texts, sent).filter(F.col("similarity") >= least).select("a", "b")
+    members = _classes(members, links)
+    # A second anchor per bucket, from outside the class of the first.
+    main = salted_join(members, anchors.select("key", "anchor"), ["key"], "doc_id", SALTS)
+    main_class = main.filter("doc_id = anchor").select("key", F.col("class_id").alias("_main"))
+    beside = salted_join(members, main_class, ["key"], "doc_id", SALTS).filter("class_id <> _main").drop("_main")
+    links = links.union(_star(members, _most_popular(beside), texts, sent).filter(F.col("similarity") >= least).select("a", "b"))
+    members = _classes(members, links)
+    sketches = kinds.select(F.col("text_id").alias("doc_id"), "sketch")
+    last = cut(similarities(_crossing(members, sketches, least), texts, sent))
+    return texts_of.select("doc_id", "text_id"), links.union(last.filter(F.col("similarity") >= least).select("a", "b"))
 
 
 def near_duplicate_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     """doc_id and class_id, the smallest doc_id among all documents linked to it, also by way of others."""
     texts_of, links = near_duplicate_links(docs, least)
-    roots = components(links.select("a", "b"))
+    roots = components(links)
     named = texts_of.join(roots, texts_of["text_id"] == roots["node"], "left")
-    classes = named.groupBy("doc_id").agg(F.min(F.coalesce("root", "text_id")).alias("class_id"))
-    return classes
+    return named.groupBy("doc_id").agg(F.min(F.coalesce("root", "text_id")).alias("class_id"))
 
 
 def without_near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
