@@ -145,10 +145,11 @@ def fit(rows: DataFrame) -> Forest:
             values = [statistics(t) for t in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(values, pa.list_(pa.float64())), batch.column(1)], ["x", "label"])
 
-    measured = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(measure, "x array<double>, label int").toPandas()
-    x = np.array(measured["x"].tolist(), float).reshape(-1, len(STATISTICS))
-    order = np.lexsort([*x.T, measured["label"].to_numpy()])  # the forest does not depend on how rows were dealt
-    return grow(x[order], measured["label"].to_numpy(float)[order])
+    measured = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(measure, "x array<double>, label int").toArrow()
+    x = np.array(measured["x"].to_pylist(), float).reshape(-1, len(STATISTICS))
+    y = measured["label"].to_numpy().astype(float)
+    order = np.lexsort([*x.T, y])  # the forest does not depend on how rows were dealt
+    return grow(x[order], y[order])
 
 
 def scored(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_ROWS) -> DataFrame:

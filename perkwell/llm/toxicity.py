@@ -160,11 +160,11 @@ def fit(rows: DataFrame) -> ToxicityModel:
 
     measured = rows.select("text", F.col("label").cast("int").alias("label")).mapInArrow(
         measure, "hit double, total double, density double, label int"
-    ).toPandas()
-    y = measured["label"].to_numpy(float)
+    ).toArrow()
+    y = measured["label"].to_numpy().astype(float)
     if len(y) == 0 or y.min() == y.max():
         return start
-    x = np.column_stack([np.ones(len(y)), measured[["hit", "total", "density"]].to_numpy()])
+    x = np.column_stack([np.ones(len(y)), *(measured[c].to_numpy() for c in ("hit", "total", "density"))])
     beta, ridge = np.zeros(4), np.diag([1e-3, 1.0, 1.0, 1.0])
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
