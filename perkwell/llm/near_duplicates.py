@@ -10,14 +10,13 @@ not depend on the corpus.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per document;
 two documents agree in a sample with the probability of their weighted Jaccard
-similarity. Documents that agree in a whole band share a bucket. First every document
+similarity. Documents that agree similarity. Documents that agree in a whole band share a bucket. First every document
 is compared with one anchor per bucket, by exact weighted Jaccard of the whole texts,
-then with a second anchor from outside the first one's class. That connects
-most classes with one comparison per document and bucket. Where a bucket of two bands
-still holds several classes, its members meet an anchor of the largest class and one of
-the others. So comparisons grow with the documents, not with the square of a group.
-Texts that are alike through an edit they share agree in samples of that edit, in
-buckets without the rest of their group, where one of them is the anchor.
+then what is left with a second anchor from outside the first one's class. That connects
+most classes with one comparison per document and bucket. A member leaves its bucket
+where the distances to the anchor rule out a link to another class. Of the
+others all pairs of different classes are compared, block by block inside the
+tasks, so no pair that shares a bucket is given up.
 
 Anchors are the members of the largest buckets: the text that the others were
 edited from agrees with more of them than they do with each other.
@@ -50,6 +49,10 @@ SAMPLES = BANDS * ROWS
 TABLE_BITS = 16
 CHUNK = 1 << 14
 SALTS = 8
+# Steps of similarity to an anchor; texts and characters of a block; a shingle of so many texts is heavy and multiplied so many at a time.
+STEP = 0.05
+BLOCK, BLOCK_CHARS = 256, 1 << 21
+HEAVY, WIDE = 8, 2048
 
 
 # ---- document frequencies ------------------------------------------------------------
@@ -155,7 +158,7 @@ def band_keys(chosen: np.ndarray) -> np.ndarray:
 
 
 def sampled(docs: DataFrame, sent: Broadcast) -> DataFrame:
-    """doc_id, digest of the text, band keys (NULL for a text without words) and all samples, shortened to 16 bits."""
+    """doc_id, digest of the text, band keys (NULL for a text without words) and length."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _random_tables()
@@ -163,21 +166,35 @@ def sampled(docs: DataFrame, sent: Broadcast) -> DataFrame:
             for begin, end, texts in text_batches(batch.column(1)):
                 row, key, weight = weighted_shingles(texts, sent.value)
                 chosen = samples(row, key, weight, len(texts), tables)
-                keys, short = band_keys(chosen), (chosen >> np.uint64(48)).astype(np.uint16).view(np.int16)
+                keys = band_keys(chosen)
                 filled = np.bincount(row, minlength=len(texts)) > 0
                 digest = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(begin, end - begin), pa.array(digest, pa.binary()),
                     pa.array([k.tolist() if f else None for k, f in zip(keys, filled, strict=True)], pa.list_(pa.int64())),
-                    pa.array(short.tolist(), pa.list_(pa.int16())),
-                ], ["doc_id", "digest", "bands", "sketch"])
+                    pa.array([len(t or "") for t in texts], pa.int64()),
+                ], ["doc_id", "digest", "bands", "chars"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, sketch array<short>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, chars long")
 
 
 # ---- comparison ----------------------------------------------------------------------
 
 
+def _similarity(left: list[str | None], right: list[str | None], idf: np.ndarray) -> np.ndarray:
+    """Exact weighted Jaccard of the texts that stand at the same place."""
+    n = len(left)
+    # The two texts of a pair are rows k and n + k; equal shingles of both meet after sorting.
+    row, key, weight = weighted_shingles(left + right, idf)
+    pair = row % n
+    order = np.argsort(pair.astype(np.uint64) << np.uint64(48) | key, kind="stable")
+    pair_, key_, weight_ = pair[order], key[order], weight[order]
+    same = np.flatnonzero((pair_[1:] == pair_[:-1]) & (key_[1:] == key_[:-1]))
+    shared = np.bincount(pair_[same], np.minimum(weight_[same], weight_[same + 1]), minlength=n)
+    every = np.bincount(pair, weight, minlength=n) - shared
+    return np.where(every > 0, shared / np.maximum(every, 1e-9), 0.0)
+
+
 def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
     """a, b, similarity: exact weighted Jaccard of whole texts for each pair (a, b)."""
     both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
@@ -188,18 +205,9 @@ def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFra
         for batch in batches:
             left, right = batch.column(2).to_pylist(), batch.column(3).to_pylist()
             for begin, end in slices([len(x) + len(y) for x, y in zip(left, right, strict=True)]):
-                n = end - begin
-                # The two texts of a pair are rows k and n + k; equal shingles of both meet after sorting.
-                row, key, weight = weighted_shingles(left[begin:end] + right[begin:end], sent.value)
-                pair = row % n
-                order = np.argsort(pair.astype(np.uint64) << np.uint64(48) | key, kind="stable")
-                pair_, key_, weight_ = pair[order], key[order], weight[order]
-                same = np.flatnonzero((pair_[1:] == pair_[:-1]) & (key_[1:] == key_[:-1]))
-                shared = np.bincount(pair_[same], np.minimum(weight_[same], weight_[same + 1]), minlength=n)
-                every = np.bincount(pair, weight, minlength=n) - shared
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(begin, n), batch.column(1).slice(begin, n),
-                    pa.array(np.where(every > 0, shared / np.maximum(every, 1e-9), 0.0)),
+                    batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin),
+                    pa.array(_similarity(left[begin:end], right[begin:end], sent.value)),
                 ], ["a", "b", "similarity"])
 
     return both.mapInArrow(run, "a long, b long, similarity double")
@@ -221,42 +229,117 @@ def _most_popular(members: DataFrame) -> DataFrame:
 def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
     """``members`` with the classes that the links make."""
     roots = components(links).withColumnRenamed("node", "doc_id")
-    return cut(members.drop("class_id").join(roots, "doc_id", "left").select(
-        "key", "doc_id", "popularity", F.coalesce("root", "doc_id").alias("class_id")
-    ))
+    return cut(members.drop("class_id").join(roots, "doc_id", "left").withColumn(
+        "class_id", F.coalesce("root", "doc_id")
+    ).drop("root"))
 
 
-def _crossing(members: DataFrame, sketches: DataFrame, least: float) -> DataFrame:
-    """Pairs of different classes in buckets of two bands, each member with the anchors of the bucket.
+def _open(rows: DataFrame, least: float) -> DataFrame:
+    """The rows (key, doc_id, class_id, step) that may still have a link to another class of their bucket.
 
-    A bucket has two anchors: the most popular member of its largest class and of the others.
-    Only pairs whose samples agree often enough are left: a pair at ``least`` agrees in fewer than
-    that share, less three standard deviations, once in a thousand.
+    ``step`` is the similarity to the anchor of the bucket in steps of ``STEP``. Distances (1 - similarity) obey the
+    triangle inequality, so two texts whose similarities to a third differ by more than 1 - ``least`` have no link.
     """
-    other = members.select("doc_id", F.col("key").alias("_other"))
-    finer = members.join(other, "doc_id").filter("key < _other").select(
-        F.xxhash64("key", "_other").alias("key"), "doc_id", "class_id", "popularity"
-    )
-    counts = finer.groupBy("key", "class_id").agg(
-        F.count("*").alias("n"), F.max(F.struct("popularity", -F.col("doc_id"))).alias("best")
-    )
-    largest = counts.groupBy("key").agg(F.max(F.struct("n", "class_id")).alias("top"), F.count("*").alias("classes"))
-    mixed_keys = cut(largest.filter("classes > 1").select("key", F.col("top.class_id").alias("_largest")))
-    # One row per bucket and class here, so neither join brings a bucket's members together.
-    beside = counts.join(mixed_keys, "key")
-    anchors = beside.groupBy("key").agg(
-        F.max(F.when(F.col("class_id") == F.col("_largest"), F.struct("best", "class_id"))).alias("_one"),
-        F.max(F.when(F.col("class_id") != F.col("_largest"), F.struct("best", "class_id"))).alias("_two"),
-    ).select("key", F.explode(F.array("_one", "_two")).alias("_a")).select(
-        "key", (-F.col("_a.best.col2")).alias("anchor"), F.col("_a.class_id").alias("anchor_class")
+    reach = int((1 - least) / STEP + 1e-6) + 1
+    steps = rows.groupBy("key", "step").agg(F.min("class_id").alias("low"), F.max("class_id").alias("high"))
+    # At most 1 / STEP + 1 entries per bucket.
+    listed = steps.groupBy("key").agg(
+        F.collect_list(F.struct("step", "low", "high")).alias("_steps"), F.min("low").alias("_low"), F.max("high").alias("_high")
+    ).filter("_low < _high")
+    near = F.filter("_steps", lambda s: F.exists("_steps", lambda t: (F.abs(t["step"] - s["step"]) <= reach) & (
+        (t["low"] != s["low"]) | (t["high"] != s["low"])
+    )))
+    reached = listed.select("key", F.explode(near).alias("_s")).select("key", F.col("_s.step").alias("step"))
+    return salted_join(rows, reached, ["key", "step"], "doc_id", SALTS)
+
+
+def _shared_weight(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
+    """Summed smaller weights of the shingles that two of n texts share, for all pairs."""
+    order = np.lexsort((weight, key))
+    row, key, weight = row[order], key[order], weight[order]
+    # The smaller of two weights is the sum of the steps between a shingle's weights that both reach.
+    fresh = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+    higher = fresh | np.concatenate([[True], weight[1:] != weight[:-1]])[:len(key)]
+    level = np.cumsum(higher)
+    rise = np.where(fresh, weight, weight - np.concatenate([[0.0], weight[:-1]])[:len(key)])[higher]
+    lowest = level[fresh][np.cumsum(fresh) - 1] if len(key) else level
+    depth = level - lowest + 1
+    entry = np.repeat(np.arange(len(key)), depth)
+    column = np.repeat(lowest, depth) + np.arange(len(entry)) - np.repeat(np.cumsum(depth) - depth, depth) - 1
+    holders = np.bincount(column, minlength=len(rise))
+    order = np.argsort(column, kind="stable")
+    column, member = column[order], row[entry[order]]
+    shared = np.zeros((n, n))
+    light = holders[column] < HEAVY
+    few, who = column[light], member[light]
+    for shift in range(1, HEAVY - 1):
+        same = np.flatnonzero(few[shift:] == few[:-shift])
+        if not len(same):
+            break
+        shared += np.bincount(who[same] * n + who[same + shift], rise[few[same]], minlength=n * n).reshape(n, n)
+    shared += shared.T
+    many, who = column[~light], member[~light]
+    heavy, place = np.unique(many, return_inverse=True)
+    for begin in range(0, len(heavy), WIDE):
+        part = slice(*np.searchsorted(place, [begin, begin + WIDE]))
+        dense = np.zeros((n, min(WIDE, len(heavy) - begin)))
+        dense[who[part], place[part] - begin] = 1
+        shared += dense * rise[heavy[begin:begin + WIDE]] @ dense.T
+    return shared
+
+
+def connecting_links(ids: list[int], classes: list[int], blocks: list[int], texts: list[str], idf: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links that connect what all links between different classes connect; where there are two blocks, between these only."""
+    n = len(ids)
+    row, key, weight = weighted_shingles(texts, idf)
+    total = np.bincount(row, weight, minlength=n)
+    shared = _shared_weight(row, key, weight, n)
+    class_, block = np.array(classes), np.array(blocks)
+    wanted = np.triu(class_[:, None] != class_[None], 1)
+    if block.min() != block.max():
+        wanted &= block[:, None] != block[None]
+    # Rounding differs from that of a single pair, so pairs beside the limit are compared again by themselves.
+    excess = shared - least * (total[:, None] + total[None] - shared)
+    margin = 1e-9 * (total[:, None] + total[None])
+    left, right = np.nonzero(wanted & (excess >= -margin))
+    sure = excess[left, right] > margin[left, right]
+    root = {c: c for c in classes}
+
+    def find(c: int) -> int:
+        while root[c] != c:
+            root[c] = root[root[c]]
+            c = root[c]
+        return c
+
+    links = []
+    for x, y, known in zip(left.tolist(), right.tolist(), sure.tolist(), strict=True):
+        p, q = find(classes[x]), find(classes[y])
+        if p != q and (known or _similarity([texts[x]], [texts[y]], idf)[0] >= least):
+            root[p] = q
+            links.append((ids[x], ids[y]))
+    return links
+
+
+def _every_pair(rows: DataFrame, texts: DataFrame, sent: Broadcast, least: float) -> DataFrame:
+    """Links a, b that connect all that similar pairs of different classes in the buckets of ``rows`` connect.
+
+    A large bucket is dealt into blocks of about ``BLOCK`` texts or ``BLOCK_CHARS`` characters, and each two blocks meet
+    in a task of their own. Pairs are compared there and do not become rows.
+    """
+    counted = rows.groupBy("key").agg(F.greatest(
+        F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS), F.lit(1)
+    ).alias("_parts"))
+    placed = salted_join(rows, counted, ["key"], "doc_id", SALTS).withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), "_parts"))
+    met = placed.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).select(
+        "key", "doc_id", "class_id", "block", F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two")
     )
-    met = salted_join(finer, anchors, ["key"], "doc_id", SALTS).filter("class_id <> anchor_class")
-    pairs = met.select(F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")).distinct()
-    left = sketches.select(F.col("doc_id").alias("a"), F.col("sketch").alias("_sa"))
-    right = sketches.select(F.col("doc_id").alias("b"), F.col("sketch").alias("_sb"))
-    agree = F.size(F.filter(F.zip_with("_sa", "_sb", lambda p, q: p == q), lambda e: e))
-    lowest = least - 3 * (least * (1 - least) / SAMPLES) ** 0.5
-    return pairs.join(left, "a").join(right, "b").filter(agree >= F.lit(lowest * SAMPLES)).select("a", "b")
+
+    def run(group: pa.Table) -> pa.Table:
+        columns = (group[c].to_pylist() for c in ("doc_id", "class_id", "block", "text"))
+        links = connecting_links(*columns, sent.value, least)
+        return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
+
+    return met.join(texts, "doc_id").groupBy("key", "one", "two").applyInArrow(run, "a long, b long")
 
 
 def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
@@ -267,30 +350,34 @@ def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataF
     sent = docs.sparkSession.sparkContext.broadcast(word_frequencies(docs))
     signed = cut(sampled(docs, sent).filter("doc_id is not null"))
     kinds = cut(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")
+        F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.first("chars").alias("chars")
     ))
     texts_of = salted_join(signed.select("doc_id", "digest"), kinds.select("digest", "text_id"), ["digest"], "doc_id", SALTS)
 
-    banded = kinds.filter("bands is not null").select(F.col("text_id").alias("doc_id"), F.explode("bands").alias("key"))
+    banded = kinds.filter("bands is not null").select(F.col("text_id").alias("doc_id"), "chars", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = cut(salted_join(banded, full, ["key"], "doc_id", SALTS))
     popular = shared.groupBy("doc_id").agg(F.sum("size").alias("popularity"))
-    members = cut(shared.join(popular, "doc_id").select("key", "doc_id", "popularity", F.col("doc_id").alias("class_id")))
+    members = cut(shared.join(popular, "doc_id").select("key", "doc_id", "chars", "popularity", F.col("doc_id").alias("class_id")))
     wanted = popular.select("doc_id")
     texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
 
     anchors = cut(_most_popular(members))
-    links = _star(members, anchors, texts, sent).filter(F.col("similarity") >= least).select("a", "b")
-    members = _classes(members, links)
-    # A second anchor per bucket, from outside the class of the first.
-    main = salted_join(members, anchors.select("key", "anchor"), ["key"], "doc_id", SALTS)
-    main_class = main.filter("doc_id = anchor").select("key", F.col("class_id").alias("_main"))
-    beside = salted_join(members, main_class, ["key"], "doc_id", SALTS).filter("class_id <> _main").drop("_main")
-    links = links.union(_star(members, _most_popular(beside), texts, sent).filter(F.col("similarity") >= least).select("a", "b"))
-    members = _classes(members, links)
-    sketches = kinds.select(F.col("text_id").alias("doc_id"), "sketch")
-    last = cut(similarities(_crossing(members, sketches, least), texts, sent))
-    return texts_of.select("doc_id", "text_id"), links.union(last.filter(F.col("similarity") >= least).select("a", "b"))
+    first = _star(members, anchors, texts, sent)
+    links = first.filter(F.col("similarity") >= least).select("a", "b")
+    # The anchor itself has met all others and leaves its bucket.
+    beside = salted_join(members, anchors.select("key", "anchor"), ["key"], "doc_id", SALTS).filter("doc_id <> anchor").select(
+        "*", F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")
+    ).join(first, ["a", "b"]).withColumn("step", F.floor(F.col("similarity") / STEP)).drop("a", "b", "similarity", "anchor")
+    # A second anchor from outside the class of the first meets all that is left of its bucket and leaves, too.
+    left = cut(_open(_classes(beside, links), least))
+    roots = components(links).select(F.col("node").alias("anchor"), F.col("root").alias("_root"))
+    main = anchors.select("key", "anchor").join(roots, "anchor", "left").select("key", F.coalesce("_root", "anchor").alias("_main"))
+    second = cut(_most_popular(salted_join(left, main, ["key"], "doc_id", SALTS).filter("class_id <> _main")))
+    links = cut(links.union(_star(left, second, texts, sent).filter(F.col("similarity") >= least).select("a", "b")))
+    met = second.select("key", F.col("anchor").alias("doc_id"))
+    left = cut(_open(_classes(left.join(met, ["key", "doc_id"], "left_anti"), links), least))
+    return texts_of.select("doc_id", "text_id"), links.union(cut(_every_pair(left, texts, sent, least)))
 
 
 def near_duplicate_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:

@@ -81,3 +81,43 @@ def test_components_of_random_graphs(spark):
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     touched = {n for a, b in edges if a != b for n in (a, b)}
     assert got == {n: find(n) for n in touched}
+
+
+def family(pairs, rng):
+    """Two texts for each of ``pairs`` heads: about 0.85 to each other, 0.65 to the rest, the text all come from left out."""
+    base = [f"w{k}" for k in range(300)]
+
+    def changed(words, k):
+        out = list(words)
+        for i in rng.sample(range(len(out)), k):
+            out[i] = f"v{rng.randrange(60)}"
+        return out
+
+    heads = [changed(base, 4) for _ in range(pairs)]
+    return [" ".join(text) for head in heads for text in (head, changed(head, 4))]
+
+
+def vectors_and_bands(texts, idf):
+    row, key, weight = nd.weighted_shingles(texts, idf)
+    vectors = [{} for _ in texts]
+    for r, k, w in zip(row.tolist(), key.tolist(), weight.tolist(), strict=True):
+        vectors[r][k] = w
+    return vectors, nd.band_keys(nd.samples(row, key, weight, len(texts), nd._random_tables())).tolist()
+
+
+def similarity(a, b):
+    shared = sum(min(w, b[k]) for k, w in a.items() if k in b)
+    return shared / (sum(a.values()) + sum(b.values()) - shared)
+
+
+def test_no_pair_inside_a_family_that_is_less_alike_is_lost(spark, documents):
+    texts = family(700, random.Random(11))
+    docs = documents(texts)
+    vectors, bands = vectors_and_bands(texts, nd.word_frequencies(docs))
+    heads = range(0, len(texts), 2)
+    assert 0.6 < sum(similarity(vectors[k], vectors[k - 2]) for k in heads[1:]) / len(heads) < 0.75
+    linked = [k for k in heads if similarity(vectors[k], vectors[k + 1]) >= 0.8 and set(bands[k]) & set(bands[k + 1])]
+    assert len(linked) > 600
+    classes = {r.doc_id: r.class_id for r in nd.near_duplicate_classes(docs).collect()}
+    assert [k for k in linked if classes[k] != classes[k + 1]] == []
+    assert len(set(classes.values())) > 300
