@@ -4,8 +4,9 @@ Texts are folded first: lower case, look-alike letters of other scripts and digi
 signs that stand for letters become plain letters. The lexicon holds word beginnings
 and whole words; its weights are the log-odds of labelled toxic against other
 documents. All entries are found in one Aho-Corasick pass; those inside an exception
-phrase ("trash can") do not count. A short starting list is always part of it. The summed weight, per length and as such, goes
-through a logistic function fitted on the training sample.
+phrase ("trash can") do not count. A word of the short starting list that was not found this way joins with its own
+log-odds where most labelled documents that hold it are toxic. The summed weight, per length and as such,
+goes through a logistic function fitted on the training sample.
 
 Edge cases: NULL and empty texts have no hits and get the lowest score; without usable
 labels the lexicon is that starting list with equal weights; repeated rows are scored
@@ -96,11 +97,12 @@ def mined(rows: DataFrame) -> dict[str, float]:
     share = F.col("toxic") / F.col("seen")
     z2 = DEVIATIONS**2 / F.col("seen")
     surely = (share + z2 / 2 - F.sqrt(z2 * (share * (1 - share) + z2 / 4))) / (1 + z2)
-    telling = counted.withColumn("surely", surely).filter(F.col("surely") >= LEAST_PRECISION)
-    best = telling.select("entry", weight.alias("weight"), "toxic", "surely").orderBy(F.desc("toxic"), F.length("entry"), "entry")
-    found = _pruned({r["entry"]: (r["weight"], r["toxic"], r["surely"]) for r in best.limit(LEXICON_ROWS).collect()})
-    known = {f" {word}": max(found.values(), default=1.0) for word in STARTERS if not any(f" {word}".startswith(e) for e in found)}
-    return found | known
+    rated = counted.select("entry", weight.alias("weight"), "toxic", share.alias("share"), surely.alias("surely"))
+    kept = rated.filter((F.col("surely") >= LEAST_PRECISION) | F.col("entry").isin([f" {word}" for word in STARTERS])).collect()
+    best = sorted((r for r in kept if r["surely"] >= LEAST_PRECISION), key=lambda r: (-r["toxic"], len(r["entry"]), r["entry"]))
+    found = _pruned({r["entry"]: (r["weight"], r["toxic"], r["surely"]) for r in best[:LEXICON_ROWS]})
+    starters = {r["entry"]: r["weight"] for r in kept if r["surely"] < LEAST_PRECISION and r["share"] >= LEAST_PRECISION and r["weight"] > 0}
+    return found | {e: w for e, w in starters.items() if not any(e.startswith(f) for f in found)}
 
 
 def _pruned(found: dict[str, tuple[float, int, float]]) -> dict[str, float]:

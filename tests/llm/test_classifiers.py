@@ -20,6 +20,14 @@ def test_exceptions_and_word_beginnings():
     assert features(machine, "loweichen")[0] == 1 and features(machine, "slowei")[0] == 0
 
 
+def test_starting_words_need_support_by_the_labels(spark):
+    rows = [("the grobian came", 1)] * 40 + [("the clown came with a stupid hat", 0)] * 60 + [("stupid trash", 1)] * 2 + [("trash day", 0), ("a fine day", 0)]
+    lexicon = toxicity.mined(spark.createDataFrame(rows, "text string, label int"))
+    assert any(e.startswith(" grob") for e in lexicon)
+    assert " clown" not in lexicon and " stupid" not in lexicon and " moron" not in lexicon
+    assert lexicon[" trash"] == pytest.approx(np.log(2.5 / 43) - np.log(1.5 / 63))
+
+
 @pytest.fixture(scope="module")
 def labelled(spark, documents):
     texts = [None, "", "z" * 50_000]
