@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -30,3 +34,26 @@ def apply_settings(spark: SparkSession) -> None:
     for name, value in SETTINGS.items():
         if spark.conf.isModifiable(name):
             spark.conf.set(name, value)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application, so that they need not have it installed.
+
+    The archive is built beside the driver and served by it; workers on other machines fetch it from there.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    here = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="perkwell-package-"), "perkwell.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, files in os.walk(here):
+            for file in files:
+                if file.endswith(".py"):
+                    path = os.path.join(folder, file)
+                    out.write(path, os.path.join("perkwell", os.path.relpath(path, here)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
