@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perkwell.llm import decontamination, mixing, near_duplicates, pii, quality, quotations, repeated_bytes, spotsigs, toxicity, url_lists
+from perkwell.llm import (
+    decontamination, fill_in_middle, mixing, near_duplicates, pii, quality, quotations, repeated_bytes, spotsigs, token_counts, toxicity,
+    url_lists, vector_codes,
+)
 from perkwell.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -129,6 +132,36 @@ def op10_quotations(spark: SparkSession, directory: str) -> DataFrame:
     return quotations.link_quotations(quoting_messages(table(spark, directory, "conversations")))
 
 
+@query
+def op11_fill_in_middle(spark: SparkSession, directory: str) -> DataFrame:
+    out = fill_in_middle.fill_in_middle(table(spark, directory, "documents"))
+    back = fill_in_middle.restored(F.col("output"), F.col("form"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"), F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+@query
+def op12_token_counts(spark: SparkSession, directory: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, directory, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the installed vocabulary files are."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+CODES = vector_codes.Plan()
+
+
+@query
+def op13_vector_codes(spark: SparkSession, directory: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, directory, "embeddings"), CODES)
+
+
 ORACLE_SQL: dict[str, str] = {}
 
 _MIX_SQL = f"""
@@ -251,3 +284,51 @@ SELECT doc_id, item_id, n_shingles::BIGINT AS n_shingles, count(*) AS n_shared,
 FROM doc_runs JOIN item_runs USING (run) GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= n_shingles * 0.8
 """
 ORACLE_SQL["op9_decontamination"] = f"WITH {CONTAINED_SQL.replace('__documents__', 'documents')} {_CONTAINED}"
+
+
+ORACLE_SQL["op11_fill_in_middle"] = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents
+), drawn AS (
+  SELECT doc_id, text, u, len(u)::BIGINT AS n, list_transform([1, 9, 17, 25], lambda i: list_reduce(list_transform(
+    range(0, 8), lambda k: instr('0123456789abcdef', substr(h, i + k, 1))::BIGINT - 1), lambda a, b: a * 16 + b)) AS d FROM units
+), cut AS (
+  SELECT *, least(d[1] % (n + 1), d[2] % (n + 1)) AS a, greatest(d[1] % (n + 1), d[2] % (n + 1)) AS b,
+    CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR d[3] % 100 >= 90 THEN 'plain'
+         WHEN d[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM drawn
+), parts AS (
+  SELECT *, array_to_string(u[1:a], '') AS p, array_to_string(u[a + 1:b], '') AS m, array_to_string(u[b + 1:n], '') AS s FROM cut
+)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(p) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(m) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m WHEN 'spm' THEN '<S>' || s || '<P>' || p || '<M>' || m ELSE text END) AS output_sha256,
+  sha256(text) AS restored_sha256 FROM parts
+"""
+
+_NEAREST = """held{r} AS MATERIALIZED (
+  SELECT v, part, min(d * 256 + e) % 256 AS e, min(d * 256 + e) // 256 AS d FROM (
+    SELECT v, part, e, sum((x - c) * (x - c)) AS d FROM points JOIN book{r} USING (part, place) GROUP BY v, part, e) GROUP BY v, part
+)"""
+_MOVED = """book{s} AS MATERIALIZED (
+  SELECT b.part, b.e, b.place, coalesce(m.c, b.c) AS c FROM book{r} b LEFT JOIN (
+    SELECT part, e, place, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS c
+    FROM points JOIN held{r} USING (v, part) GROUP BY part, e, place) m USING (part, e, place)
+)"""
+_ROUNDS = ", ".join(f"{_NEAREST.format(r=r)}, {_MOVED.format(r=r, s=r + 1)}" for r in range(CODES.rounds))
+ORACLE_SQL["op13_vector_codes"] = f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor({CODES.scale} * x::DOUBLE)::BIGINT) AS xs,
+    row_number() OVER (ORDER BY vec_id) AS v, len(embedding) // {CODES.parts} AS width
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), points AS MATERIALIZED (
+  SELECT v, (i - 1) // width AS part, (i - 1) % width AS place, x FROM (
+    SELECT v, width, unnest(xs) AS x, unnest(range(1, len(xs) + 1)) AS i FROM kept)
+), book0 AS MATERIALIZED (SELECT part, v - 1 AS e, place, x AS c FROM points WHERE v <= {CODES.entries}
+), {_ROUNDS}, {_NEAREST.format(r=CODES.rounds)}, coded AS (
+  SELECT v, string_agg(lpad(lower(to_hex(e::BIGINT)), 2, '0'), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM held{CODES.rounds} GROUP BY v
+)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error,
+  (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, e, place)) FROM book{CODES.rounds}) AS codebooks_sha256
+FROM coded JOIN kept USING (v)
+"""

@@ -16,12 +16,12 @@ WORD_BYTE = np.zeros(256, dtype=bool)
 WORD_BYTE[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
 
 
-def slices(sizes: list[int]) -> Iterator[tuple[int, int]]:
-    """Runs of rows of about ``BATCH_BYTES``, so that memory does not depend on the batch."""
+def slices(sizes: list[int], most: int = BATCH_BYTES) -> Iterator[tuple[int, int]]:
+    """Runs of rows of about ``most`` bytes, so that memory does not depend on the batch."""
     begin, total = 0, 0
     for k, size in enumerate(sizes):
         total += size
-        if total >= BATCH_BYTES:
+        if total >= most:
             yield begin, k + 1
             begin, total = k + 1, 0
     if begin < len(sizes):
