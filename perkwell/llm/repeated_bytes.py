@@ -14,10 +14,13 @@ knows its smallest document.
 Documents are packed into parts of about ``PART_BYTES``; a part names each
 minimizer and each segment once, however many of its documents hold it, so a passage
 that a third of all documents share costs a bucket one entry per part. Numbers of
-parts and buckets follow the amount of text.
+parts and buckets follow the amount of text. A minimizer with very many segments is
+divided by a second minimizer of each string, taken in another order of the hashes, so the
+many surroundings of a frequent piece spread over buckets. Where a minimizer has a single different segment, all
+its strings are that segment's, and no transform is needed.
 
 Edge cases: NULL counts as empty; texts shorter than ``LENGTH`` lose nothing; bytes
-are those of UTF-8, so a character may be cut; rows without doc_id are later than
+are those of UTF-8, so a character may be cut; rows without doc_id (and those with the largest long) are later than
 all others and never compared with each other, nor are rows with one doc_id;
 an empty table gives an empty result; other columns are not read.
 """
@@ -39,9 +42,14 @@ SEED = 16
 PART_BYTES = 1 << 23
 # So that the different segments of a bucket usually stay below 2^21 bytes, where they sort fastest.
 BUCKETS_PER_PART = 4
+# A minimizer with more segments than about this is divided; a power of two.
+HOT_SEGMENTS = 1 << 12
+# Low bits of a minimizer that tell, in a note, how often a part has it (a power of two) and whether several documents do.
+COUNT_BITS = 6
 NO_ID = np.iinfo(np.int64).max
 SEPARATOR = 0xFF  # no byte of UTF-8
 _FACTOR = 0x9E3779B97F4A7C15
+_SECOND = np.uint64(0xD6E8FEB86659FD93)
 _NOTES = "part long, kind int, bucket long, payload binary"
 
 
@@ -54,7 +62,8 @@ def _seed_hashes(data: np.ndarray) -> np.ndarray:
     while width < SEED:
         value = value[:-width] * np.uint64(factor) + value[width:]
         width, factor = width * 2, factor * factor & 0xFFFFFFFFFFFFFFFF
-    return mixed(value) | np.uint64(1)
+    # The low bits stay free for notes.
+    return mixed(value) | np.uint64((1 << COUNT_BITS) - 1)
 
 
 def _least_of(value: np.ndarray, window: int) -> np.ndarray:
@@ -88,8 +97,21 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
             yield joined, doc[begins] + first, at[begins], at[stop] + LENGTH, value[begins]
 
 
-def _bucket(minimizer: np.ndarray, buckets: int) -> np.ndarray:
-    return (mixed(minimizer) % np.uint64(buckets)).astype(np.int64)
+def _bucket(group: np.ndarray, buckets: int) -> np.ndarray:
+    return (mixed(group) % np.uint64(buckets)).astype(np.int64)
+
+
+def _divided(joined: bytes, doc: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray):
+    """Segments cut where the second minimizer of their strings changes, which becomes part of their group."""
+    second = _least_of(mixed(_seed_hashes(np.frombuffer(joined, np.uint8)) ^ _SECOND), LENGTH - SEED + 1)
+    strings = end - start - LENGTH + 1
+    owner = np.repeat(np.arange(len(start)), strings)
+    at = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings) + start[owner]
+    value = second[at]
+    begins = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]))
+    stops = np.concatenate([begins[1:], [len(at)]]) - 1
+    whose = owner[begins]
+    return doc[whose], at[begins], at[stops] + LENGTH, mixed(group[whose] ^ value[begins])
 
 
 def _rows(part: list[int], kind: int, bucket: list[int], payload: list[bytes]) -> pa.Table:
@@ -103,10 +125,16 @@ def _texts(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
     """Bytes and ids of the documents of a part, in an order that does not depend on how they arrived."""
     ids = table.column("doc_id").fill_null(NO_ID).to_numpy()
     texts = table.column("text").fill_null(b"").to_pylist()
-    order = sorted(range(len(texts)), key=lambda k: (ids[k], texts[k]))
+    order = _order(table)
     return [texts[k] for k in order], ids[order]
 
 
+def _order(table: pa.Table) -> list[int]:
+    ids = table.column("doc_id").fill_null(NO_ID).to_pylist()
+    texts = table.column("text").fill_null(b"").to_pylist()
+    return sorted(range(len(texts)), key=lambda k: (ids[k], texts[k]))
+
+
 # ---- which minimizers occur in several documents -------------------------------------
 
 
@@ -122,8 +150,10 @@ def _minimizers(buckets: int):
         value, doc = value[order], doc[order]
         first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(first) else np.zeros(0, bool)
-        # The lowest bit tells that more than one document of the part has it.
-        once = value[first] & ~np.uint64(1) | several.astype(np.uint64)
+        # The low bits tell how often the part has it, as a power of two, and whether more than one of its documents does.
+        often = np.diff(np.concatenate([first, [len(value)]]))
+        power = np.minimum(np.log2(np.maximum(often, 1)).astype(np.uint64), np.uint64((1 << COUNT_BITS - 1) - 1))
+        once = value[first] >> np.uint64(COUNT_BITS) << np.uint64(COUNT_BITS) | power << np.uint64(1) | several.astype(np.uint64)
         bucket = _bucket(value[first], buckets)
         order = np.argsort(bucket, kind="stable")
         edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -134,24 +164,30 @@ def _minimizers(buckets: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Tell each part which of its minimizers some other document has too."""
-    parts = table.column("part").to_pylist()
-    lists = [np.frombuffer(p, np.uint64) for p in table.column("payload").to_pylist()]
-    value = np.concatenate(lists)
-    owner = np.repeat(np.arange(len(parts)), [len(x) for x in lists])
-    order = np.argsort(value, kind="stable")
-    plain = value[order] >> np.uint64(1)
-    same = plain[1:] == plain[:-1]
-    shared = (value[order] & np.uint64(1)).astype(bool)
-    shared[1:] |= same
-    shared[:-1] |= same
-    mine = np.zeros(len(value), bool)
-    mine[order] = shared
-    found = [x[mine[owner == k]] for k, x in enumerate(lists)]
-    keep = [k for k, x in enumerate(found) if len(x)]
-    bucket = table.column("bucket")[0].as_py()
-    return _rows([parts[k] for k in keep], 0, [bucket] * len(keep), [found[k].tobytes() for k in keep])
+def _shared(hot_segments: int):
+    def run(table: pa.Table) -> pa.Table:
+        """Tell each part which of its minimizers some other document has too; the lowest bit marks those to divide."""
+        parts = table.column("part").to_pylist()
+        lists = [np.frombuffer(p, np.uint64) for p in table.column("payload").to_pylist()]
+        value = np.concatenate(lists)
+        owner = np.repeat(np.arange(len(parts)), [len(x) for x in lists])
+        order = np.argsort(value, kind="stable")
+        plain = value[order] >> np.uint64(COUNT_BITS)
+        same = plain[1:] == plain[:-1]
+        shared = (value[order] & np.uint64(1)).astype(bool)
+        shared[1:] |= same
+        shared[:-1] |= same
+        first = np.flatnonzero(np.concatenate([[True], ~same]))
+        often = np.add.reduceat(np.uint64(1) << (value[order] >> np.uint64(1) & np.uint64((1 << COUNT_BITS - 1) - 1)), first)
+        hot = np.repeat(often > hot_segments, np.diff(np.concatenate([first, [len(value)]])))
+        mine, told = np.zeros(len(value), bool), np.zeros(len(value), np.uint64)
+        mine[order], told[order] = shared, plain << np.uint64(COUNT_BITS) | hot.astype(np.uint64)
+        found = [told[owner == k][mine[owner == k]] for k in range(len(lists))]
+        keep = [k for k, x in enumerate(found) if len(x)]
+        bucket = table.column("bucket")[0].as_py()
+        return _rows([parts[k] for k in keep], 0, [bucket] * len(keep), [found[k].tobytes() for k in keep])
+
+    return run
 
 
 # ---- equal strings of a bucket -------------------------------------------------------
@@ -160,18 +196,26 @@ def _shared(table: pa.Table) -> pa.Table:
 def _known_segments(texts: list[bytes], ids: np.ndarray, notes: pa.Table, buckets: int):
     """The different shared segments of a part in each bucket, and where they occur.
 
-    Gives {bucket: {segment: number}}, the smallest document of each segment in the same
+    Gives {bucket: {segment: number}}, the smallest document and the group of each segment in the same
     order, and per run of texts the joined bytes' document, start, bucket and number arrays.
     """
     lists = [np.frombuffer(p, np.uint64) for k, p in zip(notes.column("kind").to_pylist(), notes.column("payload").to_pylist(), strict=True) if k == 0]
-    shared = np.sort(np.concatenate(lists) >> np.uint64(1)) if lists else np.zeros(0, np.uint64)
+    told = np.sort(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
+    shared, hot = told >> np.uint64(COUNT_BITS), (told & np.uint64(1)).astype(bool)
     names: dict[int, dict[bytes, int]] = {}
     least: dict[int, list[int]] = {}
+    groups: dict[int, list[int]] = {}
     places = []
     for joined, doc, start, end, value in segments(texts) if len(shared) else ():
-        plain = value >> np.uint64(1)
-        hit = shared[np.minimum(np.searchsorted(shared, plain), len(shared) - 1)] == plain
-        doc, start, end, bucket = doc[hit], start[hit], end[hit], _bucket(value[hit], buckets)
+        plain = value >> np.uint64(COUNT_BITS)
+        at = np.minimum(np.searchsorted(shared, plain), len(shared) - 1)
+        hit = shared[at] == plain
+        divide = hit & hot[at]
+        doc, start, end, group = ([x[hit & ~divide], x[divide]] for x in (doc, start, end, plain))
+        if divide.any():
+            doc[1], start[1], end[1], group[1] = _divided(joined, doc[1], start[1], end[1], group[1])
+        doc, start, end, group = (np.concatenate(x) for x in (doc, start, end, group))
+        bucket, tag = _bucket(group, buckets), (mixed(group) >> np.uint64(32)).tolist()
         number = np.empty(len(doc), np.int64)
         owner = ids[doc].tolist()
         for k, (b, s, e) in enumerate(zip(bucket.tolist(), start.tolist(), end.tolist(), strict=True)):
@@ -181,23 +225,25 @@ def _known_segments(texts: list[bytes], ids: np.ndarray, notes: pa.Table, bucket
             mine = least.setdefault(b, [])
             if at == len(mine):
                 mine.append(owner[k])
+                groups.setdefault(b, []).append(tag[k])
             elif owner[k] < mine[at]:
                 mine[at] = owner[k]
         places.append((doc, start, bucket, number))
-    return names, least, places
+    return names, least, groups, places
 
 
 def _segment_rows(buckets: int):
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         if not docs.num_rows or not notes.num_rows:
             return _rows([], 1, [], [])
-        names, least, _ = _known_segments(*_texts(docs), notes, buckets)
+        names, least, groups, _ = _known_segments(*_texts(docs), notes, buckets)
         pack = zstandard.ZstdCompressor(level=3).compress
         part, filled = docs.column("part")[0].as_py(), sorted(names)
         payload = []
         for b in filled:
             sizes = np.array([len(s) for s in names[b]], np.uint32)
-            payload.append(pack(struct.pack("<q", len(sizes)) + np.array(least[b], np.int64).tobytes() + sizes.tobytes() + b"".join(names[b])))
+            head = struct.pack("<q", len(sizes)) + np.array(least[b], np.int64).tobytes() + sizes.tobytes() + np.array(groups[b], np.uint32).tobytes()
+            payload.append(pack(head + b"".join(names[b])))
         return _rows([part] * len(filled), 1, filled, payload)
 
     return run
@@ -301,23 +347,51 @@ def earliest(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, begin
 
 
+def _runs(strings: list[bytes], docs: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Runs of ``LENGTH``-byte strings with one smallest document: segment, first byte, last byte behind, document.
+
+    A segment that is alone in its group shares no string with another one.
+    """
+    _, group, size = np.unique(groups, return_inverse=True, return_counts=True)
+    alone = size[group] == 1
+    lonely, several = np.flatnonzero(alone), np.flatnonzero(~alone)
+    lengths = np.array([len(s) for s in strings])
+    run_of, run_from, run_to, run_doc = lonely, np.zeros(len(lonely), np.int64), lengths[lonely], docs[lonely]
+    if len(several):
+        first, begin = earliest([strings[k] for k in several.tolist()], docs[several])
+        counts = lengths[several] - LENGTH + 1
+        inside = np.repeat(np.arange(len(several)), counts)
+        offset = np.arange(len(inside)) - np.repeat(np.cumsum(counts) - counts, counts)
+        value = first[begin[inside] + offset]
+        starts = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (inside[1:] != inside[:-1])]))
+        stops = np.concatenate([starts[1:], [len(inside)]]) - 1
+        run_of = np.concatenate([run_of, several[inside[starts]]])
+        run_from, run_to = np.concatenate([run_from, offset[starts]]), np.concatenate([run_to, offset[stops] + LENGTH])
+        run_doc = np.concatenate([run_doc, value[starts]])
+    order = np.argsort(run_of, kind="stable")
+    return run_of[order], run_from[order], run_to[order], run_doc[order]
+
+
 def _meet(table: pa.Table) -> pa.Table:
     """Tell each part, for its segments of this bucket, the smallest document of every string in runs."""
     unpack = zstandard.ZstdDecompressor().decompress
     parts = table.column("part").to_pylist()
     known: dict[bytes, int] = {}
     least: list[int] = []
+    groups: list[int] = []
     held = []
     for packed in table.column("payload").to_pylist():
         raw = unpack(packed)
         (n,) = struct.unpack_from("<q", raw)
         docs = np.frombuffer(raw, np.int64, n, 8).tolist()
-        ends = np.cumsum(np.frombuffer(raw, np.uint32, n, 8 + 8 * n), dtype=np.int64) + 8 + 12 * n
-        begin, numbers = 8 + 12 * n, []
-        for end, doc in zip(ends.tolist(), docs, strict=True):
+        ends = np.cumsum(np.frombuffer(raw, np.uint32, n, 8 + 8 * n), dtype=np.int64) + 8 + 16 * n
+        tags = np.frombuffer(raw, np.uint32, n, 8 + 12 * n).tolist()
+        begin, numbers = 8 + 16 * n, []
+        for end, doc, tag in zip(ends.tolist(), docs, tags, strict=True):
             at = known.setdefault(raw[begin:end], len(known))
             if at == len(least):
                 least.append(doc)
+                groups.append(tag)
             elif doc < least[at]:
                 least[at] = doc
             numbers.append(at)
@@ -325,15 +399,7 @@ def _meet(table: pa.Table) -> pa.Table:
         held.append(np.array(numbers))
     strings = list(known)
     del known
-    first, begin = earliest(strings, np.array(least, np.int64))
-    # Runs of strings with one smallest document, in each segment.
-    counts = np.array([len(s) - LENGTH + 1 for s in strings])
-    inside = np.repeat(np.arange(len(strings)), counts)
-    offset = np.arange(len(inside)) - np.repeat(np.cumsum(counts) - counts, counts)
-    value = first[begin[inside] + offset]
-    starts = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (inside[1:] != inside[:-1])]))
-    stops = np.concatenate([starts[1:], [len(inside)]]) - 1
-    run_of, run_from, run_to, run_doc = inside[starts], offset[starts], offset[stops] + LENGTH, value[starts]
+    run_of, run_from, run_to, run_doc = _runs(strings, np.array(least, np.int64), np.array(groups, np.uint32))
     edges = np.searchsorted(run_of, np.arange(len(strings) + 1))
     pack = zstandard.ZstdCompressor(level=1).compress
     payload = []
@@ -367,7 +433,7 @@ def _remove(buckets: int):
         texts, ids = _texts(docs) if docs.num_rows else ([], np.zeros(0, np.int64))
         removed = [np.zeros((0, 2), np.int64)] * len(texts)
         if len(texts) and notes.num_rows:
-            _, _, places = _known_segments(texts, ids, notes, buckets)
+            *_, places = _known_segments(texts, ids, notes, buckets)
             _mark(removed, texts, ids, places, _answers(notes))
         kept, spans = [], []
         for text, cut in zip(texts, removed, strict=True):
@@ -375,7 +441,7 @@ def _remove(buckets: int):
             kept.append(b"".join(text[a:b] for a, b in zip(ends, [*cut[:, 0].tolist(), len(text)], strict=True)))
             spans.append([{"start": a, "stop": b} for a, b in cut.tolist()])
         return pa.table({
-            "doc_id": pa.array([None if i == NO_ID else i for i in ids.tolist()], pa.int64()),
+            "doc_id": docs.column("doc_id").take(pa.array(_order(docs), pa.int64())),
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
             "kept": pa.array(kept, pa.binary()),
@@ -424,11 +490,11 @@ def remove_repeated(docs: DataFrame) -> DataFrame:
     parts = max(1, -(-size // PART_BYTES))
     buckets = parts * BUCKETS_PER_PART
     dealt = docs.select(
-        F.pmod(F.xxhash64("doc_id"), F.lit(parts)).alias("part"), F.col("doc_id").cast("long").alias("doc_id"),
+        F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).alias("part"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("binary").alias("text"),
     )
     named = dealt.groupBy("part").applyInArrow(_minimizers(buckets), _NOTES)
-    shared = named.groupBy("bucket").applyInArrow(_shared, _NOTES)
+    shared = named.groupBy("bucket").applyInArrow(_shared(HOT_SEGMENTS), _NOTES)
     found = dealt.groupBy("part").cogroup(shared.groupBy("part")).applyInArrow(_segment_rows(buckets), _NOTES)
     answers = found.groupBy("bucket").applyInArrow(_meet, _NOTES)
     return dealt.groupBy("part").cogroup(shared.union(answers).groupBy("part")).applyInArrow(

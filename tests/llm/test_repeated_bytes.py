@@ -22,9 +22,10 @@ def brute_force(rows):
     return sorted(out)
 
 
-@pytest.mark.parametrize("part_bytes", [2_000, 1 << 23])
-def test_equal_to_brute_force(documents, monkeypatch, part_bytes):
+@pytest.mark.parametrize(("part_bytes", "hot"), [(2_000, 1 << 12), (1 << 23, 1 << 12), (2_000, 1), (1 << 23, 3)])
+def test_equal_to_brute_force(documents, monkeypatch, part_bytes, hot):
     monkeypatch.setattr(rb, "PART_BYTES", part_bytes)
+    monkeypatch.setattr(rb, "HOT_SEGMENTS", hot)
     rng = random.Random(7)
     passage = "".join(rng.choices("abcdé ", k=120))
     texts = [None, "", "short", "x" * 5000, "x" * 49, "ab" * 600, passage, passage * 2]
