@@ -11,28 +11,32 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkwell.functions.columns import MONEY, TOTAL, joined_text, moment, plus_months
-from perkwell.functions.tiers import tier_by_points, with_ladder
+from perkwell.functions.tiers import with_tier_by_points
 from perkwell.operators.audit import activity_rows
-from perkwell.operators.vouchers import offers_not_held, promotions_per_tier
+from perkwell.operators.vouchers import live_offers, offers_not_held
 
 BIRTHDAY_TEXT = "Birthday reward points"
 BIRTHDAY_MONTHS = 12
 
 
-def _changed_customer() -> Column:
+def changed_customer() -> Column:
     """The customer a change counts for: the new one, or the old one of a deleted row."""
     return F.when(F.col("op") == "D", F.col("old_customer_id")).otherwise(F.col("new_customer_id"))
 
 
-def points_change(changes: DataFrame) -> DataFrame:
-    """Net points per customer; an update counts the difference for the new customer."""
+def changed_points() -> Column:
+    """The points a change adds; an update counts the difference for the new customer."""
     new, old = F.col("new_points_amount"), F.col("old_points_amount")
-    amount = (
+    return (
         F.when(F.col("op") == "I", new)
         .when(F.col("op") == "U", new - F.coalesce(old, F.lit(0)))
         .otherwise(-old)
     )
-    return changes.groupBy(_changed_customer().alias("customer_id")).agg(F.sum(amount).alias("points_change"))
+
+
+def points_change(changes: DataFrame) -> DataFrame:
+    """Net points per customer."""
+    return changes.groupBy(changed_customer().alias("customer_id")).agg(F.sum(changed_points()).alias("points_change"))
 
 
 def sync_points_balance(changes: DataFrame, customers: DataFrame) -> DataFrame:
@@ -46,7 +50,7 @@ def sync_points_balance(changes: DataFrame, customers: DataFrame) -> DataFrame:
     )
 
 
-def _earns_with_expiry(side: str) -> Column:
+def earns_with_expiry(side: str) -> Column:
     return (
         (F.col(f"{side}_points_amount") > 0)
         & F.col(f"{side}_transaction_type").isin("PURCHASE", "BONUS")
@@ -54,17 +58,21 @@ def _earns_with_expiry(side: str) -> Column:
     )
 
 
+def touches_expiry() -> Column:
+    """Whether a change may move the customer's next expiry date."""
+    return (
+        F.when(F.col("op") == "I", earns_with_expiry("new"))
+        .when(F.col("op") == "U", F.coalesce(earns_with_expiry("new"), F.lit(False)) | earns_with_expiry("old"))
+        .otherwise(earns_with_expiry("old"))
+    )
+
+
 def recalc_points_expiry(changes: DataFrame, ledger: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
     """Next expiry date of customers whose earned points changed; NULL when none is ahead.
 
     ``ledger`` is the whole ledger after the changes.
     """
-    touches = (
-        F.when(F.col("op") == "I", _earns_with_expiry("new"))
-        .when(F.col("op") == "U", F.coalesce(_earns_with_expiry("new"), F.lit(False)) | _earns_with_expiry("old"))
-        .otherwise(_earns_with_expiry("old"))
-    )
-    touched = changes.where(touches).select(_changed_customer().alias("customer_id")).distinct()
+    touched = changes.where(touches_expiry()).select(changed_customer().alias("customer_id")).distinct()
     ahead = (
         ledger.where(
             (F.col("expiry_date") > moment(as_of)) & F.col("transaction_type").isin("PURCHASE", "BONUS")
@@ -86,8 +94,9 @@ def recalc_tier(customers: DataFrame, tiers: DataFrame) -> DataFrame:
     A customer who reaches no tier keeps the present one.
     """
     return (
-        with_ladder(customers.select("customer_id", F.col("tier_id").alias("old_tier_id"), "points_balance"), tiers)
-        .withColumn("new_tier_id", tier_by_points(F.col("points_balance")))
+        with_tier_by_points(
+            customers.select("customer_id", F.col("tier_id").alias("old_tier_id"), "points_balance"), "points_balance", tiers, "new_tier_id"
+        )
         .where(F.col("new_tier_id") != F.col("old_tier_id"))
         .select("customer_id", "old_tier_id", "new_tier_id")
     )
@@ -113,7 +122,7 @@ def assign_on_tier_change(
         "customer_id", F.col("new_tier_id").alias("tier_id"),
         F.when(F.col("old_tier_id").isNull(), "AUTO_TIER").otherwise("TIER_UPGRADE").alias("acquisition_method"),
     )
-    fresh = offers_not_held(moved, promotions_per_tier(promotions, tiers, as_of), holdings)
+    fresh = offers_not_held(moved, tiers, live_offers(promotions, as_of), holdings)
     return fresh.select(
         "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
         "acquisition_method",

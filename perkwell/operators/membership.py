@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, functions as F
 from perkwell.functions.columns import (
     day_start, floor_days, joined_text, moment, number_text, plus_days, plus_months, strict_greatest,
 )
-from perkwell.functions.tiers import LADDER, highest_reached_tier, with_ladder
+from perkwell.functions.tiers import with_highest_reached_tier
 from perkwell.operators.audit import activity_rows
 from perkwell.operators.ordered_spend import spend_in_order
 
@@ -314,8 +314,7 @@ def downgrade_tiers(ledger: DataFrame, customers: DataFrame, tiers: DataFrame, a
         .join(tiers.select("tier_id"), "tier_id", "left_semi")
     )
     return (
-        with_ladder(rows, tiers)
-        .withColumn("qualified", highest_reached_tier(F.col("points_balance")))
+        with_highest_reached_tier(rows, "points_balance", tiers, "qualified")
         .where(F.col("qualified") < F.col("tier_id"))
         .select("customer_id", F.col("tier_id").alias("old_tier_id"), F.col("qualified").alias("new_tier_id"))
     )
@@ -347,9 +346,8 @@ def expiry_run(
 def realign_tiers(customers: DataFrame, tiers: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
     """Move every customer to the highest reached tier, up or down, with a history row."""
     changed = (
-        with_ladder(customers.select("customer_id", "tier_id", "points_balance"), tiers)
-        .withColumn("new_tier_id", highest_reached_tier(F.col("points_balance")))
-        .where(F.col("new_tier_id") != F.col("tier_id")).drop(LADDER)
+        with_highest_reached_tier(customers.select("customer_id", "tier_id", "points_balance"), "points_balance", tiers, "new_tier_id")
+        .where(F.col("new_tier_id") != F.col("tier_id"))
     )
     history = changed.select(
         "customer_id", F.col("tier_id").alias("old_tier_id"), "new_tier_id",

@@ -7,18 +7,20 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from perkwell.functions.columns import MONEY, cents, joined_text, live_at, moment, strict_least
-from perkwell.functions.joins import sent_if_few, spread_join
-from perkwell.functions.tiers import every_tier, with_ladder
+from perkwell.functions.joins import spread_join
 from perkwell.operators.audit import activity_rows
 from perkwell.operators.integrity import assign_keys
-from perkwell.operators.ordered_spend import spend_in_order
+from perkwell.operators.ordering import PLACE, place_in_order
+from perkwell.operators.shared_budgets import Budget, serve_in_order
 from perkwell.sources.checkpoints import cut
 
 VOUCHER_TYPES = ("AUTO", "BIRTHDAY", "ALL")
 # Code letters, one per hex digit of a digest.
 CODE_LETTERS = "ABCDEFGHJKLMNPQR"
-# More live offers than this are joined row by row, not sent to every task as lists.
-LISTED_OFFERS = 10_000
+# Offers of a chunk, as a power of two: the bits of a long.
+CHUNK_BITS = 6
+# Not the text of any tier id.
+ANY_TIER = "*"
 # Up to this value a discount is a percentage, above it an amount of money.
 PERCENT_LIMIT = 100
 
@@ -194,46 +196,49 @@ def voucher_value(requests: DataFrame, promotions: DataFrame, customers: DataFra
     )
 
 
-def promotions_per_tier(promotions: DataFrame, tiers: DataFrame, as_of: datetime) -> DataFrame:
-    """Live automatic promotions as (tier_id, promotion_id); an open one is listed under every tier.
-
-    This turns "no tier or the customer's tier" into an equality, so the join hashes.
-    """
+def live_offers(promotions: DataFrame, as_of: datetime) -> DataFrame:
+    """Live automatic promotions as (tier_id, promotion_id); an open one has no tier."""
     offered = promotions.where((F.col("is_auto_assign") == "Y") & live_at(as_of))
-    own = F.array("applicable_tier_id")
-    return with_ladder(offered, tiers).select(
-        F.explode(F.when(F.col("applicable_tier_id").isNull(), every_tier()).otherwise(own)).alias("tier_id"),
-        "promotion_id",
-    )
+    return offered.select(F.col("applicable_tier_id").alias("tier_id"), "promotion_id")
 
 
-def offers_not_held(people: DataFrame, offers: DataFrame, holdings: DataFrame, listed: int = LISTED_OFFERS) -> DataFrame:
-    """``people`` (customer_id, tier_id, ...) with every offer of their tier they do not hold yet.
+def offers_not_held(people: DataFrame, tiers: DataFrame, offers: DataFrame, holdings: DataFrame) -> DataFrame:
+    """``people`` (customer_id, tier_id, ...) with every offer of their tier, or of any tier, they do not hold yet.
 
-    While there are few offers, they travel as one list per tier and each customer's
-    list is emptied of what is held before it is unfolded, so the many result rows
-    are never shuffled. More offers than ``listed`` are joined row by row instead.
+    Offers without a tier are for members of every tier in ``tiers``. Offers are numbered, and 64 of them make a
+    chunk with one bit each. What a customer holds becomes a bitmap per chunk. A customer meets the chunks of the own
+    tier and the open ones, and only what the bitmap leaves of a chunk is unfolded. So an offer held never becomes a
+    row, and what is joined is a 64th of all pairs, however many offers there are.
     """
-    offers = cut(offers)
-    if offers.count() > listed:
-        pairs = spread_join(people, offers, "tier_id", "customer_id")
-        held = holdings.select("customer_id", "promotion_id")
-        return pairs.join(held, ["customer_id", "promotion_id"], "left_anti")
-    lists = offers.groupBy("tier_id").agg(F.collect_set("promotion_id").alias("_offers"))
-    held = (
-        holdings.join(F.broadcast(offers.select("promotion_id").distinct()), "promotion_id", "left_semi")
-        .groupBy("customer_id").agg(F.collect_set("promotion_id").alias("_held"))
+    spread = int(people.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = offers.select(F.coalesce(F.col("tier_id").cast("string"), F.lit(ANY_TIER)).alias("_for"), "promotion_id").distinct()
+    numbered = place_in_order(wanted, ["_for", "promotion_id"]).select(
+        "_for", "promotion_id", F.shiftright(PLACE, CHUNK_BITS).alias("_chunk"),
+        F.col(PLACE).bitwiseAND(2**CHUNK_BITS - 1).cast("int").alias("_bit"),
     )
-    fresh = F.array_except("_offers", F.coalesce("_held", F.array().cast("array<bigint>")))
-    return (
-        people.join(F.broadcast(lists), "tier_id").join(held, "customer_id", "left")
-        .select(*people.columns, F.explode(fresh).alias("promotion_id"))
+    # At most 64 offers in a row.
+    chunks = numbered.groupBy("_for", "_chunk").agg(F.collect_list(F.struct("_bit", "promotion_id")).alias("_offers"))
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("_bit"))
+    bitmaps = (
+        holdings.select("customer_id", "promotion_id").join(numbered.select("promotion_id", "_chunk", "_bit").distinct(), "promotion_id")
+        .groupBy("customer_id", "_chunk").agg(F.bit_or(one).alias("_bits"))
+        .groupBy("customer_id").agg(F.map_from_entries(F.collect_list(F.struct("_chunk", "_bits"))).alias("_held"))
+    )
+    known = tiers.select("tier_id", F.lit(ANY_TIER).alias("_any")).distinct()
+    asking = people.join(known, "tier_id", "left").join(bitmaps, "customer_id", "left").select(
+        *people.columns, "_held", F.explode(F.array_compact(F.array(F.col("tier_id").cast("string"), F.col("_any")))).alias("_for")
+    )
+    met = spread_join(asking, chunks, "_for", "customer_id", spread)
+    bits = F.coalesce(F.col("_held")[F.col("_chunk")], F.lit(0).cast("long"))
+    fresh = F.filter("_offers", lambda o: F.call_function("shiftright", F.col("_bits"), o["_bit"]).bitwiseAND(1) == 0)
+    return met.withColumn("_bits", bits).select(*people.columns, F.explode(fresh).alias("_offer")).select(
+        *people.columns, F.col("_offer.promotion_id").alias("promotion_id")
     )
 
 
 def bulk_assign_vouchers(
     customers: DataFrame, tiers: DataFrame, promotions: DataFrame, holdings: DataFrame, as_of: datetime,
-    voucher_type: str = "ALL", tier_id: int | None = None, listed: int = LISTED_OFFERS,
+    voucher_type: str = "ALL", tier_id: int | None = None,
 ) -> dict[str, DataFrame]:
     """Give members every live automatic promotion open to their tier that they do not hold yet.
 
@@ -244,7 +249,7 @@ def bulk_assign_vouchers(
         members = members.where(F.col("tier_id") == tier_id)
     if voucher_type not in ("AUTO", "ALL"):
         members = members.where(F.lit(False))
-    fresh = offers_not_held(members, promotions_per_tier(promotions, tiers, as_of), holdings, listed)
+    fresh = offers_not_held(members, tiers, live_offers(promotions, as_of), holdings)
     new = fresh.select(
         "customer_id", "promotion_id", moment(as_of).alias("date_acquired"), F.lit("N").alias("is_used"),
         F.lit("AUTO_TIER").alias("acquisition_method"),
@@ -255,9 +260,9 @@ def bulk_assign_vouchers(
 
 def _checked_redemptions(
     requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame,
-    holdings: DataFrame | None, as_of: datetime, value_mode: str, strict: bool,
+    holdings: DataFrame | None, as_of: datetime, value_mode: str, strict: bool, owned_only: bool,
 ) -> DataFrame:
-    """Requests with the facts they need and the first check they fail (NULL if none)."""
+    """Requests with the facts they need, the first check they fail before and after points and room are looked at (NULL if none)."""
     promo = promotions.select(
         "promotion_id", F.lit(True).alias("_promo"), F.col("discount_value").alias("_value"),
         F.col("min_spend").alias("_min_spend"), F.col("points_required").alias("_points"),
@@ -282,24 +287,23 @@ def _checked_redemptions(
         F.when(F.col("_promo").isNull(), "VOUCHER_NOT_FOUND")
         .when(with_order & F.col("_owner").isNull(), "ORDER_NOT_FOUND")
         .when(F.col("_known").isNull(), "CUSTOMER_NOT_FOUND")
-        .when(with_order & (F.col("_owner") != F.col("customer_id")), "ORDER_NOT_OWNED")
+        .when(F.lit(owned_only) & with_order & (F.col("_owner") != F.col("customer_id")), "ORDER_NOT_OWNED")
         .when(with_order & (F.col("_total") < F.col("_min_spend")), "MIN_SPEND_NOT_MET")
         .when(F.col("_balance") < F.col("_points"), "INSUFFICIENT_POINTS")
         .when(F.col("_points") < 0, "INVALID_POINTS")
-        .when(with_order & (F.col("_discount") + F.col("_value") > F.col("_total")), "DISCOUNT_ABOVE_TOTAL")
     )
+    late = F.lit(None).cast("string")
     if strict:
         held = holdings.select("customer_id", "promotion_id", F.col("is_used").alias("_used"))
         rows = rows.join(held, ["customer_id", "promotion_id"], "left")
-        failure = F.coalesce(
-            failure,
+        late = (
             F.when(~F.col("_live"), "NOT_LIVE")
             .when(F.col("_customer_tier") != F.col("_tier"), "TIER_MISMATCH")
             .when(F.col("_used").isNull(), "NOT_HELD")
-            .when(F.col("_used") == "Y", "ALREADY_USED"),
+            .when(F.col("_used") == "Y", "ALREADY_USED")
         )
     return rows.select(
-        *requests.columns, failure.alias("_failure"), F.coalesce("_points", F.lit(0)).alias("points_used"),
+        *requests.columns, failure.alias("_failure"), late.alias("_late"), F.coalesce("_points", F.lit(0)).alias("points_used"),
         F.col("_points").isNotNull().alias("_with_points"),
         F.coalesce("_balance", F.lit(0)).alias("_balance"), F.col("_value"), F.col("_total"), F.col("_discount"),
         cents(F.coalesce("_value", F.lit(0).cast(MONEY))).cast("long").alias("_value_cents"),
@@ -308,134 +312,46 @@ def _checked_redemptions(
     )
 
 
-def _spend_points(rows: DataFrame, max_group: int | None) -> DataFrame:
-    return spend_in_order(rows, "customer_id", ["request_id"], "points_used", "_balance", max_group, written=True)
-
-
-def _decide(passed: DataFrame, max_group: int | None) -> DataFrame:
-    """Walk the requests of each customer in order, with points and order totals as limits.
-
-    Usually no order is asked twice and points are the only limit that changes on
-    the way. Otherwise order room is spent first and points second. That is right
-    unless a request refused for points had taken room from a later request on the
-    same order. Up to the first such request of a customer all is right, so the
-    points left there are known, and every later request that needs more than that
-    is settled as refused before the rest is decided again. Each pass so settles
-    all requests from some points price on: there are no more passes than prices.
-    """
-    shared = (
-        passed.where(F.col("order_id").isNotNull() & (F.col("_value_cents") > 0))
-        .groupBy("order_id").agg(F.count("*").alias("n")).where("n > 1")
-    )
-    if shared.isEmpty():
-        return _spend_points(passed, max_group).withColumn(
-            "_reason", F.when(~F.col("accepted"), "INSUFFICIENT_POINTS")
-        )
-    refused = None
-    while True:
-        open_rows = passed if refused is None else passed.join(refused, "request_id", "left_anti")
-        uses_order = F.col("order_id").isNotNull() & (F.col("_value_cents") > 0)
-        roomy = spend_in_order(
-            open_rows.where(uses_order), "order_id", ["request_id"], "_value_cents", "_room_cents", max_group,
-            written=True,
-        ).withColumnRenamed("accepted", "_fits")
-        fitted = cut(roomy.unionByName(open_rows.where(~uses_order).withColumn("_fits", F.lit(True))))
-        paid = cut(_spend_points(fitted.where("_fits").drop("_fits"), max_group))
-        late = fitted.where(~F.col("_fits")).groupBy("order_id").agg(F.max("request_id").alias("_last"))
-        clash = (
-            paid.where(~F.col("accepted") & F.col("order_id").isNotNull())
-            .join(late, "order_id").where(F.col("_last") > F.col("request_id"))
-            .groupBy("customer_id").agg(F.min("request_id").alias("_from"))
-        )
-        clash = cut(clash)
-        clashing = clash.count()
-        if clashing == 0:
-            break
-        before = F.when(F.col("accepted") & (F.col("request_id") < F.col("_from")), F.col("points_used"))
-        left = (
-            paid.join(sent_if_few(clash, clashing), "customer_id").groupBy("customer_id", "_from")
-            .agg((F.max("_balance") - F.coalesce(F.sum(before), F.lit(0))).alias("_left"))
-        )
-        beyond = (
-            open_rows.join(sent_if_few(left, clashing), "customer_id")
-            .where((F.col("request_id") >= F.col("_from")) & (F.col("points_used") > F.col("_left")))
-            .select("request_id")
-        )
-        refused = cut(beyond if refused is None else refused.unionByName(beyond))
-    decided = paid.withColumn("_reason", F.when(~F.col("accepted"), "INSUFFICIENT_POINTS")).unionByName(
-        fitted.where(~F.col("_fits")).drop("_fits")
-        .withColumns({"accepted": F.lit(False), "_reason": F.lit("DISCOUNT_ABOVE_TOTAL")})
-    )
-    if refused is None:
-        return decided
-    return decided.unionByName(
-        passed.join(refused, "request_id", "left_semi")
-        .withColumns({"accepted": F.lit(False), "_reason": F.lit("INSUFFICIENT_POINTS")})
-    )
-
-
-def _decide_once_each(passed: DataFrame, max_group: int | None) -> DataFrame:
-    """Decide requests where a customer can use each voucher once.
-
-    Of the requests of a customer for one voucher only the first is decided at first.
-    They cost the same points, so where it is refused for points all later ones are,
-    and where it succeeds they come too late. Only where its order had no room left
-    does the next one get its turn; then all is decided again with it.
-    """
-    turn = Window.partitionBy("customer_id", "promotion_id").orderBy("request_id")
-    queued = cut(passed.withColumn("_turn", F.row_number().over(turn)))
-    upto = None
-    while True:
-        last = F.lit(1) if upto is None else F.coalesce("_upto", F.lit(1))
-        numbered = queued if upto is None else queued.join(upto, ["customer_id", "promotion_id"], "left")
-        marked = numbered.withColumn("_last", last)
-        decided = cut(_decide(cut(marked.where(F.col("_turn") <= F.col("_last")).select(*queued.columns, "_last")), max_group))
-        no_room = decided.where((F.col("_turn") == F.col("_last")) & (F.col("_reason") == "DISCOUNT_ABOVE_TOTAL"))
-        more = no_room.select("customer_id", "promotion_id", (F.col("_last") + 1).alias("_turn")).join(
-            queued.select("customer_id", "promotion_id", "_turn"), ["customer_id", "promotion_id", "_turn"], "left_semi"
-        )
-        if more.isEmpty():
-            break
-        raised = more.withColumnRenamed("_turn", "_upto")
-        upto = cut(raised if upto is None else raised.unionByName(upto).groupBy("customer_id", "promotion_id").agg(
-            F.max("_upto").alias("_upto")
-        ))
-    settled = decided.where(F.col("_turn") == F.col("_last")).select(
-        "customer_id", "promotion_id", F.col("accepted").alias("_used_up"), F.col("_last").alias("_decided")
-    )
-    late = queued.join(settled, ["customer_id", "promotion_id"]).where(F.col("_turn") > F.col("_decided")).withColumns({
-        "accepted": F.lit(False),
-        "_reason": F.when(F.col("_used_up"), "ALREADY_USED").otherwise("INSUFFICIENT_POINTS"),
+def _decide(passed: DataFrame, once: bool) -> DataFrame:
+    """Serve the requests in order: points first, then the room of the order, then the one use of a held voucher."""
+    asked = passed.withColumns({
+        "_room_key": F.when(F.col("order_id").isNotNull() & (F.col("_value_cents") > 0), F.col("order_id")),
+        "_use_key": F.when(F.lit(once), F.concat_ws(":", "customer_id", "promotion_id")),
+        "_use": F.lit(1),
     })
-    return decided.select(*passed.columns, "accepted", "_reason").unionByName(
-        late.select(*passed.columns, "accepted", "_reason")
-    )
+    budgets = [
+        Budget("customer_id", "points_used", "_balance", "INSUFFICIENT_POINTS"),
+        Budget("_room_key", "_value_cents", "_room_cents", "DISCOUNT_ABOVE_TOTAL"),
+    ]
+    if once:
+        budgets.append(Budget("_use_key", "_use", "_use", "ALREADY_USED"))
+    served = serve_in_order(asked, ["request_id"], budgets, late="_late")
+    return served.select(*passed.columns, F.col("reason").alias("_reason"))
 
 
 def redeem_vouchers(
     requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame, as_of: datetime,
-    holdings: DataFrame | None = None, value_mode: str = "money", strict: bool = False,
-    max_group: int | None = None,
+    holdings: DataFrame | None = None, value_mode: str = "money", strict: bool = False, owned_only: bool = False,
 ) -> dict[str, DataFrame]:
     """Redeem vouchers for requests of (request_id, customer_id, promotion_id, order_id or NULL).
 
-    Requests of one customer are served in the order of ``request_id``, each on the
-    balance the earlier ones left. The discount is taken as money even for percent
-    vouchers; ``value_mode="percent"`` computes the percentage instead. ``strict``
-    also checks validity, tier, holding and earlier use, in the batch too. ``outcomes`` has one row
-    per request; the other results are the rows to write.
+    Requests are served in the order of ``request_id``, each on the balance and the order room the earlier ones
+    left. Several customers may redeem on one order, whoever placed it; ``owned_only`` refuses requests for
+    the orders of others. Points are looked at before the order's room. The discount is taken as money even for
+    percent vouchers; ``value_mode="percent"`` computes the percentage instead. ``strict`` also checks validity,
+    tier, holding and earlier use, in the batch too. ``outcomes`` has one row per request; the other results
+    are the rows to write.
     """
     if strict and holdings is None:
         raise ValueError("strict redemption needs the holdings")
     checked = cut(_checked_redemptions(
-        requests, promotions, customers, orders, holdings, as_of, value_mode, strict
+        requests, promotions, customers, orders, holdings, as_of, value_mode, strict, owned_only
     ))
-    passed = checked.where(F.col("_failure").isNull())
-    decided = _decide_once_each(passed, max_group) if strict else _decide(passed, max_group)
-    failed = checked.where(F.col("_failure").isNotNull()).withColumns({
-        "accepted": F.lit(False), "_reason": F.col("_failure"),
-    })
-    results = cut(decided.unionByName(failed).withColumn("status", F.coalesce("_reason", F.lit("REDEEMED"))))
+    decided = _decide(checked.where(F.col("_failure").isNull()), strict)
+    failed = checked.where(F.col("_failure").isNotNull()).withColumn("_reason", F.col("_failure"))
+    results = cut(decided.unionByName(failed).withColumns({
+        "accepted": F.col("_reason").isNull(), "status": F.coalesce("_reason", F.lit("REDEEMED")),
+    }))
     done = results.where("accepted")
     now = moment(as_of)
     outcomes = results.select(

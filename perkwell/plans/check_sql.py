@@ -174,22 +174,56 @@ def _redeem_walk(requests: str, orders: str) -> str:
                 WHEN c.customer_id IS NULL THEN 'CUSTOMER_NOT_FOUND'
                 WHEN r.order_id IS NOT NULL AND o.customer_id <> r.customer_id THEN 'ORDER_NOT_OWNED'
                 WHEN r.order_id IS NOT NULL AND o.total_amount < p.min_spend THEN 'MIN_SPEND_NOT_MET'
-                WHEN c.points_balance < p.points_required THEN 'INSUFFICIENT_POINTS'
-                WHEN r.order_id IS NOT NULL AND o.discount_amount + p.discount_value > o.total_amount
-                THEN 'DISCOUNT_ABOVE_TOTAL' END AS failure
+                WHEN c.points_balance < p.points_required THEN 'INSUFFICIENT_POINTS' END AS failure,
+            r.order_id IS NOT NULL AND coalesce(o.discount_amount + p.discount_value > o.total_amount, false) AS too_much
         FROM {requests} r LEFT JOIN ly_promotions p ON p.promotion_id = r.promotion_id
         LEFT JOIN {orders} o ON o.order_id = r.order_id LEFT JOIN ly_customers c ON c.customer_id = r.customer_id),
     queue AS (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY request_id) AS nr
               FROM facts WHERE failure IS NULL),
     walk AS (
         SELECT customer_id, CAST(0 AS BIGINT) AS nr, max(points_balance) AS rest, CAST(NULL AS BIGINT) AS request_id,
-            false AS hit FROM queue GROUP BY customer_id
+            false AS hit, CAST(NULL AS VARCHAR) AS refused FROM queue GROUP BY customer_id
         UNION ALL
-        SELECT q.customer_id, q.nr, CASE WHEN w.rest >= q.points THEN w.rest - q.points ELSE w.rest END,
-            q.request_id, w.rest >= q.points
+        SELECT q.customer_id, q.nr, CASE WHEN w.rest >= q.points AND NOT q.too_much THEN w.rest - q.points ELSE w.rest END,
+            q.request_id, w.rest >= q.points AND NOT q.too_much,
+            CASE WHEN w.rest < q.points THEN 'INSUFFICIENT_POINTS' WHEN q.too_much THEN 'DISCOUNT_ABOVE_TOTAL' END
         FROM walk w JOIN queue q ON q.customer_id = w.customer_id AND q.nr = w.nr + 1)"""
 
 
+# Redemption on orders that several customers share: a request is judged once all earlier ones of its customer and of its order are.
+_SHARED_WAVES = """
+    asked AS (
+        SELECT r.request_id, r.customer_id, r.promotion_id, r.order_id, p.points_required, p.discount_value AS value,
+            coalesce(p.points_required, 0) AS points, c.points_balance, o.total_amount - o.discount_amount AS room,
+            CASE WHEN p.promotion_id IS NULL THEN 'VOUCHER_NOT_FOUND'
+                WHEN r.order_id IS NOT NULL AND o.order_id IS NULL THEN 'ORDER_NOT_FOUND'
+                WHEN c.customer_id IS NULL THEN 'CUSTOMER_NOT_FOUND'
+                WHEN r.order_id IS NOT NULL AND o.total_amount < p.min_spend THEN 'MIN_SPEND_NOT_MET'
+                WHEN c.points_balance < p.points_required THEN 'INSUFFICIENT_POINTS' END AS failure
+        FROM ly_shared_redeem_requests r LEFT JOIN ly_promotions p ON p.promotion_id = r.promotion_id
+        LEFT JOIN ly_orders o ON o.order_id = r.order_id LEFT JOIN ly_customers c ON c.customer_id = r.customer_id),
+    waves AS (
+        SELECT 0 AS wave, request_id, customer_id, order_id, points, points_balance, coalesce(value, 0) AS value, room,
+            CAST(NULL AS VARCHAR) AS status
+        FROM asked WHERE failure IS NULL
+        UNION ALL
+        SELECT wave + 1, request_id, customer_id, order_id, points, points_balance, value, room,
+            CASE WHEN status IS NOT NULL THEN status WHEN before_me > 0 THEN NULL
+                WHEN points_balance - spent < points THEN 'INSUFFICIENT_POINTS'
+                WHEN order_id IS NOT NULL AND room - taken < value THEN 'DISCOUNT_ABOVE_TOTAL' ELSE 'REDEEMED' END
+        FROM (SELECT *, coalesce(sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id ORDER BY request_id
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                + CASE WHEN order_id IS NULL THEN 0 ELSE coalesce(sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) OVER (
+                    PARTITION BY order_id ORDER BY request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) END AS before_me,
+                coalesce(sum(CASE WHEN status = 'REDEEMED' THEN points ELSE 0 END) OVER (PARTITION BY customer_id
+                    ORDER BY request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+                coalesce(sum(CASE WHEN status = 'REDEEMED' THEN value ELSE 0 END) OVER (PARTITION BY order_id
+                    ORDER BY request_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken,
+                sum(CASE WHEN status IS NULL THEN 1 ELSE 0 END) OVER () AS waiting
+            FROM waves) WHERE waiting > 0),
+    ended AS (SELECT * FROM waves WHERE wave = (SELECT max(wave) FROM waves))"""
+
+
 def _key_text(table: str, alias: str = "") -> str:
     prefix = f"{alias}." if alias else ""
     return "concat_ws('|', " + ", ".join(f"CAST({prefix}{c} AS VARCHAR)" for c in PRIMARY_KEYS[table]) + ")"
@@ -501,8 +535,7 @@ SQL: dict[str, str] = {
     "redeem_vouchers": f"""
         WITH RECURSIVE {_redeem_walk("ly_voucher_redeem_requests", "ly_orders")}
         SELECT f.request_id, f.customer_id, f.promotion_id, f.order_id,
-            coalesce(f.failure, CASE WHEN w.hit THEN 'REDEEMED' ELSE 'INSUFFICIENT_POINTS' END) AS status,
-            CASE WHEN w.hit THEN f.points END AS points_used
+            coalesce(f.failure, w.refused, 'REDEEMED') AS status, CASE WHEN w.hit THEN f.points END AS points_used
         FROM facts f LEFT JOIN walk w ON w.request_id = f.request_id""",
     "redeem_vouchers_orders": f"""
         WITH RECURSIVE {_redeem_walk("ly_voucher_redeem_requests", "ly_orders")}
@@ -511,6 +544,22 @@ SQL: dict[str, str] = {
         FROM walk w JOIN ly_voucher_redeem_requests r ON r.request_id = w.request_id
         JOIN ly_orders o ON o.order_id = r.order_id JOIN ly_promotions p ON p.promotion_id = r.promotion_id
         WHERE w.hit AND p.discount_value IS NOT NULL""",
+    "redeem_vouchers_shared": f"""
+        WITH RECURSIVE {_SHARED_WAVES}
+        SELECT f.request_id, f.customer_id, f.promotion_id, f.order_id, coalesce(f.failure, e.status) AS status,
+            CASE WHEN e.status = 'REDEEMED' THEN f.points END AS points_used
+        FROM asked f LEFT JOIN ended e ON e.request_id = f.request_id""",
+    "redeem_vouchers_shared_orders": f"""
+        WITH RECURSIVE {_SHARED_WAVES}
+        SELECT o.order_id, CAST(o.discount_amount + s.off AS DOUBLE) AS discount_amount,
+            CAST(o.total_amount - (o.discount_amount + s.off) AS DOUBLE) AS final_amount
+        FROM ly_orders o JOIN (SELECT f.order_id, sum(f.value) AS off FROM ended e JOIN asked f ON f.request_id = e.request_id
+            WHERE e.status = 'REDEEMED' AND f.value IS NOT NULL GROUP BY f.order_id) s ON s.order_id = o.order_id""",
+    "redeem_vouchers_shared_ledger": f"""
+        WITH RECURSIVE {_SHARED_WAVES}
+        SELECT f.customer_id, -f.points_required AS points_amount, 'REDEMPTION' AS transaction_type, $now AS transaction_date,
+            'Voucher redemption' AS description
+        FROM ended e JOIN asked f ON f.request_id = e.request_id WHERE e.status = 'REDEEMED' AND f.points_required IS NOT NULL""",
     "create_alacarte_orders": f"""
         WITH {_ALACARTE_PARTS}
         SELECT request_id, customer_id, $now AS order_date, CAST(total AS DOUBLE) AS total_amount,
@@ -632,6 +681,26 @@ SQL: dict[str, str] = {
         WITH {_CASCADE}
         SELECT customer_id, old_balance, points_balance, points_expiry_date, coalesce(reached, tier_id) AS tier_id
         FROM cascade""",
+    "ledger_change_stream": f"""
+        WITH {_CASCADE}
+        SELECT customer_id, old_balance, points_balance, points_expiry_date, coalesce(reached, tier_id) AS tier_id
+        FROM cascade""",
+    "ledger_change_stream_history": f"""
+        WITH {_CASCADE}, u AS (SELECT customer_id, tier_id AS old_tier_id, reached AS new_tier_id FROM cascade
+            WHERE reached <> tier_id)
+        SELECT u.customer_id, u.old_tier_id, u.new_tier_id, $now AS change_date, {_CHANGE_REASON} AS change_reason,
+            'SYSTEM' AS changed_by FROM u""",
+    "expiry_from_counts": f"""
+        SELECT c.customer_id, {_NEXT_EXPIRY} AS points_expiry_date FROM ly_customers c
+        WHERE c.customer_id IN (SELECT customer_id FROM {_REDATED})""",
+    "line_change_stream": """
+        SELECT o.order_id, CAST(sum(q * price) AS DOUBLE) AS total_amount, CAST(sum(q * off) AS DOUBLE) AS discount_amount,
+            CAST(sum(q * (price - off)) AS DOUBLE) AS final_amount
+        FROM ly_orders o JOIN (SELECT l_orderkey AS order_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS price,
+                CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2)) AS off,
+                CAST(l_quantity AS BIGINT) * CASE WHEN l_returnflag = 'R' THEN 0 ELSE 1 END
+                    + CASE WHEN l_returnflag = 'A' THEN 1 ELSE 0 END AS q
+            FROM lineitem) l ON l.order_id = o.order_id GROUP BY o.order_id""",
     "points_cascade_history": f"""
         WITH {_CASCADE}, u AS (SELECT customer_id, tier_id AS old_tier_id, reached AS new_tier_id FROM cascade
             WHERE reached <> tier_id)

@@ -21,12 +21,16 @@ def points_cascade(
     ``ledger`` is the ledger after the changes. The changed customers feed four
     results, so they are written once.
     """
-    balances = (
-        sync_points_balance(changes, customers)
-        .join(customers.select("customer_id", "tier_id", "points_expiry_date"), "customer_id")
-    )
-    balances = cut(balances)
     expiry = recalc_points_expiry(changes, ledger, customers, as_of)
+    return cascade_effects(sync_points_balance(changes, customers), expiry, customers, tiers, promotions, holdings, as_of)
+
+
+def cascade_effects(
+    balances: DataFrame, expiry: DataFrame, customers: DataFrame, tiers: DataFrame, promotions: DataFrame,
+    holdings: DataFrame, as_of: datetime,
+) -> dict[str, DataFrame]:
+    """What follows from changed balances (customer_id, old_balance, points_balance) and expiry dates."""
+    balances = cut(balances.join(customers.select("customer_id", "tier_id", "points_expiry_date"), "customer_id"))
     updates = cut(recalc_tier(balances, tiers))
     changed = (
         balances.join(

@@ -9,7 +9,7 @@ from pyspark.sql.types import DecimalType
 
 from perkwell.functions.columns import moment, plus_days
 from perkwell.operators import (
-    audit, integrity, maintenance, meals, membership, seasonal, snapshots, vouchers,
+    audit, expiry_counts, integrity, maintenance, meals, membership, seasonal, snapshots, vouchers,
 )
 from perkwell.plans import order_flow, points_cascade
 from perkwell.schemas import TABLES
@@ -283,17 +283,36 @@ def bulk_assign_vouchers(t):
 @query
 def redeem_vouchers(t):
     return vouchers.redeem_vouchers(
-        t.voucher_redeem_requests, t.promotions, t.customers, t.orders, AS_OF
+        t.voucher_redeem_requests, t.promotions, t.customers, t.orders, AS_OF, owned_only=True
     )["outcomes"]
 
 
 @query
 def redeem_vouchers_orders(t):
     return vouchers.redeem_vouchers(
-        t.voucher_redeem_requests, t.promotions, t.customers, t.orders, AS_OF
+        t.voucher_redeem_requests, t.promotions, t.customers, t.orders, AS_OF, owned_only=True
     )["orders"]
 
 
+def _shared_redemption(t):
+    return vouchers.redeem_vouchers(t.shared_redeem_requests, t.promotions, t.customers, t.orders, AS_OF)
+
+
+@query
+def redeem_vouchers_shared(t):
+    return _shared_redemption(t)["outcomes"]
+
+
+@query
+def redeem_vouchers_shared_orders(t):
+    return _shared_redemption(t)["orders"]
+
+
+@query
+def redeem_vouchers_shared_ledger(t):
+    return _shared_redemption(t)["point_transactions"]
+
+
 @query
 def create_alacarte_orders(t):
     return meals.create_alacarte_orders(
@@ -488,6 +507,43 @@ def order_totals_stream(t):
     return upkeep.kept_order_totals(t.spark, folder, t.orders)
 
 
+def _counts_before(t):
+    """Entries per customer and expiry date before the ledger changes, of which the ledger is the outcome."""
+    added = expiry_counts.count_changes(t.ledger_changes).withColumn("entries", -F.col("entries"))
+    return expiry_counts.with_count_changes(expiry_counts.expiry_counts(t.point_transactions), added)
+
+
+@query
+def expiry_from_counts(t):
+    counts = expiry_counts.with_count_changes(_counts_before(t), expiry_counts.count_changes(t.ledger_changes))
+    return expiry_counts.recalc_points_expiry(t.ledger_changes, counts, t.customers, AS_OF)
+
+
+def _streamed_cascade(t):
+    folder = upkeep.run_folder(t.spark, "changes")
+    upkeep.keep_ledger_changes(t.stream("ledger_changes", "events"), folder).awaitTermination()
+    return upkeep.kept_cascade(
+        t.spark, folder, _counts_before(t), t.customers, t.membership_tiers, t.promotions, t.customer_promotions, AS_OF
+    )
+
+
+@query
+def ledger_change_stream(t):
+    return _streamed_cascade(t)["customers"]
+
+
+@query
+def ledger_change_stream_history(t):
+    return _streamed_cascade(t)["membership_history"]
+
+
+@query
+def line_change_stream(t):
+    folder = upkeep.run_folder(t.spark, "line-changes")
+    upkeep.keep_line_changes(t.stream("line_changes", "lineitem"), folder).awaitTermination()
+    return upkeep.kept_line_totals(t.spark, folder, t.orders)
+
+
 # ---- data checks ---------------------------------------------------------------
 
 

@@ -257,6 +257,11 @@ def loyalty_selects(d: Dialect) -> dict[str, str]:
             SELECT o_orderkey AS request_id, {asking_customer}, {asked_voucher} AS promotion_id,
                    CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey END AS order_id
             FROM {{orders}}""",
+        # Four customers at a time redeem on one order.
+        "shared_redeem_requests": f"""
+            SELECT o_orderkey AS request_id, {asking_customer}, {asked_voucher} AS promotion_id,
+                   CASE WHEN o_orderkey % 5 <> 0 THEN o_orderkey - o_orderkey % 4 END AS order_id
+            FROM {{orders}}""",
         "alacarte_requests": f"""
             SELECT o_orderkey AS request_id, {asking_customer},
                    CASE WHEN o_orderkey % 101 = 0 THEN concat(o_orderkey, ',abc')
@@ -290,6 +295,25 @@ def loyalty_selects(d: Dialect) -> dict[str, str]:
                    CASE WHEN l_linestatus = 'O' THEN l_orderkey END AS new_order_id,
                    CASE WHEN l_linestatus <> 'O' THEN l_orderkey END AS old_order_id
             FROM {lineitem} WHERE l_returnflag = 'R'""",
+        # Every line is added; then returned ones are taken back and accepted ones get one piece more.
+        "line_changes": """
+            SELECT 'I' AS op, CAST(NULL AS BIGINT) AS old_order_id, CAST(NULL AS DECIMAL(10,2)) AS old_price,
+                   CAST(NULL AS BIGINT) AS old_quantity, CAST(NULL AS DECIMAL(10,2)) AS old_discount_applied,
+                   l_orderkey AS new_order_id, CAST(l_extendedprice AS DECIMAL(10,2)) AS new_price,
+                   CAST(l_quantity AS BIGINT) AS new_quantity,
+                   CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2))
+                       AS new_discount_applied
+            FROM {lineitem}
+            UNION ALL
+            SELECT CASE l_returnflag WHEN 'R' THEN 'D' ELSE 'U' END, l_orderkey, CAST(l_extendedprice AS DECIMAL(10,2)),
+                   CAST(l_quantity AS BIGINT),
+                   CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2)),
+                   CASE WHEN l_returnflag = 'A' THEN l_orderkey END,
+                   CASE WHEN l_returnflag = 'A' THEN CAST(l_extendedprice AS DECIMAL(10,2)) END,
+                   CASE WHEN l_returnflag = 'A' THEN CAST(l_quantity AS BIGINT) + 1 END,
+                   CASE WHEN l_returnflag = 'A'
+                        THEN CAST(CAST(l_extendedprice AS DECIMAL(10,2)) * CAST(l_discount AS DECIMAL(4,2)) AS DECIMAL(10,2)) END
+            FROM {lineitem} WHERE l_returnflag IN ('A', 'R')""",
         # Rows as they arrive before cleaning, for the data checks.
         "raw_customers": """
             SELECT c_custkey AS customer_id, CAST(floor(c_acctbal) AS BIGINT) AS points_balance,

@@ -3,7 +3,7 @@ from datetime import timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from perkwell.functions.tiers import MAX_TIERS
+from perkwell.functions.tiers import with_highest_reached_tier, with_tier_by_points
 from perkwell.operators import integrity, maintenance
 from perkwell.schemas import TABLES
 from perkwell.sources import snapshots as files
@@ -137,11 +137,23 @@ def test_snapshots_round_trip_and_updates(spark, t, tmp_path):
     assert dict(tuples(after, "customer_id", "tier_id")) == {1001: 1, 1002: 2, 1003: 2, 1004: 3, 1005: 4, 1006: 2}
 
 
-def test_too_many_tiers_are_refused(spark, t):
-    tiers = table(spark, "membership_tiers", [
-        {**TIERS[0], "tier_id": n, "points_required": n} for n in range(1, MAX_TIERS + 2)])
-    with pytest.raises(Exception, match="more than"):
-        maintenance.recalc_tier(t["customers"], tiers).collect()
+@pytest.mark.parametrize("number", [5, 5_000, 1_000_000])
+def test_any_number_of_tiers(spark, t, number):
+    tiers = spark.range(1, number + 1).selectExpr("id AS tier_id", "(id * 7919) % 1000003 * 3 AS points_required")
+    balances = [None, -1, 0, 1, 3, 299, 300, 301, 2_999_999, 3_000_005, *range(0, 3_000_000, 70_001)]
+    people = spark.createDataFrame([(k, 1, p) for k, p in enumerate(balances)], "customer_id long, tier_id long, points_balance long")
+    steps = sorted((n * 7919 % 1000003 * 3, n) for n in range(1, number + 1))
+    most, highest, at = {}, {}, 0
+    last = best = None
+    for p in sorted(b for b in balances if b is not None):
+        while at < number and steps[at][0] <= p:
+            last, best = steps[at][1], max(best or 0, steps[at][1])
+            at += 1
+        most[p], highest[p] = last, best
+    got = with_tier_by_points(people, "points_balance", tiers, "tier").collect()
+    assert {r.customer_id: r.tier for r in got} == {k: most.get(p) for k, p in enumerate(balances)}
+    got = with_highest_reached_tier(people, "points_balance", tiers, "tier").collect()
+    assert {r.customer_id: r.tier for r in got} == {k: highest.get(p) for k, p in enumerate(balances)}
     assert len(ITEMS) == 13
 
 
