@@ -44,6 +44,8 @@ PART_BYTES = 1 << 23
 BUCKETS_PER_PART = 4
 # A minimizer with more segments than about this is divided; a power of two.
 HOT_SEGMENTS = 1 << 12
+# Where a part has a minimizer so often, its different segments are counted.
+FREQUENT = 64
 # Low bits of a minimizer that tell, in a note, how often a part has it (a power of two) and whether several documents do.
 COUNT_BITS = 6
 NO_ID = np.iinfo(np.int64).max
@@ -74,8 +76,8 @@ def _least_of(value: np.ndarray, window: int) -> np.ndarray:
     return np.minimum(value[:len(value) - (window - width)], value[window - width:]) if width < window else value
 
 
-def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """For runs of texts: their joined bytes, and document, start, end and minimizer of each segment.
+def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """For runs of texts: their joined bytes, document, start, end and minimizer of each segment, and the hashes of all seeds.
 
     Documents are numbered from 0 over all texts; start and end count within the joined bytes.
     """
@@ -83,7 +85,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
         joined = b"".join(texts[first:last])
         if len(joined) < LENGTH:
             continue
-        least = _least_of(_seed_hashes(np.frombuffer(joined, np.uint8)), LENGTH - SEED + 1)
+        seeds = _seed_hashes(np.frombuffer(joined, np.uint8))
+        least = _least_of(seeds, LENGTH - SEED + 1)
         sizes = np.array([len(t) for t in texts[first:last]])
         ends = np.cumsum(sizes)
         counts = np.maximum(sizes - LENGTH + 1, 0)
@@ -94,7 +97,8 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
         begins = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])])) if len(at) else at
         if len(begins):
             stop = np.concatenate([begins[1:], [len(at)]]) - 1
-            yield joined, doc[begins] + first, at[begins], at[stop] + LENGTH, value[begins]
+            start, end = at[begins], at[stop] + LENGTH
+            yield joined, doc[begins] + first, start, end, value[begins], seeds
 
 
 def _bucket(group: np.ndarray, buckets: int) -> np.ndarray:
@@ -103,15 +107,19 @@ def _bucket(group: np.ndarray, buckets: int) -> np.ndarray:
 
 def _divided(joined: bytes, doc: np.ndarray, start: np.ndarray, end: np.ndarray, group: np.ndarray):
     """Segments cut where the second minimizer of their strings changes, which becomes part of their group."""
-    second = _least_of(mixed(_seed_hashes(np.frombuffer(joined, np.uint8)) ^ _SECOND), LENGTH - SEED + 1)
-    strings = end - start - LENGTH + 1
+    sizes = end - start
+    begin = np.cumsum(sizes) - sizes
+    # Only the bytes of these segments are hashed again; what lies across two of them is not looked at.
+    own = np.frombuffer(joined, np.uint8)[np.arange(sizes.sum()) - np.repeat(begin - start, sizes)]
+    second = _least_of(mixed(_seed_hashes(own) ^ _SECOND), LENGTH - SEED + 1)
+    strings = sizes - LENGTH + 1
     owner = np.repeat(np.arange(len(start)), strings)
-    at = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings) + start[owner]
-    value = second[at]
-    begins = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]))
-    stops = np.concatenate([begins[1:], [len(at)]]) - 1
-    whose = owner[begins]
-    return doc[whose], at[begins], at[stops] + LENGTH, mixed(group[whose] ^ value[begins])
+    offset = np.arange(len(owner)) - np.repeat(np.cumsum(strings) - strings, strings)
+    value = second[begin[owner] + offset]
+    first = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (owner[1:] != owner[:-1])]))
+    last = np.concatenate([first[1:], [len(owner)]]) - 1
+    whose = owner[first]
+    return doc[whose], start[whose] + offset[first], start[whose] + offset[last] + LENGTH, mixed(group[whose] ^ value[first])
 
 
 def _rows(part: list[int], kind: int, bucket: list[int], payload: list[bytes]) -> pa.Table:
@@ -125,33 +133,32 @@ def _texts(table: pa.Table) -> tuple[list[bytes], np.ndarray]:
     """Bytes and ids of the documents of a part, in an order that does not depend on how they arrived."""
     ids = table.column("doc_id").fill_null(NO_ID).to_numpy()
     texts = table.column("text").fill_null(b"").to_pylist()
-    order = _order(table)
+    nameless = table.column("doc_id").is_null().to_pylist()
+    order = sorted(range(len(texts)), key=lambda k: (ids[k], nameless[k], texts[k]))
     return [texts[k] for k in order], ids[order]
 
 
-def _order(table: pa.Table) -> list[int]:
-    ids = table.column("doc_id").fill_null(NO_ID).to_pylist()
-    texts = table.column("text").fill_null(b"").to_pylist()
-    return sorted(range(len(texts)), key=lambda k: (ids[k], texts[k]))
-
-
 # ---- which minimizers occur in several documents -------------------------------------
 
 
 def _minimizers(buckets: int):
     def run(table: pa.Table) -> pa.Table:
         texts, ids = _texts(table)
-        values, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for _, doc, _, _, value in segments(texts):
+        values, docs, outer = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+        for _, doc, start, end, value, seeds in segments(texts):
             values.append(value)
             docs.append(ids[doc])
-        value, doc = np.concatenate(values), np.concatenate(docs)
+            # Segments that begin and end alike are counted as one; the count only decides what is divided.
+            outer.append(seeds[start] * np.uint64(_FACTOR) + seeds[end - SEED])
+        value, doc, ends = np.concatenate(values), np.concatenate(docs), np.concatenate(outer)
         order = np.argsort(value, kind="stable")
-        value, doc = value[order], doc[order]
+        value, doc, ends = value[order], doc[order], ends[order]
         first = np.flatnonzero(np.concatenate([[True], value[1:] != value[:-1]])) if len(value) else np.zeros(0, np.int64)
         several = np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first) if len(first) else np.zeros(0, bool)
-        # The low bits tell how often the part has it, as a power of two, and whether more than one of its documents does.
+        # The low bits tell how many segments the part has of it, as a power of two, and whether more than one document does.
         often = np.diff(np.concatenate([first, [len(value)]]))
+        for k in np.flatnonzero(often >= FREQUENT):
+            often[k] = len(np.unique(ends[first[k]:first[k] + often[k]]))
         power = np.minimum(np.log2(np.maximum(often, 1)).astype(np.uint64), np.uint64((1 << COUNT_BITS - 1) - 1))
         once = value[first] >> np.uint64(COUNT_BITS) << np.uint64(COUNT_BITS) | power << np.uint64(1) | several.astype(np.uint64)
         bucket = _bucket(value[first], buckets)
@@ -206,15 +213,16 @@ def _known_segments(texts: list[bytes], ids: np.ndarray, notes: pa.Table, bucket
     least: dict[int, list[int]] = {}
     groups: dict[int, list[int]] = {}
     places = []
-    for joined, doc, start, end, value in segments(texts) if len(shared) else ():
+    for joined, doc, start, end, value, _ in segments(texts) if len(shared) else ():
         plain = value >> np.uint64(COUNT_BITS)
         at = np.minimum(np.searchsorted(shared, plain), len(shared) - 1)
         hit = shared[at] == plain
         divide = hit & hot[at]
-        doc, start, end, group = ([x[hit & ~divide], x[divide]] for x in (doc, start, end, plain))
-        if divide.any():
-            doc[1], start[1], end[1], group[1] = _divided(joined, doc[1], start[1], end[1], group[1])
-        doc, start, end, group = (np.concatenate(x) for x in (doc, start, end, group))
+        usual = hit & ~divide
+        cut = _divided(joined, *(x[divide] for x in (doc, start, end, plain))) if divide.any() else None
+        doc, start, end, group = (x[usual] for x in (doc, start, end, plain))
+        if cut:
+            doc, start, end, group = (np.concatenate(x) for x in zip((doc, start, end, group), cut, strict=True))
         bucket, tag = _bucket(group, buckets), (mixed(group) >> np.uint64(32)).tolist()
         number = np.empty(len(doc), np.int64)
         owner = ids[doc].tolist()
@@ -281,12 +289,22 @@ def suffix_order(data: np.ndarray) -> np.ndarray:
         key, width = rank << (shift if narrow else np.uint64(32)) | behind, width * 2
 
 
-def apart(bwt: np.ndarray, length: int) -> np.ndarray:
+def heads_of(data: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each suffix as a number."""
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    key = np.zeros(len(data), np.uint64)
+    for k in range(8):
+        key = key << np.uint64(8) | padded[k:k + len(data)]
+    return key
+
+
+def apart(bwt: np.ndarray, length: int, heads: np.ndarray | None = None) -> np.ndarray:
     """For each suffix in order, whether it agrees with the one before in fewer than ``length`` bytes.
 
     Breadth-first backward extension: from the interval of a word w, each byte c in front of
     its suffixes gives the interval of cw; where the latter ends, suffixes agree in |w| bytes
-    at most. An interval is extended further only if its end was not marked before.
+    at most. An interval is extended further only if its end was not marked before. ``heads`` are
+    the first eight bytes of the suffixes in order; with them the expansion begins with the words of eight bytes.
     """
     n = len(bwt)
     order = np.argsort(bwt, kind="stable")
@@ -296,17 +314,26 @@ def apart(bwt: np.ndarray, length: int) -> np.ndarray:
     following, previous = np.full(n, n), np.full(n, -1)
     following[order[:-1][same]] = order[1:][same]
     previous[order[1:][same]] = order[:-1][same]
+    # The last place of the run of equal bytes that each place is in.
+    run_ends = np.concatenate([np.flatnonzero(bwt[1:] != bwt[:-1]), [n - 1]])
+    run_end = np.repeat(run_ends, np.diff(np.concatenate([[-1], run_ends])))
     marked = np.zeros(n + 1, bool)
     marked[0] = marked[n] = True
-    low, high = np.array([0]), np.array([n - 1])
-    for _ in range(length):
+    low, high, done = np.array([0]), np.array([n - 1]), 0
+    if heads is not None and length > 8:
+        edges = np.flatnonzero(heads[1:] != heads[:-1])
+        marked[edges + 1] = True
+        low, high, done = np.concatenate([[0], edges + 1]), np.concatenate([edges, [n - 1]]), 8
+        # Those whose end differs within seven bytes were marked by a shorter word.
+        last = np.flatnonzero(heads[edges] >> np.uint64(8) == heads[edges + 1] >> np.uint64(8))
+        low, high = low[last], high[last]
+    for _ in range(done, length):
         if not len(low):
             break
-        # An interval of one suffix has one extension, of one suffix.
-        alone = low == high
-        new_high = back[low[alone]]
-        new_low = new_high
-        wide_low, wide_high = low[~alone], high[~alone]
+        # With one byte in front of all its suffixes an interval has one extension, of as many.
+        single = run_end[low] >= high
+        new_low, new_high = back[low[single]], back[high[single]]
+        wide_low, wide_high = low[~single], high[~single]
         if len(wide_low):
             wide = _extended(wide_low, wide_high, bwt, back, following, previous)
             new_low, new_high = np.concatenate([new_low, wide[0]]), np.concatenate([new_high, wide[1]])
@@ -337,7 +364,7 @@ def earliest(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nda
     begin = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(s + bytes([SEPARATOR]) for s in strings), np.uint8)
     order = suffix_order(data)
-    group = np.flatnonzero(apart(data[order - 1], LENGTH))
+    group = np.flatnonzero(apart(data[order - 1], LENGTH, heads_of(data)[order]))
     owner = np.repeat(docs, sizes)
     # Suffixes that end before LENGTH bytes stand for no string.
     whole = np.repeat(begin + sizes - 1, sizes) - np.arange(len(data)) >= LENGTH
@@ -441,7 +468,7 @@ def _remove(buckets: int):
             kept.append(b"".join(text[a:b] for a, b in zip(ends, [*cut[:, 0].tolist(), len(text)], strict=True)))
             spans.append([{"start": a, "stop": b} for a, b in cut.tolist()])
         return pa.table({
-            "doc_id": docs.column("doc_id").take(pa.array(_order(docs), pa.int64())),
+            "doc_id": docs.column("doc_id").sort() if len(texts) else pa.array([], pa.int64()),
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
             "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))),
             "kept": pa.array(kept, pa.binary()),

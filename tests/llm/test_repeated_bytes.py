@@ -45,13 +45,14 @@ def test_no_documents(documents):
     assert rb.remove_repeated(documents([None]).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("with_heads", [False, True])
 @pytest.mark.parametrize("size", [40, 3000])
-def test_marks_are_the_short_common_prefixes(size):
+def test_marks_are_the_short_common_prefixes(size, with_heads):
     rng = np.random.default_rng(1)
     data = np.concatenate([rng.integers(97, 99, size), np.tile(rng.integers(97, 99, 70), 3), [rb.SEPARATOR]]).astype(np.uint8)
     order = rb.suffix_order(data)
     raw = data.tobytes()
-    marks = rb.apart(data[order - 1], rb.LENGTH)
+    marks = rb.apart(data[order - 1], rb.LENGTH, rb.heads_of(data)[order] if with_heads else None)
     for k in range(1, len(data)):
         a, b = raw[order[k - 1]:][:rb.LENGTH], raw[order[k]:][:rb.LENGTH]
         assert bool(marks[k]) == (a != b)
