@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -14,6 +14,7 @@ from perkwell.operators.ordering import BLOCK, block_offsets, place_in_order, ro
 from perkwell.schemas import (
     DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS, USER,
 )
+from perkwell.sources.checkpoints import cut
 
 
 def row_key(table: str) -> Column:
@@ -84,24 +85,63 @@ def fk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
 
 
 def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Repeated key values and NULLs in required columns, as (table_name, key_name, key_value, row_count)."""
-    parts, missing = [], []
-    for name, rows in tables.items():
-        for key in [PRIMARY_KEYS[name], *[(c,) for c in UNIQUE_COLUMNS.get(name, ())]]:
-            parts.append(
-                rows.dropna(subset=list(key)).groupBy(*key).agg(F.count("*").alias("row_count")).where("row_count > 1")
-                .select(
-                    F.lit(name).alias("table_name"), F.lit(",".join(key)).alias("key_name"),
-                    F.concat_ws("|", *[F.col(c).cast("string") for c in key]).alias("key_value"), "row_count",
-                )
-            )
-        required = [f.name for f in SCHEMAS[name] if not f.nullable and f.name in rows.columns]
-        absent = {c: F.col(c).isNull() for c in required}
-        missing.append(_flagged(rows, absent, "key_name").select(F.lit(name).alias("table_name"), "key_name"))
-    counts = union_all(missing).groupBy("table_name", "key_name").agg(F.count("*").alias("row_count"))
-    return union_all([
-        *parts, counts.select("table_name", "key_name", F.lit("NULL").alias("key_value"), "row_count")
-    ])
+    """Repeated key values and NULLs in required columns, as (table_name, key_name, key_value, row_count).
+
+    Every table is read once: a row gives one narrow entry (key, hash of its value) per key and one per required
+    column that is NULL, and all entries of all tables are counted together. A hash that occurs once cannot be a
+    repeated value. Only tables with other hashes are read again, and only rows with those are counted by value.
+    """
+    names = [(table, key) for table in tables for key in _unique_keys(table)]
+    numbers = {pair: k for k, pair in enumerate(names)}
+    needed = [(t, f.name) for t, rows in tables.items() for f in SCHEMAS[t] if not f.nullable and f.name in rows.columns]
+    absent = {pair: len(names) + k for k, pair in enumerate(needed)}
+
+    def entries(table: str, rows: DataFrame) -> DataFrame:
+        keys = [
+            F.when(_all_there(key), F.struct(F.lit(numbers[table, key]).alias("key_no"), F.xxhash64(*key).alias("hash")))
+            for key in _unique_keys(table)
+        ]
+        nulls = [
+            F.when(F.col(c).isNull(), F.struct(F.lit(k).alias("key_no"), F.lit(None).cast("long").alias("hash")))
+            for (t, c), k in absent.items() if t == table
+        ]
+        return rows.select(F.explode(F.array_compact(F.array(*keys, *nulls))).alias("_e")).select("_e.*")
+
+    counted = union_all([entries(t, rows) for t, rows in tables.items()]).groupBy("key_no", "hash").agg(F.count("*").alias("row_count"))
+    found = cut(counted.where("hash IS NULL OR row_count > 1"))
+    suspects = found.where("hash IS NOT NULL").select("key_no", "hash")
+    # At most one row per key of a table.
+    doubtful = {names[r["key_no"]][0] for r in suspects.select("key_no").distinct().collect()}
+
+    def values(table: str, rows: DataFrame) -> DataFrame:
+        keys = [
+            F.when(_all_there(key), F.struct(
+                F.lit(numbers[table, key]).alias("key_no"), F.xxhash64(*key).alias("hash"),
+                F.concat_ws("|", *[F.col(c).cast("string") for c in key]).alias("key_value"),
+            )) for key in _unique_keys(table)
+        ]
+        return rows.select(F.explode(F.array_compact(F.array(*keys))).alias("_e")).select("_e.*")
+
+    empty = found.select("key_no", "hash", F.lit("").alias("key_value")).limit(0)
+    rows = union_all([empty, *[values(t, tables[t]) for t in tables if t in doubtful]])
+    repeated = (
+        rows.join(suspects, ["key_no", "hash"], "left_semi").groupBy("key_no", "key_value").agg(F.count("*").alias("row_count"))
+        .where("row_count > 1")
+    )
+    missing = found.where("hash IS NULL").select("key_no", F.lit("NULL").alias("key_value"), "row_count")
+    table_of = F.array(*[F.lit(t) for t, _ in names + needed])
+    key_of = F.array(*[F.lit(",".join(key)) for _, key in names], *[F.lit(c) for _, c in needed])
+    return repeated.unionByName(missing).select(
+        F.get(table_of, F.col("key_no")).alias("table_name"), F.get(key_of, F.col("key_no")).alias("key_name"), "key_value", "row_count"
+    )
+
+
+def _unique_keys(table: str) -> list[tuple[str, ...]]:
+    return [PRIMARY_KEYS[table], *[(c,) for c in UNIQUE_COLUMNS.get(table, ())]]
+
+
+def _all_there(key: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(c).isNotNull() for c in key])
 
 
 def cascade_delete(

@@ -10,7 +10,8 @@ from perkwell.functions.columns import (
     MONEY, TOTAL, cents, half_up_ratio, joined_text, live_at, moment, plus_days, plus_months, strict_greatest,
 )
 from perkwell.operators.audit import activity_rows
-from perkwell.operators.vouchers import voucher_value
+from perkwell.operators.audit_trail import CHECK_VIOLATED, NO_PARENT, Rung, event, ladder_events, trail
+from perkwell.operators.vouchers import value_events, voucher_value, with_value_events
 from perkwell.schemas import RULES
 
 # Set-meal pricing in percent, and the terms of an automatic promotion.
@@ -190,7 +191,7 @@ def _order_totals(value: Column) -> list[Column]:
 def _voucher_part(rows: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
     """Add what the named voucher is worth on ``total_amount``; 0 without a voucher."""
     priced = voucher_value(
-        rows.withColumn("order_amount", F.col("total_amount")), promotions, customers, as_of
+        rows.drop("_known", "is_member").withColumn("order_amount", F.col("total_amount")), promotions, customers, as_of
     ).drop("order_amount")
     return priced.withColumn("voucher_value", F.when(F.col("promotion_id").isNull(), F.lit(0).cast(MONEY))
                              .otherwise(F.col("voucher_value")))
@@ -342,4 +343,49 @@ def create_setmeal_orders(
     return {
         "orders": orders, "order_items": lines, "promotions": new_promotions, "rejects": rejects,
         "activity": activity_rows(made.unionByName(failed), "ORDER", as_of, customer="customer_id"),
+        "trail": _setmeal_trail(judged, new_promotions, promotions, customers, live, as_of),
     }
+
+
+def _setmeal_trail(
+    judged: DataFrame, new_promotions: DataFrame, promotions: DataFrame, customers: DataFrame, live: DataFrame, as_of: datetime
+) -> DataFrame:
+    """Every step of every request, as it is written to the audit."""
+    # The first request that asks for a meal without a live promotion makes one.
+    makers = (
+        judged.where(F.col("_known") & (F.col("status") != "NOT_A_MEMBER"))
+        .join(new_promotions.select(F.col("set_meal_id").alias("item_id")), "item_id", "left_semi").groupBy("item_id").agg(F.min("request_id").alias("_maker"))
+    )
+    offered = live.distinct().withColumn("_offered", F.lit(True))
+    rows = (
+        judged.where(F.col("_known")).join(makers, "item_id", "left").join(offered, "item_id", "left")
+        .withColumn("_refused", F.when(
+            (F.col("status") == "SET_MEAL_NOT_AVAILABLE") & F.col("_on_menu").isNull() & F.col("_offered").isNull(), "NOT_ON_MENU"
+        ).otherwise(F.col("status")))
+    )
+    priced = with_value_events(
+        rows.drop("_known", "is_member").withColumn("order_amount", F.col("total_amount")), promotions, customers, as_of
+    ).withColumns({
+        "_discount": F.when(F.col("promotion_id").isNull(), F.lit(0).cast(MONEY)).otherwise(F.least("voucher_value", "total_amount")),
+    }).withColumn("_final", F.greatest(F.col("total_amount") - F.col("_discount"), F.lit(0).cast(MONEY)))
+    # What the caller is told.
+    told = {
+        "NOT_A_MEMBER": "ORA-20010: Customer is not a member", "NOT_ON_MENU": NO_PARENT,
+        "SET_MEAL_NOT_AVAILABLE": "ORA-20020: Set meal not available", "PAYMENT_METHOD_REFUSED": CHECK_VIOLATED,
+    }
+    texts = F.create_map(*[F.lit(x) for pair in told.items() for x in pair])
+    with_voucher = F.col("promotion_id").isNotNull()
+    rungs = [
+        Rung(["NOT_A_MEMBER"], [event("ORDER", "Customer {customer_id} validated for set meal order")]),
+        Rung(["NOT_ON_MENU"], [event(
+            "VOUCHER_ASSIGNMENT", "Auto-created promotion for set meal {item_id}", F.col("request_id") == F.col("_maker"))]),
+        Rung(["SET_MEAL_NOT_AVAILABLE"], [event("ORDER", "Set meal {item_id} validated for customer {customer_id}"), *[
+            F.when(with_voucher, F.get("_value_events", F.lit(k))) for k in range(len(value_events()))]]),
+        Rung(["PAYMENT_METHOD_REFUSED"]),
+    ]
+    events = ladder_events(
+        rungs, F.col("_refused"), [event("ORDER", "Created SET_MEAL order #{request_id} with item {item_id} base price={total_amount}"
+                                         " promo discount=0 final price={_final}")],
+        event("ORDER", "Failed to create set meal order: {_error}"),
+    )
+    return trail(priced.withColumn("_error", texts[F.col("_refused")]), events, as_of)

@@ -10,6 +10,7 @@ from perkwell.functions.columns import (
     MONEY, ceil_days, half_up_ratio, joined_text, live_at, moment, plus_days, plus_months, strict_greatest,
 )
 from perkwell.operators.audit import activity_rows
+from perkwell.operators.audit_trail import Rung, event, ladder_events, trail
 from perkwell.operators.ordered_spend import spend_in_order
 
 # Sales outlook window and the added safety margin of 20 percent (12 tenths).
@@ -209,7 +210,7 @@ def redeem_seasonal(
         .select(
             "request_id", "customer_id", "item_id", "order_id", failure.alias("_failure"),
             promo["promotion_id"].alias("promotion_id"), promo["points_required"].alias("points_used"),
-            F.col("_price"), F.col("_balance"),
+            F.col("_price"), F.col("_balance"), F.col("_known"),
         )
     )
     if deduct:
@@ -255,10 +256,46 @@ def redeem_seasonal(
     )
     return {
         "outcomes": outcomes, "redemptions": redemptions, "point_transactions": ledger, "order_items": lines,
-        "activity": audit,
+        "activity": audit, "trail": _redemption_trail(checked, as_of),
     }
 
 
+def _redemption_trail(checked: DataFrame, as_of: datetime) -> DataFrame:
+    """Every step of every request, as it is written to the audit."""
+    def step(template: str) -> list[Column]:
+        return [event("SEASONAL_REDEMPTION", template)]
+
+    def failed(template: str) -> list[Column]:
+        return step("Failed redemption attempt - " + template)
+
+    rungs = [
+        Rung(["INVALID_CUSTOMER"], step("Customer {customer_id} validated for seasonal item redemption")),
+        Rung(["INVALID_ITEM"], step("Seasonal menu item {item_id} validated for customer {customer_id}"),
+             failed("Invalid seasonal menu item ID: {item_id}")),
+        Rung(["INVALID_ORDER"], step("Order {order_id} validated for seasonal item redemption"),
+             failed("Invalid order ID for customer: {order_id}")),
+        Rung(["ITEM_NOT_IN_ORDER"], step("Setmeal {item_id} confirmed in order {order_id}"),
+             failed("Order does not contain specified setmeal: {item_id}")),
+        Rung(["NO_PROMOTION"], step("Valid seasonal promotion found for setmeal {item_id}"),
+             failed("No valid seasonal promotion found for setmeal: {item_id}")),
+        Rung(["INSUFFICIENT_POINTS"], step("Customer {customer_id} has sufficient points for redemption (Points balance: {_balance})"),
+             failed("Insufficient points (Balance: {_balance}, Required: {points_used})")),
+    ]
+    # What the caller is told.
+    told = {
+        "INVALID_ITEM": "Invalid seasonal menu item ID", "INVALID_ORDER": "Invalid order ID for customer",
+        "ITEM_NOT_IN_ORDER": "Order does not contain the specified setmeal",
+        "NO_PROMOTION": "No valid seasonal promotion found for this setmeal", "INSUFFICIENT_POINTS": "Insufficient points balance",
+    }
+    texts = F.create_map(*[F.lit(x) for status, line in told.items() for x in (status, f"ORA{REDEEM_ERRORS[status]}: {line}")])
+    rows = checked.where(F.col("_known")).withColumn("_error", texts[F.col("_failure")])
+    events = ladder_events(
+        rungs, F.coalesce("_failure", F.lit("")), step("Successfully redeemed seasonal item {item_id} using {points_used} points"),
+        event("SEASONAL_REDEMPTION", "Error redeeming seasonal item: {_error}"),
+    )
+    return trail(rows, events, as_of)
+
+
 def expire_seasonal_items(items: DataFrame, promotions: DataFrame, as_of: datetime) -> dict[str, DataFrame]:
     """Switch off seasonal items past their date and remove every promotion on such items.
 

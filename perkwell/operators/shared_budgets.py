@@ -68,6 +68,14 @@ def serve_in_order(requests: DataFrame, order: Sequence[str], budgets: Sequence[
             return _union(decided)
 
 
+def found_at_turn(decided: DataFrame, order: Sequence[str], budget: Budget, served: Column, name: str) -> DataFrame:
+    """Add what was left of a budget when a request's turn came, ``served`` telling which requests drew on it."""
+    placed = _placed(decided, 0, budget, order).withColumns({
+        "_state": F.when(served, SERVED).otherwise(SETTLED), _left(0): F.col(budget.limit).cast("long"),
+    })
+    return _with_bounds(placed, 0, budget).select(*decided.columns, F.col(_left(0)).alias(name))
+
+
 def _union(parts: Sequence[DataFrame]) -> DataFrame:
     out = parts[0]
     for part in parts[1:]:

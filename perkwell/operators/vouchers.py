@@ -9,14 +9,20 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from perkwell.functions.columns import MONEY, cents, joined_text, live_at, moment, strict_least
 from perkwell.functions.joins import spread_join
 from perkwell.operators.audit import activity_rows
+from perkwell.operators.audit_trail import CHECK_VIOLATED, NO_DATA, NO_PARENT, Rung, event, ladder_events, trail
 from perkwell.operators.integrity import assign_keys
 from perkwell.operators.ordering import PLACE, place_in_order
-from perkwell.operators.shared_budgets import Budget, serve_in_order
+from perkwell.operators.shared_budgets import Budget, found_at_turn, serve_in_order
 from perkwell.sources.checkpoints import cut
 
 VOUCHER_TYPES = ("AUTO", "BIRTHDAY", "ALL")
 # Code letters, one per hex digit of a digest.
 CODE_LETTERS = "ABCDEFGHJKLMNPQR"
+# Why a redemption may be refused.
+REFUSALS = (
+    "VOUCHER_NOT_FOUND", "ORDER_NOT_FOUND", "CUSTOMER_NOT_FOUND", "ORDER_NOT_OWNED", "MIN_SPEND_NOT_MET", "INSUFFICIENT_POINTS",
+    "INVALID_POINTS", "DISCOUNT_ABOVE_TOTAL", "NOT_LIVE", "TIER_MISMATCH", "NOT_HELD", "ALREADY_USED",
+)
 # Offers of a chunk, as a power of two: the bits of a long.
 CHUNK_BITS = 6
 # Not the text of any tier id.
@@ -174,25 +180,60 @@ def discount_on(amount: Column, value: Column) -> Column:
     return F.when(value <= PERCENT_LIMIT, percent.cast(MONEY)).otherwise(strict_least(value, amount).cast(MONEY))
 
 
-def voucher_value(requests: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
-    """Add ``voucher_value`` to requests of (promotion_id, order_amount, customer_id)."""
+def _valued(requests: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
+    """Requests of (promotion_id, order_amount, customer_id) with ``voucher_value`` and what the trail needs."""
     live = promotions.where((F.col("promotion_type") == "VOUCHER") & live_at(as_of)).select(
         "promotion_id", F.col("discount_value").alias("_value"), F.col("min_spend").alias("_min_spend"),
         F.col("applicable_tier_id").alias("_tier"), F.lit(True).alias("_live"),
     )
-    tier_of = customers.select("customer_id", F.col("tier_id").alias("_customer_tier"))
+    tier_of = customers.select("customer_id", F.col("tier_id").alias("_customer_tier"), F.lit(True).alias("_known"))
     amount = F.col("order_amount")
-    zero = F.lit(0).cast(MONEY)
-    value = (
-        F.when(F.col("_live").isNull(), zero)
-        .when(F.col("_min_spend").isNotNull() & (amount < F.col("_min_spend")), zero)
-        .when(F.col("_tier").isNotNull() & F.col("_customer_tier").isNull(), zero)
-        .when(F.col("_tier").isNotNull() & (F.col("_customer_tier") != F.col("_tier")), zero)
-        .otherwise(discount_on(amount, F.col("_value")))
+    status = (
+        F.when(F.col("_live").isNull(), "NOT_FOUND")
+        .when(F.col("_min_spend").isNotNull() & (amount < F.col("_min_spend")), "MIN_SPEND")
+        .when(F.col("_tier").isNotNull() & F.col("_customer_tier").isNull(), "NO_TIER")
+        .when(F.col("_tier").isNotNull() & (F.col("_customer_tier") != F.col("_tier")), "TIER")
+        .otherwise("VALUED")
     )
+    value = F.when(F.col("_status") == "VALUED", discount_on(amount, F.col("_value"))).otherwise(F.lit(0).cast(MONEY))
     return (
-        requests.join(live, "promotion_id", "left").join(tier_of, "customer_id", "left")
-        .select(*requests.columns, value.alias("voucher_value"))
+        requests.join(live, "promotion_id", "left").join(tier_of, "customer_id", "left").withColumn("_status", status)
+        .select(*requests.columns, value.alias("voucher_value"), "_status", "_value", "_known")
+    )
+
+
+def voucher_value(requests: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
+    """Add ``voucher_value`` to requests of (promotion_id, order_amount, customer_id)."""
+    return _valued(requests, promotions, customers, as_of).select(*requests.columns, "voucher_value")
+
+
+def value_events() -> list[Column]:
+    """Audit events of working out a voucher's value; needs the columns of ``_valued``."""
+    def step(template: str, when: Column) -> Column:
+        return event("VOUCHER_REDEMPTION", "Voucher ID {promotion_id} " + template + " for customer {customer_id}", when)
+
+    status, percent = F.col("_status"), F.col("_value") <= PERCENT_LIMIT
+    return [
+        event("VOUCHER_REDEMPTION", "Voucher ID {promotion_id} applied for order amount {order_amount}", status != "NOT_FOUND"),
+        step("not found or expired", status == "NOT_FOUND"),
+        step("not applied due to minimum spend not met", status == "MIN_SPEND"),
+        step("not applied due to missing tier", status == "NO_TIER"),
+        step("not applied due to tier mismatch", status == "TIER"),
+        step("applied with a discount of {_value}%", (status == "VALUED") & percent),
+        step("applied with a fixed discount of {_value}", (status == "VALUED") & ~percent),
+    ]
+
+
+def voucher_value_trail(requests: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
+    """The audit rows of working out values for requests of (request_id, promotion_id, order_amount, customer_id)."""
+    valued = _valued(requests, promotions, customers, as_of).where(F.col("_known") | F.col("customer_id").isNull())
+    return trail(valued, F.array(*value_events()), as_of)
+
+
+def with_value_events(requests: DataFrame, promotions: DataFrame, customers: DataFrame, as_of: datetime) -> DataFrame:
+    """``requests`` with ``voucher_value`` and their ``_value_events``."""
+    valued = _valued(requests, promotions, customers, as_of)
+    return valued.select(*requests.columns, "voucher_value", F.array(*value_events()).alias("_value_events")
     )
 
 
@@ -304,7 +345,7 @@ def _checked_redemptions(
         )
     return rows.select(
         *requests.columns, failure.alias("_failure"), late.alias("_late"), F.coalesce("_points", F.lit(0)).alias("points_used"),
-        F.col("_points").isNotNull().alias("_with_points"),
+        F.col("_points").isNotNull().alias("_with_points"), F.col("_known"), F.col("_min_spend"),
         F.coalesce("_balance", F.lit(0)).alias("_balance"), F.col("_value"), F.col("_total"), F.col("_discount"),
         cents(F.coalesce("_value", F.lit(0).cast(MONEY))).cast("long").alias("_value_cents"),
         cents(F.coalesce(F.col("_total") - F.col("_discount"), F.lit(0).cast(MONEY))).cast("long")
@@ -329,6 +370,23 @@ def _decide(passed: DataFrame, once: bool) -> DataFrame:
     return served.select(*passed.columns, F.col("reason").alias("_reason"))
 
 
+def _redeemed(
+    requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame, holdings: DataFrame | None,
+    as_of: datetime, value_mode: str, strict: bool, owned_only: bool,
+) -> DataFrame:
+    """All requests with ``status``, ``accepted`` and what the rows to write need, written once."""
+    if strict and holdings is None:
+        raise ValueError("strict redemption needs the holdings")
+    checked = cut(_checked_redemptions(
+        requests, promotions, customers, orders, holdings, as_of, value_mode, strict, owned_only
+    ))
+    decided = _decide(checked.where(F.col("_failure").isNull()), strict)
+    failed = checked.where(F.col("_failure").isNotNull()).withColumn("_reason", F.col("_failure"))
+    return cut(decided.unionByName(failed).withColumns({
+        "accepted": F.col("_reason").isNull(), "status": F.coalesce("_reason", F.lit("REDEEMED")),
+    }))
+
+
 def redeem_vouchers(
     requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame, as_of: datetime,
     holdings: DataFrame | None = None, value_mode: str = "money", strict: bool = False, owned_only: bool = False,
@@ -342,16 +400,7 @@ def redeem_vouchers(
     tier, holding and earlier use, in the batch too. ``outcomes`` has one row per request; the other results
     are the rows to write.
     """
-    if strict and holdings is None:
-        raise ValueError("strict redemption needs the holdings")
-    checked = cut(_checked_redemptions(
-        requests, promotions, customers, orders, holdings, as_of, value_mode, strict, owned_only
-    ))
-    decided = _decide(checked.where(F.col("_failure").isNull()), strict)
-    failed = checked.where(F.col("_failure").isNotNull()).withColumn("_reason", F.col("_failure"))
-    results = cut(decided.unionByName(failed).withColumns({
-        "accepted": F.col("_reason").isNull(), "status": F.coalesce("_reason", F.lit("REDEEMED")),
-    }))
+    results = _redeemed(requests, promotions, customers, orders, holdings, as_of, value_mode, strict, owned_only)
     done = results.where("accepted")
     now = moment(as_of)
     outcomes = results.select(
@@ -384,3 +433,36 @@ def redeem_vouchers(
         "outcomes": outcomes, "redemptions": redemptions, "point_transactions": ledger, "orders": totals,
         "activity": audit,
     }
+
+
+def redemption_trail(
+    requests: DataFrame, promotions: DataFrame, customers: DataFrame, orders: DataFrame, as_of: datetime,
+    holdings: DataFrame | None = None, value_mode: str = "money", strict: bool = False, owned_only: bool = False,
+) -> DataFrame:
+    """Every audit row of ``redeem_vouchers``, step by step, with the balance that was found when the request had its turn."""
+    results = _redeemed(requests, promotions, customers, orders, holdings, as_of, value_mode, strict, owned_only)
+    spent = Budget("customer_id", "points_used", "_balance", "INSUFFICIENT_POINTS")
+    found = found_at_turn(results.where(F.col("_known")), ["request_id"], spent, F.col("accepted"), "_found")
+    # What the caller is told.
+    error = (
+        F.when(F.col("status") == "MIN_SPEND_NOT_MET", "ORA-20001: Order does not meet minimum spend requirement")
+        .when(F.col("status") == "INSUFFICIENT_POINTS", "ORA-20002: Insufficient points for redemption")
+        .when((F.col("status") == "VOUCHER_NOT_FOUND") | ((F.col("status") == "ORDER_NOT_FOUND") & F.col("_min_spend").isNotNull()), NO_DATA)
+        .when(F.col("status") == "ORDER_NOT_FOUND", NO_PARENT)
+        .when(F.col("status").isin("DISCOUNT_ABOVE_TOTAL", "INVALID_POINTS"), CHECK_VIOLATED)
+        .otherwise(F.col("status"))
+    )
+
+    def step(template: str) -> list[Column]:
+        return [event("VOUCHER_REDEMPTION", template)]
+
+    rungs = [
+        Rung(["MIN_SPEND_NOT_MET"], failed=step("Order ID {order_id} does not meet the minimum spend requirement")),
+        Rung(["INSUFFICIENT_POINTS"], failed=step("Insufficient points for redemption. Needed {points_used}, found {_found}")),
+        Rung([s for s in REFUSALS if s not in ("MIN_SPEND_NOT_MET", "INSUFFICIENT_POINTS")]),
+    ]
+    events = ladder_events(
+        rungs, F.col("status"), step("Customer ID {customer_id} redeemed voucher ID {promotion_id}"),
+        event("VOUCHER_REDEMPTION", "Error during redemption for customer ID {customer_id}: {_error}"),
+    )
+    return trail(found.withColumn("_error", error), events, as_of)

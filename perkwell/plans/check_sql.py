@@ -224,50 +224,244 @@ _SHARED_WAVES = """
     ended AS (SELECT * FROM waves WHERE wave = (SELECT max(wave) FROM waves))"""
 
 
+# The audit trail, typed out step by step.
+_AUDIT_TRAIL = f"""
+    {_SHARED_WAVES},
+    seasonal AS (
+        SELECT o.request_id, o.customer_id, o.item_id AS i, o.order_id AS d, o.status AS s, o.points AS need, c.points_balance AS had,
+            array_position(['INVALID_ITEM', 'INVALID_ORDER', 'ITEM_NOT_IN_ORDER', 'NO_PROMOTION', 'INSUFFICIENT_POINTS', 'REDEEMED'],
+                o.status) AS n
+        FROM ({_SEASONAL_OUTCOME}) o JOIN ly_customers c ON c.customer_id = o.customer_id),
+    seasonal_steps AS (
+        SELECT request_id, customer_id, 1 AS step, 'Customer ' || customer_id || ' validated for seasonal item redemption' AS details FROM seasonal
+        UNION ALL SELECT request_id, customer_id, 2, CASE WHEN n > 1 THEN 'Seasonal menu item ' || i || ' validated for customer ' || customer_id
+            ELSE 'Failed redemption attempt - Invalid seasonal menu item ID: ' || i END FROM seasonal
+        UNION ALL SELECT request_id, customer_id, 3, CASE WHEN n > 2 THEN 'Order ' || d || ' validated for seasonal item redemption'
+            WHEN n = 2 THEN 'Failed redemption attempt - Invalid order ID for customer: ' || d
+            ELSE 'Error redeeming seasonal item: ORA-20054: Invalid seasonal menu item ID' END FROM seasonal
+        UNION ALL SELECT request_id, customer_id, 4, CASE WHEN n > 3 THEN 'Setmeal ' || i || ' confirmed in order ' || d
+            WHEN n = 3 THEN 'Failed redemption attempt - Order does not contain specified setmeal: ' || i
+            ELSE 'Error redeeming seasonal item: ORA-20055: Invalid order ID for customer' END FROM seasonal WHERE n > 1
+        UNION ALL SELECT request_id, customer_id, 5, CASE WHEN n > 4 THEN 'Valid seasonal promotion found for setmeal ' || i
+            WHEN n = 4 THEN 'Failed redemption attempt - No valid seasonal promotion found for setmeal: ' || i
+            ELSE 'Error redeeming seasonal item: ORA-20051: Order does not contain the specified setmeal' END FROM seasonal WHERE n > 2
+        UNION ALL SELECT request_id, customer_id, 6, CASE WHEN n > 5 THEN 'Customer ' || customer_id
+                || ' has sufficient points for redemption (Points balance: ' || had || ')'
+            WHEN n = 5 THEN 'Failed redemption attempt - Insufficient points (Balance: ' || had || ', Required: ' || need || ')'
+            ELSE 'Error redeeming seasonal item: ORA-20050: No valid seasonal promotion found for this setmeal' END FROM seasonal WHERE n > 3
+        UNION ALL SELECT request_id, customer_id, 7, CASE WHEN n > 5 THEN 'Successfully redeemed seasonal item ' || i || ' using '
+                || coalesce(CAST(need AS VARCHAR), '') || ' points'
+            ELSE 'Error redeeming seasonal item: ORA-20052: Insufficient points balance' END FROM seasonal WHERE n > 4),
+    offered AS (
+        SELECT r.request_id, c.customer_id, r.promotion_id AS v, r.order_amount AS amount, c.tier_id, p.applicable_tier_id AS tier,
+            p.min_spend, p.discount_value AS off, p.promotion_id IS NOT NULL AS live, 'value' AS job, 1 AS base
+        FROM ly_voucher_checks r JOIN ly_customers c ON c.customer_id = r.customer_id
+        LEFT JOIN (SELECT * FROM ly_promotions p WHERE p.promotion_type = 'VOUCHER' AND {_LIVE}) p ON p.promotion_id = r.promotion_id
+        UNION ALL
+        SELECT r.request_id, c.customer_id, r.promotion_id, m.base_price, c.tier_id, p.applicable_tier_id, p.min_spend, p.discount_value,
+            p.promotion_id IS NOT NULL, 'set meal', 100
+        FROM ly_setmeal_requests r JOIN ly_customers c ON c.customer_id = r.customer_id AND c.is_member = 'Y'
+        JOIN ly_menu_items m ON m.item_id = r.item_id AND m.item_type = 'SET_MEAL' AND m.is_active = 'Y'
+        LEFT JOIN (SELECT * FROM ly_promotions p WHERE p.promotion_type = 'VOUCHER' AND {_LIVE}) p ON p.promotion_id = r.promotion_id
+        WHERE r.promotion_id IS NOT NULL),
+    value_steps AS (
+        SELECT job, request_id, customer_id, base AS place, 'Voucher ID ' || v || CASE
+            WHEN live THEN ' applied for order amount ' || {_number("amount")}
+            ELSE ' not found or expired for customer ' || customer_id END AS details FROM offered
+        UNION ALL SELECT job, request_id, customer_id, base + 1, 'Voucher ID ' || v || CASE
+            WHEN amount < min_spend THEN ' not applied due to minimum spend not met'
+            WHEN tier IS NOT NULL AND tier_id IS NULL THEN ' not applied due to missing tier'
+            WHEN tier <> tier_id THEN ' not applied due to tier mismatch'
+            WHEN off <= 100 THEN ' applied with a discount of ' || {_number("off")} || '%'
+            ELSE ' applied with a fixed discount of ' || {_number("off")} END || ' for customer ' || customer_id FROM offered WHERE live),
+    turns AS (
+        SELECT f.*, e.status AS decided, c.points_balance AS had, p.min_spend,
+            coalesce(sum(CASE WHEN e.status = 'REDEEMED' THEN f.points ELSE 0 END) OVER (PARTITION BY f.customer_id ORDER BY f.request_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS gone
+        FROM asked f JOIN ly_customers c ON c.customer_id = f.customer_id LEFT JOIN ended e ON e.request_id = f.request_id
+        LEFT JOIN ly_promotions p ON p.promotion_id = f.promotion_id),
+    redemption_steps AS (
+        SELECT request_id, customer_id, 1 AS place, CASE coalesce(failure, decided)
+            WHEN 'MIN_SPEND_NOT_MET' THEN 'Order ID ' || order_id || ' does not meet the minimum spend requirement'
+            WHEN 'INSUFFICIENT_POINTS' THEN 'Insufficient points for redemption. Needed ' || points || ', found ' || (had - gone) END AS details
+        FROM turns WHERE coalesce(failure, decided) IN ('MIN_SPEND_NOT_MET', 'INSUFFICIENT_POINTS')
+        UNION ALL SELECT request_id, customer_id, 2, CASE coalesce(failure, decided)
+            WHEN 'REDEEMED' THEN 'Customer ID ' || customer_id || ' redeemed voucher ID ' || promotion_id
+            ELSE 'Error during redemption for customer ID ' || customer_id || ': ' || CASE coalesce(failure, decided)
+                WHEN 'MIN_SPEND_NOT_MET' THEN 'ORA-20001: Order does not meet minimum spend requirement'
+                WHEN 'INSUFFICIENT_POINTS' THEN 'ORA-20002: Insufficient points for redemption'
+                WHEN 'VOUCHER_NOT_FOUND' THEN 'ORA-01403: no data found'
+                WHEN 'ORDER_NOT_FOUND' THEN CASE WHEN min_spend IS NOT NULL THEN 'ORA-01403: no data found'
+                    ELSE 'ORA-02291: integrity constraint violated - parent key not found' END
+                ELSE 'ORA-02290: check constraint violated' END END
+        FROM turns),
+    meals AS (
+        SELECT r.request_id, c.customer_id, r.item_id AS i, r.promotion_id, c.is_member = 'Y' AS member,
+            m.item_id IS NOT NULL AS listed, m.item_type = 'SET_MEAL' AND m.is_active = 'Y' AS on_sale, m.base_price,
+            coalesce(r.payment_method IN ('CASH', 'CARD', 'ONLINE'), true) AS payable,
+            EXISTS (SELECT 1 FROM ly_promotions p WHERE p.promotion_type = 'SET_MEAL' AND {_LIVE} AND p.set_meal_id = r.item_id) AS promoted
+        FROM ly_setmeal_requests r JOIN ly_customers c ON c.customer_id = r.customer_id
+        LEFT JOIN ly_menu_items m ON m.item_id = r.item_id),
+    makers AS (SELECT i, min(request_id) AS maker FROM meals WHERE member AND listed AND NOT promoted GROUP BY i),
+    meal_steps AS (
+        SELECT request_id, customer_id, 1 AS place, 'ORDER' AS kind, 'Customer ' || customer_id || ' validated for set meal order' AS details
+        FROM meals WHERE member
+        UNION ALL SELECT m.request_id, m.customer_id, 2, 'VOUCHER_ASSIGNMENT', 'Auto-created promotion for set meal ' || m.i
+        FROM meals m JOIN makers k ON k.i = m.i AND k.maker = m.request_id
+        UNION ALL SELECT request_id, customer_id, 3, 'ORDER', 'Set meal ' || i || ' validated for customer ' || customer_id
+        FROM meals WHERE member AND on_sale
+        UNION ALL SELECT request_id, customer_id, place, 'VOUCHER_REDEMPTION', details FROM value_steps WHERE job = 'set meal'
+        UNION ALL SELECT m.request_id, m.customer_id, 200, 'ORDER', CASE
+            WHEN NOT member THEN 'Failed to create set meal order: ORA-20010: Customer is not a member'
+            WHEN NOT listed AND NOT promoted THEN 'Failed to create set meal order: ORA-02291: integrity constraint violated - parent key not found'
+            WHEN NOT coalesce(on_sale, false) THEN 'Failed to create set meal order: ORA-20020: Set meal not available'
+            WHEN NOT payable THEN 'Failed to create set meal order: ORA-02290: check constraint violated'
+            ELSE 'Created SET_MEAL order #' || m.request_id || ' with item ' || i || ' base price=' || {_number("m.base_price")}
+                || ' promo discount=0 final price=' || {_number("m.base_price - m.off")} END
+        FROM (SELECT m.*, CAST(CASE WHEN m.promotion_id IS NULL OR NOT coalesce(m.on_sale, false) THEN 0
+                ELSE {_voucher_value("CAST(m.base_price AS DECIMAL(10,2))")} END AS DECIMAL(10,2)) AS off
+            FROM meals m {_VOUCHER_JOIN.replace("r.promotion_id", "m.promotion_id").replace("r.customer_id", "m.customer_id")}) m)"""
+
+
 def _key_text(table: str, alias: str = "") -> str:
     prefix = f"{alias}." if alias else ""
     return "concat_ws('|', " + ", ".join(f"CAST({prefix}{c} AS VARCHAR)" for c in PRIMARY_KEYS[table]) + ")"
 
 
+# The constraints, typed out from the table definitions and not taken from the rules the operators use.
+_CHECKS = """
+membership_tiers | points_required | points_required >= 0
+membership_tiers | discount_percentage | discount_percentage >= 0 AND discount_percentage <= 100
+membership_tiers | tier_name_length | length(tier_name) <= 20
+customers | points_balance | points_balance >= 0
+customers | is_member | is_member = 'Y' OR is_member = 'N'
+customers | membership_status | membership_status = 'ACTIVE' OR membership_status = 'CANCELLED' OR membership_status = 'PENDING'
+customers | name_length | length(name) <= 100
+customers | email_length | length(email) <= 100
+customers | phone_length | length(phone) <= 15
+customers | membership_status_length | length(membership_status) <= 20
+menu_items | item_type | item_type = 'A_LA_CARTE' OR item_type = 'SET_MEAL' OR item_type = 'INGREDIENT' OR item_type = 'SEASONAL'
+menu_items | base_price | base_price >= 0
+menu_items | is_active | is_active = 'Y' OR is_active = 'N'
+menu_items | menu_dates | valid_to IS NULL OR valid_to >= valid_from
+menu_items | item_type_length | length(item_type) <= 20
+menu_items | name_length | length(name) <= 100
+menu_items | description_length | length(description) <= 200
+promotions | promotion_type | promotion_type = 'VOUCHER' OR promotion_type = 'SEASONAL' OR promotion_type = 'SET_MEAL'
+promotions | is_auto_assign | is_auto_assign = 'Y' OR is_auto_assign = 'N'
+promotions | subtype_attributes | (promotion_type = 'VOUCHER' AND discount_value IS NOT NULL) OR (promotion_type = 'SEASONAL' AND points_required IS NOT NULL) OR (promotion_type = 'SET_MEAL' AND set_meal_id IS NOT NULL)
+promotions | valid_dates | valid_to >= valid_from
+promotions | promotion_type_length | length(promotion_type) <= 20
+promotions | name_length | length(name) <= 100
+promotions | voucher_code_length | length(voucher_code) <= 50
+orders | total_amount | total_amount >= 0
+orders | discount_amount | discount_amount >= 0
+orders | final_amount | final_amount >= 0
+orders | payment_method | payment_method = 'CASH' OR payment_method = 'CARD' OR payment_method = 'ONLINE'
+orders | status | status = 'COMPLETED' OR status = 'CANCELLED' OR status = 'REFUNDED'
+orders | order_amounts | final_amount = total_amount - discount_amount
+orders | payment_method_length | length(payment_method) <= 50
+orders | status_length | length(status) <= 20
+point_transactions | transaction_type | transaction_type = 'PURCHASE' OR transaction_type = 'REDEMPTION' OR transaction_type = 'BONUS' OR transaction_type = 'ADJUSTMENT' OR transaction_type = 'EXPIRY'
+point_transactions | points_sign | (transaction_type IN ('REDEMPTION', 'EXPIRY') AND points_amount <= 0) OR (transaction_type NOT IN ('REDEMPTION', 'EXPIRY') AND points_amount >= 0)
+point_transactions | transaction_type_length | length(transaction_type) <= 20
+point_transactions | description_length | length(description) <= 200
+membership_history | change_reason | change_reason = 'SIGNUP' OR change_reason = 'RENEWAL' OR change_reason = 'UPGRADE' OR change_reason = 'DOWNGRADE' OR change_reason = 'ADMIN' OR change_reason = 'AUTO'
+membership_history | change_reason_length | length(change_reason) <= 100
+membership_history | changed_by_length | length(changed_by) <= 30
+customer_promotions | is_used | is_used = 'Y' OR is_used = 'N'
+customer_promotions | acquisition_method | acquisition_method = 'AUTO_TIER' OR acquisition_method = 'TIER_UPGRADE' OR acquisition_method = 'POINT_REDEEM' OR acquisition_method = 'MANUAL' OR acquisition_method = 'BIRTHDAY'
+customer_promotions | used_date | is_used = 'N' OR used_date IS NOT NULL
+customer_promotions | acquisition_method_length | length(acquisition_method) <= 20
+redemptions | points_used | points_used >= 0
+redemptions | redemption_status | redemption_status = 'COMPLETED' OR redemption_status = 'CANCELLED'
+redemptions | redemption_status_length | length(redemption_status) <= 20
+set_meal_components | quantity | quantity > 0
+set_meal_components | no_self_component | set_meal_id != component_id
+order_items | quantity | quantity > 0
+order_items | price | price >= 0
+order_items | discount_applied | discount_applied >= 0
+customer_activity | activity_type | activity_type IN ('LOGIN', 'ORDER', 'SEASONAL_REDEMPTION', 'SEASONAL_EXPIRATION', 'VOUCHER_REDEMPTION', 'VOUCHER_GENERATION', 'TIER_CHANGE', 'RENEWAL', 'EXPIRATION', 'VOUCHER_ASSIGNMENT', 'BIRTHDAY')
+customer_activity | activity_type_length | length(activity_type) <= 30
+customer_activity | ip_address_length | length(ip_address) <= 45
+customer_activity | details_length | length(details) <= 4000
+"""
+_FOREIGN_KEYS = """
+customers tier_id membership_tiers tier_id
+promotions set_meal_id menu_items item_id
+promotions applicable_tier_id membership_tiers tier_id
+orders customer_id customers customer_id
+point_transactions customer_id customers customer_id
+point_transactions order_id orders order_id
+point_transactions promotion_id promotions promotion_id
+membership_history customer_id customers customer_id
+membership_history old_tier_id membership_tiers tier_id
+membership_history new_tier_id membership_tiers tier_id
+customer_promotions customer_id customers customer_id
+customer_promotions promotion_id promotions promotion_id
+redemptions customer_id customers customer_id
+redemptions promotion_id promotions promotion_id
+redemptions order_id orders order_id
+redemptions item_id menu_items item_id
+set_meal_components set_meal_id menu_items item_id
+set_meal_components component_id menu_items item_id
+order_items order_id orders order_id
+order_items item_id menu_items item_id
+customer_activity customer_id customers customer_id
+"""
+# Each table's keys, unique columns and required columns.
+_KEYS = """
+membership_tiers | tier_id | tier_name | tier_id tier_name points_required discount_percentage
+customers | customer_id | email phone | customer_id name email phone tier_id
+menu_items | item_id | | item_id item_type name base_price
+promotions | promotion_id | voucher_code | promotion_id promotion_type name valid_from valid_to
+orders | order_id | | order_id customer_id total_amount final_amount
+point_transactions | transaction_id | | transaction_id customer_id points_amount transaction_type transaction_date
+membership_history | history_id | | history_id customer_id new_tier_id
+customer_promotions | customer_id promotion_id | | customer_id promotion_id
+redemptions | redemption_id | | redemption_id customer_id promotion_id points_used
+set_meal_components | set_meal_id component_id | | set_meal_id component_id quantity
+order_items | order_item_id | | order_item_id order_id item_id price
+customer_activity | activity_id | | activity_id
+"""
+
+
+def _typed(lines: str, sep: str | None) -> list[list[str]]:
+    return [[part.strip() for part in line.split(sep)] for line in lines.strip().splitlines()]
+
+
+def _row_key(table: str) -> str:
+    keys = next(row[1] for row in _typed(_KEYS, "|") if row[0] == table).split()
+    return "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in keys) + ")"
+
+
 def _check_sql() -> str:
     raw = {"customers": "raw_customers", "point_transactions": "raw_point_transactions"}
-    parts = []
-    for table in TABLES:
-        for rule, test in RULES[table].items():
-            parts.append(
-                f"SELECT '{table}' AS table_name, '{rule}' AS rule_name, {_key_text(table)} AS row_key "
-                f"FROM ly_{raw.get(table, table)} WHERE NOT coalesce({test}, true)"
-            )
-    return " UNION ALL ".join(parts)
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{rule}' AS rule_name, {_row_key(table)} AS row_key "
+        f"FROM ly_{raw.get(table, table)} WHERE NOT coalesce({test}, true)" for table, rule, test in _typed(_CHECKS, "|")
+    )
 
 
 def _fk_sql() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{r.child}' AS table_name, '{r.column}' AS column_name, {_key_text(r.child)} AS row_key, "
-        f"{r.column} AS missing_key FROM ly_{r.child} WHERE {r.column} IS NOT NULL AND {r.column} NOT IN "
-        f"(SELECT {r.parent_key} FROM ly_{r.parent})"
-        for r in REFERENCES
+        f"SELECT '{child}' AS table_name, '{column}' AS column_name, {_row_key(child)} AS row_key, {column} AS missing_key "
+        f"FROM ly_{child} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM ly_{parent})"
+        for child, column, parent, key in _typed(_FOREIGN_KEYS, None)
     )
 
 
 def _unique_sql() -> str:
     parts = []
-    for table in TABLES:
-        for key in [PRIMARY_KEYS[table], *[(c,) for c in UNIQUE_COLUMNS.get(table, ())]]:
-            cols = ", ".join(key)
+    for table, primary, unique, required in _typed(_KEYS, "|"):
+        for key in [primary.split(), *[[c] for c in unique.split()]]:
             text = "concat_ws('|', " + ", ".join(f"CAST({c} AS VARCHAR)" for c in key) + ")"
-            present = " AND ".join(f"{c} IS NOT NULL" for c in key)
             parts.append(
-                f"SELECT '{table}' AS table_name, '{','.join(key)}' AS key_name, {text} AS key_value, "
-                f"CAST(count(*) AS BIGINT) AS row_count FROM ly_{table} WHERE {present} GROUP BY {cols} "
-                "HAVING count(*) > 1"
+                f"SELECT '{table}' AS table_name, '{','.join(key)}' AS key_name, {text} AS key_value, CAST(count(*) AS BIGINT) AS row_count "
+                f"FROM ly_{table} WHERE {' AND '.join(f'{c} IS NOT NULL' for c in key)} GROUP BY {', '.join(key)} HAVING count(*) > 1"
             )
-        for field in SCHEMAS[table]:
-            if not field.nullable:
-                parts.append(
-                    f"SELECT '{table}', '{field.name}', 'NULL', CAST(count(*) AS BIGINT) FROM ly_{table} "
-                    f"WHERE {field.name} IS NULL HAVING count(*) > 0"
-                )
+        for column in required.split():
+            parts.append(f"SELECT '{table}', '{column}', 'NULL', CAST(count(*) AS BIGINT) FROM ly_{table} WHERE {column} IS NULL HAVING count(*) > 0")
     return " UNION ALL ".join(parts)
 
 
@@ -625,6 +819,15 @@ SQL: dict[str, str] = {
             THEN 'Successfully redeemed seasonal item ' || item_id || ' using ' || points || ' points'
             ELSE 'Failed redemption attempt - ' || status || ' for item ' || item_id END
         FROM ({_SEASONAL_OUTCOME}) WHERE status <> 'INVALID_CUSTOMER'""",
+    "audit_trail": f"""
+        WITH RECURSIVE {_AUDIT_TRAIL}, every AS (
+            SELECT 'seasonal' AS job, request_id, customer_id, step AS place, 'SEASONAL_REDEMPTION' AS kind, details FROM seasonal_steps
+            UNION ALL SELECT 'value', request_id, customer_id, place, 'VOUCHER_REDEMPTION', details FROM value_steps WHERE job = 'value'
+            UNION ALL SELECT 'redemption', request_id, customer_id, place, 'VOUCHER_REDEMPTION', details FROM redemption_steps
+            UNION ALL SELECT 'set meal', request_id, customer_id, place, kind, details FROM meal_steps)
+        SELECT job, request_id, customer_id, kind AS activity_type, $now AS activity_date, CAST(NULL AS VARCHAR) AS ip_address, details,
+            CAST(row_number() OVER (PARTITION BY job, request_id ORDER BY place) AS INTEGER) AS step
+        FROM every""",
     "realign_tiers": f"""
         SELECT * FROM (SELECT c.customer_id, c.tier_id AS old_tier_id, {_REACHED} AS new_tier_id, $now AS change_date,
             'ADMIN' AS change_reason FROM ly_customers c) WHERE new_tier_id <> old_tier_id""",

@@ -382,6 +382,23 @@ def audit_activity(t):
     return rows
 
 
+@query
+def audit_trail(t):
+    trails = {
+        "seasonal": seasonal.redeem_seasonal(
+            t.seasonal_redeem_requests, t.customers, t.menu_items, t.orders, t.order_items, t.promotions, AS_OF
+        )["trail"],
+        "value": vouchers.voucher_value_trail(t.voucher_checks, t.promotions, t.customers, AS_OF),
+        "redemption": vouchers.redemption_trail(t.shared_redeem_requests, t.promotions, t.customers, t.orders, AS_OF),
+        "set meal": meals.create_setmeal_orders(t.setmeal_requests, t.customers, t.menu_items, t.promotions, AS_OF)["trail"],
+    }
+    rows = None
+    for job, part in trails.items():
+        part = part.withColumn("job", F.lit(job))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows
+
+
 @query
 def realign_tiers(t):
     return membership.realign_tiers(t.customers, t.membership_tiers, AS_OF)["membership_history"]
