@@ -332,3 +332,57 @@ SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS labe
   (SELECT sha256(string_agg(c::VARCHAR, ',' ORDER BY part, e, place)) FROM book{CODES.rounds}) AS codebooks_sha256
 FROM coded JOIN kept USING (v)
 """
+
+_NORMAL = r"trim(regexp_replace(lower({0}), '[ \t\r\n\f\x0B]+', ' ', 'g'))"
+ORACLE_SQL["op10_quotations"] = rf"""
+WITH RECURSIVE plain AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+), mail AS (
+  SELECT c.conv_id, c.turn, c.role, CASE (c.conv_id + c.turn) % 3
+      WHEN 1 THEN coalesce('> ' || replace(b.text, chr(10), chr(10) || '> ') || chr(10), '')
+      WHEN 2 THEN coalesce('>> ' || replace(e.text, chr(10), chr(10) || '>> ') || chr(10), '')
+        || coalesce('> ' || replace(b.text, chr(10), chr(10) || '> ') || chr(10), '')
+      ELSE '' END || chr(10) || c.text AS text
+  FROM plain c LEFT JOIN plain b ON b.conv_id = c.conv_id AND b.turn = c.turn - 1
+  LEFT JOIN plain e ON e.conv_id = c.conv_id AND e.turn = c.turn - 2
+), split AS (
+  SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM mail
+), marked AS (SELECT *, regexp_extract(line, '^[ 	]*(?:>[ 	]?)+') AS mark FROM split
+), lines AS (
+  SELECT conv_id, turn, place, len(regexp_replace(mark, '[^>]', '', 'g')) AS level, line[len(mark) + 1:] AS line,
+    regexp_matches(line[len(mark) + 1:], '[^ 	
+]') AS filled FROM marked
+), begun AS (
+  SELECT *, filled AND NOT coalesce(lag(filled) OVER w AND lag(level) OVER w = level, false) AS begins
+  FROM lines WINDOW w AS (PARTITION BY conv_id, turn ORDER BY place)
+), numbered AS (
+  SELECT *, sum(CASE WHEN begins THEN 1 ELSE 0 END) OVER (PARTITION BY conv_id, turn ORDER BY place) AS run FROM begun
+), runs AS (
+  SELECT conv_id, turn, level, run, string_agg(line, ' ' ORDER BY place) AS whole FROM numbered WHERE filled GROUP BY ALL
+), own AS (
+  SELECT conv_id, turn, {_NORMAL.format("whole")} AS key FROM runs WHERE level = 0
+  UNION ALL SELECT conv_id, turn, {_NORMAL.format("line")} FROM numbered WHERE filled AND level = 0
+  UNION ALL SELECT conv_id, turn, {_NORMAL.format("string_agg(line, ' ' ORDER BY place)")} FROM numbered
+    WHERE filled AND level = 0 GROUP BY conv_id, turn
+), firsts AS (SELECT conv_id, key, min(turn) AS original FROM own GROUP BY conv_id, key
+), asked AS (
+  SELECT conv_id, turn, level, run, 0 AS rank, {_NORMAL.format("whole")} AS key FROM runs WHERE level > 0
+  UNION ALL SELECT conv_id, turn, level, run, 1, {_NORMAL.format("line")} FROM numbered WHERE filled AND level > 0
+), linked AS (
+  SELECT a.conv_id, a.turn, a.level, a.run, f.original FROM asked a JOIN firsts f USING (conv_id, key) WHERE f.original < a.turn
+  QUALIFY row_number() OVER (PARTITION BY a.conv_id, a.turn, a.run ORDER BY a.rank, f.original) = 1
+), answers AS (
+  SELECT conv_id, turn, count(*) OVER (PARTITION BY conv_id, turn) AS n_linked, original AS reply_to FROM linked
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY level, original DESC) = 1
+), threads AS (
+  SELECT m.conv_id, m.turn, m.turn AS thread, 0::BIGINT AS depth FROM mail m
+  WHERE NOT EXISTS (SELECT 1 FROM answers a WHERE a.conv_id = m.conv_id AND a.turn = m.turn)
+  UNION ALL SELECT a.conv_id, a.turn, t.thread, t.depth + 1 FROM threads t JOIN answers a ON a.conv_id = t.conv_id AND a.reply_to = t.turn
+), texts AS (
+  SELECT conv_id, turn, trim(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (WHERE level = 0), ''), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS text
+  FROM lines GROUP BY conv_id, turn
+)
+SELECT m.conv_id, m.turn, m.role, a.reply_to, t.thread, t.depth,
+  (SELECT count(*) FROM runs r WHERE r.conv_id = m.conv_id AND r.turn = m.turn AND r.level > 0) AS n_quotes,
+  coalesce(a.n_linked, 0)::BIGINT AS n_linked, x.text
+FROM mail m JOIN threads t USING (conv_id, turn) LEFT JOIN answers a USING (conv_id, turn) JOIN texts x USING (conv_id, turn)
+"""

@@ -7,85 +7,89 @@ earliest message whose own words contain them: as a whole message, a paragraph o
 line. A message replies to the original of its least nested passage (the latest one if
 there are several); deeper levels are what that message quoted in turn. Following
 replies back gives the thread. Rows ordered by conv_id, thread and turn have
-every message after the one it answers, with its own text only.
+every message after the one it answers, with its own text only. All of it is column expressions and joins; a
+run of lines is a slice between a line that begins one and the next line that ends one.
 
 Edge cases: a NULL or empty text has no passages and an empty own text; a passage
 nobody wrote before stays unlinked but is removed as well; a message without a
 linked quote starts a thread; repeated rows stay, and messages with the same
-conv_id and turn share what they reply to; NULL keys are never linked; other
-columns are not read.
+conv_id and turn share what they reply to; conv_id may be of any type; NULL keys are never linked; other
+columns are not read. Blanks are those of ASCII.
 """
 
 from __future__ import annotations
 
-import hashlib
-import re
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, functions as F
 
-import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
-
-from perkwell.llm.common import salted_join
+from perkwell.llm.common import let, salted_join
 from perkwell.sources.checkpoints import cut
 
 SALTS = 8
-_QUOTE = re.compile(r"^\s*((?:>\s?)+)")
-_PARSED = "conv_id long, turn long, role string, own string, quotes array<struct<level:int,size:int,whole:binary,lines:array<binary>>>, own_keys array<binary>"
+_BLANK = r"[ \t\r\n\f\x0B]"
+_MARK = r"^[ \t\r\f\x0B]*(?:>[ \t\r\f\x0B]?)+"
 
 
-def levels(text: str | None) -> list[tuple[int, str]]:
-    """Quote level and content of every line."""
-    out = []
-    for line in (text or "").split("\n"):
-        mark = _QUOTE.match(line)
-        out.append((mark.group(1).count(">"), line[mark.end():]) if mark else (0, line))
-    return out
+def normal(text: Column) -> Column:
+    """Lower case, with single blanks between words."""
+    return F.trim(F.regexp_replace(F.lower(text), f"{_BLANK}+", " "))
 
 
-def key_of(lines: list[str]) -> bytes:
+def key_of(text: Column) -> Column:
     """Hash of a passage, whatever its case, blanks and line breaks."""
-    return hashlib.md5(" ".join(" ".join(lines).lower().split()).encode("utf-8", "surrogatepass")).digest()
+    return F.unhex(F.md5(normal(text)))
+
+
+def lines_of(text: Column) -> Column:
+    """(level, line, filled) of every line: quote level, content, whether there is more than blanks."""
+    def one(line: Column) -> Column:
+        return let(F.regexp_extract(line, _MARK, 0), lambda mark: F.struct(
+            F.length(F.regexp_replace(mark, "[^>]", "")).alias("level"), F.substr(line, F.length(mark) + 1).alias("line"),
+            F.rlike(F.substr(line, F.length(mark) + 1), F.lit(r"[^ \t\r\n\f\x0B]")).alias("filled"),
+        ))
+
+    return F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), one)
+
+
+def runs_of(lines: Column) -> Column:
+    """The runs of filled lines of one level as (level, lines): where a run begins and where one ends alternate."""
+    def bounds(all_lines: Column) -> Column:
+        places = F.sequence(F.lit(0), F.size(all_lines) - 1)
 
+        def goes_on(line: Column, beside: Column) -> Column:
+            return F.coalesce(beside["filled"] & (beside["level"] == line["level"]), F.lit(False))
 
-def passages(lines: list[tuple[int, str]]) -> list[tuple[int, list[str]]]:
-    """Runs of filled lines of one level."""
-    runs: list[tuple[int, list[str]]] = []
-    open_run = False
-    for level, line in lines:
-        if not line.strip():
-            open_run = False
-        elif open_run and runs[-1][0] == level:
-            runs[-1][1].append(line)
-        else:
-            runs.append((level, [line]))
-            open_run = True
-    return runs
+        def edges(step: int) -> Column:
+            return F.filter(places, lambda i: F.get(all_lines, i)["filled"] & ~goes_on(F.get(all_lines, i), F.get(all_lines, i + step)))
+
+        return F.zip_with(edges(-1), edges(1), lambda first, last: F.struct(
+            F.get(all_lines, first)["level"].alias("level"),
+            F.transform(F.slice(all_lines, first + 1, last - first + 1), lambda x: x["line"]).alias("lines"),
+        ))
+
+    return let(lines, bounds)
+
+
+def own_text(lines: Column) -> Column:
+    own = F.transform(F.filter(lines, lambda x: x["level"] == 0), lambda x: x["line"])
+    return F.btrim(F.array_join(own, "\n"), F.lit(" \t\r\n\f\x0b"))
 
 
 def parsed(messages: DataFrame) -> DataFrame:
-    """Own text, quoted passages and the hashes under which the own words can be quoted."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own_texts, quotes, keys = [], [], []
-            for text in batch.column(3).to_pylist():
-                lines = levels(text)
-                runs = passages(lines)
-                mine = [part for level, part in runs if level == 0]
-                own_texts.append("\n".join(line for level, line in lines if level == 0).strip())
-                every = [line for part in mine for line in part]
-                keys.append(list({key_of(part) for part in [every, *mine, *([line] for line in every)] if part}))
-                quotes.append([
-                    {"level": level, "size": len(part), "whole": key_of(part), "lines": [key_of([line]) for line in part]}
-                    for level, part in runs if level
-                ])
-            quote_type = pa.struct([("level", pa.int32()), ("size", pa.int32()), ("whole", pa.binary()), ("lines", pa.list_(pa.binary()))])
-            yield pa.RecordBatch.from_arrays(
-                [*(batch.column(k) for k in range(3)), pa.array(own_texts), pa.array(quotes, pa.list_(quote_type)), pa.array(keys, pa.list_(pa.binary()))],
-                ["conv_id", "turn", "role", "own", "quotes", "own_keys"],
-            )
-
-    columns = [F.col("conv_id").cast("long"), F.col("turn").cast("long"), F.col("role").cast("string"), F.col("text").cast("string")]
-    return messages.select(*columns).mapInArrow(run, _PARSED)
+    """The hashes of the quoted passages and those under which the own words can be quoted."""
+    def joined(lines: Column) -> Column:
+        return key_of(F.array_join(lines, " "))
+
+    quotes = F.transform(F.filter("_runs", lambda r: r["level"] > 0), lambda r: F.struct(
+        r["level"].alias("level"), joined(r["lines"]).alias("whole"), F.transform(r["lines"], key_of).alias("lines"),
+    ))
+    mine = F.filter("_runs", lambda r: r["level"] == 0)
+    every = F.flatten(F.transform(mine, lambda r: r["lines"]))
+    keys = F.when(F.size(every) > 0, F.array_distinct(F.concat(
+        F.array(joined(every)), F.transform(mine, lambda r: joined(r["lines"])), F.transform(every, key_of)
+    ))).otherwise(F.array().cast("array<binary>"))
+    return messages.select("conv_id", "turn", runs_of(lines_of(F.col("text").cast("string"))).alias("_runs")).select(
+        "conv_id", "turn", quotes.alias("quotes"), keys.alias("own_keys")
+    )
 
 
 def linked_quotes(rows: DataFrame) -> DataFrame:
@@ -120,17 +124,22 @@ def threads(linked: DataFrame) -> DataFrame:
             (F.col("depth") + F.coalesce("_more", F.lit(0))).alias("depth"), F.col("_up").isNotNull().alias("_moved"),
         ))
         state = stepped.drop("_moved")
-        if stepped.filter("_moved").limit(1).count() == 0:
+        if stepped.filter("_moved").isEmpty():
             return state
 
 
 def link_quotations(messages: DataFrame) -> DataFrame:
     """Every message with its own text, what it replies to, its thread and its depth there."""
-    rows = parsed(messages)
-    linked = cut(replies(rows))
+    # Only hashes are written; own texts are taken from the messages at the end.
+    linked = cut(replies(cut(parsed(messages))))
     placed = linked.join(threads(linked), ["conv_id", "turn"])
-    return rows.join(placed, ["conv_id", "turn"], "left").select(
+    lines = lines_of(F.col("text").cast("string"))
+    told = messages.select(
+        "conv_id", "turn", F.col("role").cast("string").alias("role"), own_text(lines).alias("_own"),
+        F.size(F.filter(runs_of(lines), lambda r: r["level"] > 0)).cast("long").alias("n_quotes"),
+    )
+    return told.join(placed, ["conv_id", "turn"], "left").select(
         "conv_id", "turn", "role", "reply_to", F.coalesce("thread", "turn").alias("thread"),
-        F.coalesce("depth", F.lit(0)).alias("depth"), F.size("quotes").cast("long").alias("n_quotes"),
-        F.coalesce("n_linked", F.lit(0)).alias("n_linked"), F.col("own").alias("text"),
+        F.coalesce("depth", F.lit(0)).cast("long").alias("depth"), "n_quotes",
+        F.coalesce("n_linked", F.lit(0)).cast("long").alias("n_linked"), F.col("_own").alias("text"),
     )
