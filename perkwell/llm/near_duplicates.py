@@ -4,13 +4,14 @@ A document is the weighted set of its five-word shingles. The weight of a shingl
 how often it occurs (tf) times the mean inverse document frequency of its words
 (idf). Frequencies are those of words and not of whole shingles because the
 shingles of a group of copies are frequent only through the copies, which would
-weigh the few words that differ above all that is shared. Word frequencies are
-counted over all documents in a table of ``2^IDF_BITS`` hashed words, whose size does
-not depend on the corpus.
+weigh the few words that differ above all that is shared. The idf of a word in a share f of all
+documents is log(1 + 1 / f), and that of a share of 1 / ``RAREST`` for all rarer words. So only words that
+frequent are listed, exactly; documents of w different words have at most w * ``RAREST`` of them, however many
+documents there are.
 
 Improved consistent weighted sampling draws ``BANDS * ROWS`` samples per document;
 two documents agree in a sample with the probability of their weighted Jaccard
-similarity. Documents that agree similarity. Documents that agree in a whole band share a bucket. First every document
+similarity. Documents that agree in a whole band share a bucket. First every document
 is compared with one anchor per bucket, by exact weighted Jaccard of the whole texts,
 then what is left with a second anchor from outside the first one's class. That connects
 most classes with one comparison per document and bucket. A member leaves its bucket
@@ -21,28 +22,32 @@ tasks, so no pair that shares a bucket is given up.
 Anchors are the members of the largest buckets: the text that the others were
 edited from agrees with more of them than they do with each other.
 
+A text is known by its digest, and all is decided between different texts. They are numbered once; rows
+take the class of their text, whatever their doc_id.
+
 Edge cases: a NULL text counts as empty; equal texts are one class, empty ones too;
-a text of fewer than five words is a single shingle of its own; rows sharing a
-doc_id get the smallest of their classes; rows without doc_id get a NULL class;
-other columns are not read.
+a text of fewer than five words is a single shingle of its own. A class is named by its smallest
+doc_id, NULL if all its rows lack one; rows sharing a doc_id and rows without one are classed
+row by row. Of each class the row with the smallest doc_id stays (rows without one come last), of several such rows
+the one with the smallest digest, and of rows that agree in both, any one. Other columns are not read.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
-from perkwell.llm.common import SHINGLE_WORDS, SIMILAR, salted_join
-from perkwell.llm.components import components
+from perkwell.llm.common import SHINGLE_WORDS, SIMILAR, salted_join, whole_text
+from perkwell.llm.components import components, near_roots
 from perkwell.llm.textbytes import mixed, packed, shingle_hashes, slices, text_batches, word_hashes
 from perkwell.sources.checkpoints import cut
 
-IDF_BITS = 18
+# Words in fewer than one of so many documents all weigh the same.
+RAREST = 4096
 BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
@@ -58,36 +63,49 @@ HEAVY, WIDE = 8, 2048
 # ---- document frequencies ------------------------------------------------------------
 
 
-def word_frequencies(docs: DataFrame) -> np.ndarray:
-    """1000 log(1 + N / df), rounded, for each slot of the hashed word table."""
+class WordWeights:
+    """1000 log(1 + documents / df), rounded, of the listed words; all others weigh like the rarest."""
+
+    def __init__(self, hashes: np.ndarray, df: np.ndarray, documents: int) -> None:
+        order = np.argsort(hashes)
+        self.hashes, self.weights = hashes[order], np.rint(1000 * np.log1p(documents / np.maximum(df[order], 1))).astype(np.int32)
+        self.rarest = np.int32(np.rint(1000 * np.log1p(RAREST)))
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        if not len(self.hashes):
+            return np.full(len(hashes), self.rarest)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, self.weights[at], self.rarest)
+
+
+def word_frequencies(docs: DataFrame) -> WordWeights:
+    """Exact document counts of all words, of which those in at least one of ``RAREST`` documents are listed."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(1 << IDF_BITS, np.int64)
         for batch in batches:
             for _, _, texts in text_batches(batch.column(0)):
                 hashes, bounds = word_hashes(*packed(texts))
-                slot = (hashes >> np.uint64(64 - IDF_BITS)).astype(np.int64)
                 doc = np.repeat(np.arange(len(texts)), np.diff(bounds))
-                once = np.unique(doc << IDF_BITS | slot) & ((1 << IDF_BITS) - 1)
-                table += np.bincount(once, minlength=len(table))
-        used = np.flatnonzero(table)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(table[used])], ["slot", "df"])
-
-    counted = docs.select("text").mapInArrow(count, "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toArrow()
-    df = np.zeros(1 << IDF_BITS)
-    df[counted["slot"].to_numpy()] = counted["df"].to_numpy()
+                order = np.lexsort((doc, hashes))
+                hashes, doc = hashes[order], doc[order]
+                new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])]) if len(hashes) else np.zeros(0, bool)
+                word, df = np.unique(hashes[new], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(df.astype(np.int64))], ["word", "df"])
+
     n = docs.count()
-    return np.rint(1000 * np.log1p(n / np.maximum(df, 1))).astype(np.int32)
+    counted = docs.select("text").mapInArrow(count, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
+    listed = counted.filter(F.col("df") * RAREST >= n).toArrow()
+    return WordWeights(listed["word"].to_numpy().astype(np.int64).view(np.uint64), listed["df"].to_numpy().astype(np.int64), n)
 
 
 # ---- weighted shingles ---------------------------------------------------------------
 
 
-def weighted_shingles(texts: list[str | None], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def weighted_shingles(texts: list[str | None], idf: WordWeights) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row number, shingle hash (48 bits) and weight of the distinct shingles, sorted by row and hash."""
     hashes, bounds = word_hashes(*packed(texts))
     counts = np.diff(bounds)
     doc = np.repeat(np.arange(len(texts)), counts)
-    word_idf = idf[(hashes >> np.uint64(64 - IDF_BITS)).astype(np.int64)]
+    word_idf = idf.of(hashes)
     runs = shingle_hashes(hashes, SHINGLE_WORDS)
     n = len(runs)
     whole = np.zeros(n, bool) if not n else doc[:n] == doc[SHINGLE_WORDS - 1:]
@@ -163,25 +181,30 @@ def sampled(docs: DataFrame, sent: Broadcast) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tables = _random_tables()
         for batch in batches:
-            for begin, end, texts in text_batches(batch.column(1)):
+            for begin, end, texts in text_batches(batch.column(2)):
                 row, key, weight = weighted_shingles(texts, sent.value)
                 chosen = samples(row, key, weight, len(texts), tables)
                 keys = band_keys(chosen)
                 filled = np.bincount(row, minlength=len(texts)) > 0
-                digest = [hashlib.md5((t or "").encode("utf-8", "surrogatepass")).digest() for t in texts]
                 yield pa.RecordBatch.from_arrays([
-                    batch.column(0).slice(begin, end - begin), pa.array(digest, pa.binary()),
+                    batch.column(0).slice(begin, end - begin), batch.column(1).slice(begin, end - begin),
                     pa.array([k.tolist() if f else None for k, f in zip(keys, filled, strict=True)], pa.list_(pa.int64())),
                     pa.array([len(t or "") for t in texts], pa.int64()),
                 ], ["doc_id", "digest", "bands", "chars"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, digest binary, bands array<long>, chars long")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest_of_text(), "text").mapInArrow(
+        run, "doc_id long, digest binary, bands array<long>, chars long"
+    )
+
+
+def digest_of_text() -> Column:
+    return F.unhex(F.md5(whole_text())).alias("digest")
 
 
 # ---- comparison ----------------------------------------------------------------------
 
 
-def _similarity(left: list[str | None], right: list[str | None], idf: np.ndarray) -> np.ndarray:
+def _similarity(left: list[str | None], right: list[str | None], idf: WordWeights) -> np.ndarray:
     """Exact weighted Jaccard of the texts that stand at the same place."""
     n = len(left)
     # The two texts of a pair are rows k and n + k; equal shingles of both meet after sorting.
@@ -197,9 +220,11 @@ def _similarity(left: list[str | None], right: list[str | None], idf: np.ndarray
 
 def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
     """a, b, similarity: exact weighted Jaccard of whole texts for each pair (a, b)."""
-    both = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-        texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
-    ).select("a", "b", "text_a", "text_b")
+    # Either side may be an anchor that very many pairs name.
+    with_a = salted_join(pairs, texts.select(F.col("text_id").alias("a"), F.col("text").alias("text_a")), ["a"], "b", SALTS)
+    both = salted_join(with_a, texts.select(F.col("text_id").alias("b"), F.col("text").alias("text_b")), ["b"], "a", SALTS).select(
+        "a", "b", "text_a", "text_b"
+    )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -214,28 +239,28 @@ def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFra
 
 
 def _star(members: DataFrame, anchors: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
-    """Compare the members (key, doc_id, class_id) of each bucket with its anchor (key, anchor, anchor_class), if of another class."""
-    met = salted_join(members, anchors, ["key"], "doc_id", SALTS).filter("class_id <> anchor_class")
-    pairs = met.select(F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")).distinct()
+    """Compare the members (key, text_id, class_id) of each bucket with its anchor (key, anchor, anchor_class), if of another class."""
+    met = salted_join(members, anchors, ["key"], "text_id", SALTS).filter("class_id <> anchor_class")
+    pairs = met.select(F.least("text_id", "anchor").alias("a"), F.greatest("text_id", "anchor").alias("b")).distinct()
     return cut(similarities(pairs, texts, sent))
 
 
 def _most_popular(members: DataFrame) -> DataFrame:
-    """The anchor of each bucket: its member with the most company in all its buckets, then the smallest doc_id."""
-    best = members.groupBy("key").agg(F.max(F.struct("popularity", -F.col("doc_id"), "class_id")).alias("top"))
+    """The anchor of each bucket: its member with the most company in all its buckets, then the smallest text_id."""
+    best = members.groupBy("key").agg(F.max(F.struct("popularity", -F.col("text_id"), "class_id")).alias("top"))
     return best.select("key", (-F.col("top.col2")).alias("anchor"), F.col("top.class_id").alias("anchor_class"))
 
 
-def _classes(members: DataFrame, links: DataFrame) -> DataFrame:
-    """``members`` with the classes that the links make."""
-    roots = components(links).withColumnRenamed("node", "doc_id")
-    return cut(members.drop("class_id").join(roots, "doc_id", "left").withColumn(
-        "class_id", F.coalesce("root", "doc_id")
+def _classes(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """``members`` with the classes known so far; ``roots`` names some texts of one class alike."""
+    roots = roots.withColumnRenamed("node", "text_id")
+    return cut(members.drop("class_id").join(roots, "text_id", "left").withColumn(
+        "class_id", F.coalesce("root", "text_id")
     ).drop("root"))
 
 
 def _open(rows: DataFrame, least: float) -> DataFrame:
-    """The rows (key, doc_id, class_id, step) that may still have a link to another class of their bucket.
+    """The rows (key, text_id, class_id, step) that may still have a link to another class of their bucket.
 
     ``step`` is the similarity to the anchor of the bucket in steps of ``STEP``. Distances (1 - similarity) obey the
     triangle inequality, so two texts whose similarities to a third differ by more than 1 - ``least`` have no link.
@@ -250,7 +275,7 @@ def _open(rows: DataFrame, least: float) -> DataFrame:
         (t["low"] != s["low"]) | (t["high"] != s["low"])
     )))
     reached = listed.select("key", F.explode(near).alias("_s")).select("key", F.col("_s.step").alias("step"))
-    return salted_join(rows, reached, ["key", "step"], "doc_id", SALTS)
+    return salted_join(rows, reached, ["key", "step"], "text_id", SALTS)
 
 
 def _shared_weight(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int) -> np.ndarray:
@@ -288,7 +313,7 @@ def _shared_weight(row: np.ndarray, key: np.ndarray, weight: np.ndarray, n: int)
     return shared
 
 
-def connecting_links(ids: list[int], classes: list[int], blocks: list[int], texts: list[str], idf: np.ndarray, least: float) -> list[tuple[int, int]]:
+def connecting_links(ids: list[int], classes: list[int], blocks: list[int], texts: list[str], idf: WordWeights, least: float) -> list[tuple[int, int]]:
     """Links that connect what all links between different classes connect; where there are two blocks, between these only."""
     n = len(ids)
     row, key, weight = weighted_shingles(texts, idf)
@@ -329,67 +354,92 @@ def _every_pair(rows: DataFrame, texts: DataFrame, sent: Broadcast, least: float
     counted = rows.groupBy("key").agg(F.greatest(
         F.ceil(F.count("*") / BLOCK), F.ceil(F.sum("chars") / BLOCK_CHARS), F.lit(1)
     ).alias("_parts"))
-    placed = salted_join(rows, counted, ["key"], "doc_id", SALTS).withColumn("block", F.pmod(F.xxhash64("doc_id", "key"), "_parts"))
+    placed = salted_join(rows, counted, ["key"], "text_id", SALTS).withColumn("block", F.pmod(F.xxhash64("text_id", "key"), "_parts"))
     met = placed.withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1))).select(
-        "key", "doc_id", "class_id", "block", F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two")
+        "key", "text_id", "class_id", "block", F.least("block", "_other").alias("one"), F.greatest("block", "_other").alias("two")
     )
 
     def run(group: pa.Table) -> pa.Table:
-        columns = (group[c].to_pylist() for c in ("doc_id", "class_id", "block", "text"))
+        columns = (group[c].to_pylist() for c in ("text_id", "class_id", "block", "text"))
         links = connecting_links(*columns, sent.value, least)
         return pa.table({"a": pa.array([min(p) for p in links], pa.int64()), "b": pa.array([max(p) for p in links], pa.int64())})
 
-    return met.join(texts, "doc_id").groupBy("key", "one", "two").applyInArrow(run, "a long, b long")
+    return met.join(texts, "text_id").groupBy("key", "one", "two").applyInArrow(run, "a long, b long")
 
 
 def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataFrame, DataFrame]:
-    """Which text each document has, and verified links that connect every class of different texts.
+    """Which text each row has, and verified links that connect every class of different texts.
 
-    The first result has doc_id and ``text_id`` (smallest doc_id with the same text), the second a and b.
+    The first result has one row (doc_id, digest, text_id) per document, the second a and b.
     """
     sent = docs.sparkSession.sparkContext.broadcast(word_frequencies(docs))
-    signed = cut(sampled(docs, sent).filter("doc_id is not null"))
-    kinds = cut(signed.groupBy("digest").agg(
-        F.min("doc_id").alias("text_id"), F.first("bands").alias("bands"), F.first("chars").alias("chars")
-    ))
+    signed = cut(sampled(docs, sent))
+    kinds = cut(signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("chars").alias("chars")))
+    # The written rows keep their places, so these numbers do not change when they are computed again.
+    kinds = kinds.withColumn("text_id", F.monotonically_increasing_id())
     texts_of = salted_join(signed.select("doc_id", "digest"), kinds.select("digest", "text_id"), ["digest"], "doc_id", SALTS)
 
-    banded = kinds.filter("bands is not null").select(F.col("text_id").alias("doc_id"), "chars", F.explode("bands").alias("key"))
+    banded = kinds.filter("bands is not null").select("text_id", "chars", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
-    shared = cut(salted_join(banded, full, ["key"], "doc_id", SALTS))
-    popular = shared.groupBy("doc_id").agg(F.sum("size").alias("popularity"))
-    members = cut(shared.join(popular, "doc_id").select("key", "doc_id", "chars", "popularity", F.col("doc_id").alias("class_id")))
-    wanted = popular.select("doc_id")
-    texts = cut(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    shared = salted_join(banded, full, ["key"], "text_id", SALTS)
+    popular = cut(shared.groupBy("text_id").agg(F.sum("size").alias("popularity")))
+    members = cut(shared.join(popular, "text_id").select("key", "text_id", "chars", "popularity", F.col("text_id").alias("class_id")))
+    # One row of the table for each text that is compared.
+    wanted = kinds.join(popular.select("text_id"), "text_id", "left_semi").select("digest", "text_id", F.col("first_id").alias("_first"))
+    own = docs.select(digest_of_text(), F.col("doc_id").cast("long").alias("_id"), "text")
+    texts = cut(own.join(wanted, "digest").filter(F.col("_id").eqNullSafe(F.col("_first"))).select("text_id", "text").dropDuplicates(["text_id"]))
 
     anchors = cut(_most_popular(members))
     first = _star(members, anchors, texts, sent)
     links = first.filter(F.col("similarity") >= least).select("a", "b")
     # The anchor itself has met all others and leaves its bucket.
-    beside = salted_join(members, anchors.select("key", "anchor"), ["key"], "doc_id", SALTS).filter("doc_id <> anchor").select(
-        "*", F.least("doc_id", "anchor").alias("a"), F.greatest("doc_id", "anchor").alias("b")
-    ).join(first, ["a", "b"]).withColumn("step", F.floor(F.col("similarity") / STEP)).drop("a", "b", "similarity", "anchor")
+    beside = salted_join(members, anchors.select("key", "anchor"), ["key"], "text_id", SALTS).filter("text_id <> anchor").select(
+        "*", F.least("text_id", "anchor").alias("a"), F.greatest("text_id", "anchor").alias("b")
+    ).join(first, ["a", "b"]).withColumn("step", F.floor(F.col("similarity") / STEP)).drop("a", "b", "similarity")
     # A second anchor from outside the class of the first meets all that is left of its bucket and leaves, too.
-    left = cut(_open(_classes(beside, links), least))
-    roots = components(links).select(F.col("node").alias("anchor"), F.col("root").alias("_root"))
-    main = anchors.select("key", "anchor").join(roots, "anchor", "left").select("key", F.coalesce("_root", "anchor").alias("_main"))
-    second = cut(_most_popular(salted_join(left, main, ["key"], "doc_id", SALTS).filter("class_id <> _main")))
+    near = cut(near_roots(links))
+    left = cut(_open(_classes(beside.drop("anchor"), near), least))
+    main = anchors.select("key", "anchor").join(near.withColumnRenamed("node", "anchor"), "anchor", "left").select("key", F.coalesce("root", "anchor").alias("_main"))
+    second = cut(_most_popular(salted_join(left, main, ["key"], "text_id", SALTS).filter("class_id <> _main")))
     links = cut(links.union(_star(left, second, texts, sent).filter(F.col("similarity") >= least).select("a", "b")))
-    met = second.select("key", F.col("anchor").alias("doc_id"))
-    left = cut(_open(_classes(left.join(met, ["key", "doc_id"], "left_anti"), links), least))
-    return texts_of.select("doc_id", "text_id"), links.union(cut(_every_pair(left, texts, sent, least)))
+    met = second.select("key", F.col("anchor").alias("text_id"))
+    left = cut(_open(_classes(left.join(met, ["key", "text_id"], "left_anti"), cut(near_roots(links))), least))
+    return texts_of.select("doc_id", "digest", "text_id"), links.union(cut(_every_pair(left, texts, sent, least)))
 
 
-def near_duplicate_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """doc_id and class_id, the smallest doc_id among all documents linked to it, also by way of others."""
+def classed_rows(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """doc_id, digest and ``group``, the same number for all rows of a class."""
     texts_of, links = near_duplicate_links(docs, least)
     roots = components(links)
-    named = texts_of.join(roots, texts_of["text_id"] == roots["node"], "left")
-    return named.groupBy("doc_id").agg(F.min(F.coalesce("root", "text_id")).alias("class_id"))
+    named = salted_join(texts_of, roots.withColumnRenamed("node", "text_id"), ["text_id"], "doc_id", SALTS, "left")
+    return cut(named.select("doc_id", "digest", F.coalesce("root", "text_id").alias("group")))
 
 
-def without_near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
-    """One document of each class: the one with the smallest doc_id."""
-    extra = near_duplicate_classes(docs, least).filter("doc_id <> class_id").select("doc_id")
-    return docs.join(extra, "doc_id", "left_anti").select(*docs.columns)
+def near_duplicate_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """One row per document: doc_id and class_id, the smallest doc_id among all documents linked to it, also by way of others."""
+    rows = classed_rows(docs, least)
+    names = rows.groupBy("group").agg(F.min("doc_id").alias("class_id"))
+    return salted_join(rows, names, ["group"], "doc_id", SALTS).select("doc_id", "class_id")
 
+
+def without_near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
+    """One row of each class: the one with the smallest doc_id."""
+    different = classed_rows(docs, least).groupBy("group", "doc_id", "digest").agg(F.count("*").alias("n"))
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
+    best = different.groupBy("group").agg(F.min(place).alias("best"))
+    judged = cut(salted_join(different, best, ["group"], "doc_id", SALTS).withColumn("stays", F.col("best") == place))
+
+    def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
+        same = rows["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (F.md5(F.coalesce(rows["text"], F.lit(""))) == keys["hex_digest"])
+        return rows.join(keys, same, how)
+
+    def named(rows: DataFrame) -> DataFrame:
+        return rows.select("doc_id", F.lower(F.hex("digest")).alias("hex_digest"))
+
+    kept = met(docs, named(judged.filter("not stays")), "left_anti")
+    repeated = named(judged.filter("stays and n > 1"))
+    if not repeated.isEmpty():
+        digest = next(name for k in range(len(docs.columns) + 1) if (name := f"_digest{k}") not in docs.columns)
+        once = met(kept, repeated, "left_semi").withColumn(digest, F.md5(whole_text())).dropDuplicates(["doc_id", digest])
+        kept = met(kept, repeated, "left_anti").unionByName(once.drop(digest))
+    return kept.select(*docs.columns)

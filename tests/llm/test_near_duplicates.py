@@ -1,6 +1,11 @@
+import collections
+import math
 import random
 
+import pytest
+
 from perkwell.llm import near_duplicates as nd
+from perkwell.llm.textbytes import packed, word_hashes
 from perkwell.llm.components import components
 
 
@@ -60,8 +65,30 @@ def test_classes_equal_those_of_all_pairs(spark, documents):
 def test_no_documents_no_ids_and_repeated_rows(documents):
     docs = documents(["a b c d e f", "a b c d e f", None], ids=[7, 7, None])
     assert nd.near_duplicate_classes(docs.limit(0)).count() == 0
-    assert [tuple(r) for r in nd.near_duplicate_classes(docs).collect()] == [(7, 7)]
-    assert nd.without_near_duplicates(docs).count() == 3
+    assert sorted(map(repr, (tuple(r) for r in nd.near_duplicate_classes(docs).collect()))) == ["(7, 7)", "(7, 7)", "(None, None)"]
+    kept = nd.without_near_duplicates(docs)
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in kept.collect()))) == ["(7, 'a b c d e f')", "(None, None)"]
+    assert kept.columns == docs.columns
+
+
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0)])
+def test_one_doc_id_with_two_texts(documents, order):
+    one, other = " ".join(f"w{k}" for k in range(60)), " ".join(f"v{k}" for k in range(60))
+    rows = [(7, one), (7, other), (9, other + " end")]
+    docs = documents([rows[k][1] for k in order], ids=[rows[k][0] for k in order]).coalesce(1)
+    assert sorted(tuple(r) for r in nd.near_duplicate_classes(docs).collect()) == [(7, 7), (7, 7), (9, 7)]
+    assert {(r.doc_id, r.text) for r in nd.without_near_duplicates(docs).collect()} == {(7, one), (7, other)}
+
+
+def test_weights_are_those_of_exact_counts(documents):
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"w{k * k}" for k in range(80)], k=rng.randrange(1, 30))) for _ in range(200)] + [None]
+    df = collections.Counter(w for t in texts if t for w in set(t.split()))
+    weights = nd.word_frequencies(documents(texts))
+    words = [*df, "unseen"]
+    hashes, _ = word_hashes(*packed(words))
+    want = [round(1000 * math.log1p(len(texts) / df[w])) for w in df] + [round(1000 * math.log1p(nd.RAREST))]
+    assert weights.of(hashes).tolist() == want
 
 
 def test_components_of_random_graphs(spark):
