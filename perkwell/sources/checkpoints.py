@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -30,3 +31,15 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the checkpoint folder and continue from the written rows."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """Write ``df`` as a table in the checkpoint folder and continue from it.
+
+    Unlike a checkpoint the table tells its size, so a small one is sent to the tasks of a join instead of shuffling both
+    sides, and many small parts are read together. It stays until the folder is cleared.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/written-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
