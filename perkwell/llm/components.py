@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from perkwell.llm.common import salted_join
-from perkwell.sources.checkpoints import cut
+from perkwell.sources.checkpoints import written
 
 # Parts over which the edges of a node with very many are dealt.
 SALTS = 8
@@ -19,22 +19,22 @@ def components(edges: DataFrame) -> DataFrame:
     outgrow its own edges; it ends when every node has one pointer. Pointers are
     then followed, twice as far each time.
     """
-    down = cut(
+    down = written(
         edges.filter("a <> b").select(F.greatest("a", "b").alias("node"), F.least("a", "b").alias("to")).distinct()
     )
     while True:
         # Written once, as both the test and the next pointers read it.
-        least = cut(down.groupBy("node").agg(F.min("to").alias("least"), F.count("*").alias("n")))
+        least = written(down.groupBy("node").agg(F.min("to").alias("least"), F.count("*").alias("n")))
         several = least.filter("n > 1").select("node", "least")
         if several.isEmpty():
             break
         passed = down.join(several, "node").filter("to <> least").select(
             F.col("to").alias("node"), F.col("least").alias("to")
         )
-        down = cut(least.select("node", F.col("least").alias("to")).union(passed).distinct())
+        down = written(least.select("node", F.col("least").alias("to")).union(passed).distinct())
     while True:
         further = down.select(F.col("node").alias("to"), F.col("to").alias("beyond"))
-        stepped = cut(down.join(further, "to", "left").select(
+        stepped = written(down.join(further, "to", "left").select(
             "node", F.coalesce("beyond", "to").alias("to"), F.col("beyond").isNotNull().alias("moved")
         ))
         down = stepped.select("node", "to")
@@ -50,7 +50,7 @@ def near_roots(edges: DataFrame, rounds: int = 2) -> DataFrame:
     Nodes with one root are in one component, but a wide component may keep several roots. Around a few centres,
     which is what comparisons with anchors give, two edges reach everything.
     """
-    both = cut(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct())
+    both = written(edges.filter("a <> b").select("a", "b").union(edges.filter("a <> b").select("b", "a")).distinct())
     root = both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.min("a")).alias("root"))
     for _ in range(2 * rounds - 1):
         told = salted_join(both, root.withColumnRenamed("node", "b"), ["b"], "a", SALTS).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("_told"))

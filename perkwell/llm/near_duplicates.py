@@ -44,7 +44,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from perkwell.llm.common import SHINGLE_WORDS, SIMILAR, salted_join, whole_text
 from perkwell.llm.components import components, near_roots
 from perkwell.llm.textbytes import mixed, packed, shingle_hashes, slices, text_batches, word_hashes
-from perkwell.sources.checkpoints import cut
+from perkwell.sources.checkpoints import written
 
 # Words in fewer than one of so many documents all weigh the same.
 RAREST = 4096
@@ -54,6 +54,8 @@ SAMPLES = BANDS * ROWS
 TABLE_BITS = 16
 CHUNK = 1 << 14
 SALTS = 8
+# Pairs of one anchor that meet in a part of their own.
+PAIRS_TOGETHER = 512
 # Steps of similarity to an anchor; texts and characters of a block; a shingle of so many texts is heavy and multiplied so many at a time.
 STEP = 0.05
 BLOCK, BLOCK_CHARS = 256, 1 << 21
@@ -219,12 +221,19 @@ def _similarity(left: list[str | None], right: list[str | None], idf: WordWeight
 
 
 def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
-    """a, b, similarity: exact weighted Jaccard of whole texts for each pair (a, b)."""
-    # Either side may be an anchor that very many pairs name.
-    with_a = salted_join(pairs, texts.select(F.col("text_id").alias("a"), F.col("text").alias("text_a")), ["a"], "b", SALTS)
-    both = salted_join(with_a, texts.select(F.col("text_id").alias("b"), F.col("text").alias("text_b")), ["b"], "a", SALTS).select(
-        "a", "b", "text_a", "text_b"
+    """a, b, similarity: exact weighted Jaccard of whole texts for each pair (a, b) of which ``anchor`` is one.
+
+    Very many pairs may name one anchor: its text is repeated once per ``PAIRS_TOGETHER`` of its pairs, and no other text is.
+    """
+    other = F.when(F.col("anchor") == F.col("a"), F.col("b")).otherwise(F.col("a"))
+    parts = written(pairs.groupBy("anchor").agg(F.ceil(F.count("*") / PAIRS_TOGETHER).alias("_parts")))
+    dealt = pairs.withColumn("other", other).join(parts, "anchor").withColumn("_part", F.pmod(F.xxhash64("other"), F.col("_parts")))
+    anchors = parts.join(texts.select(F.col("text_id").alias("anchor"), F.col("text").alias("text_a")), "anchor").select(
+        "anchor", "text_a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)).alias("_part")
     )
+    both = dealt.join(texts.select(F.col("text_id").alias("other"), F.col("text").alias("text_b")), "other").join(
+        anchors, ["anchor", "_part"]
+    ).select("a", "b", "text_a", "text_b")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -241,8 +250,8 @@ def similarities(pairs: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFra
 def _star(members: DataFrame, anchors: DataFrame, texts: DataFrame, sent: Broadcast) -> DataFrame:
     """Compare the members (key, text_id, class_id) of each bucket with its anchor (key, anchor, anchor_class), if of another class."""
     met = salted_join(members, anchors, ["key"], "text_id", SALTS).filter("class_id <> anchor_class")
-    pairs = met.select(F.least("text_id", "anchor").alias("a"), F.greatest("text_id", "anchor").alias("b")).distinct()
-    return cut(similarities(pairs, texts, sent))
+    pairs = met.select(F.least("text_id", "anchor").alias("a"), F.greatest("text_id", "anchor").alias("b"), "anchor").dropDuplicates(["a", "b"])
+    return written(similarities(pairs, texts, sent))
 
 
 def _most_popular(members: DataFrame) -> DataFrame:
@@ -254,7 +263,7 @@ def _most_popular(members: DataFrame) -> DataFrame:
 def _classes(members: DataFrame, roots: DataFrame) -> DataFrame:
     """``members`` with the classes known so far; ``roots`` names some texts of one class alike."""
     roots = roots.withColumnRenamed("node", "text_id")
-    return cut(members.drop("class_id").join(roots, "text_id", "left").withColumn(
+    return written(members.drop("class_id").join(roots, "text_id", "left").withColumn(
         "class_id", F.coalesce("root", "text_id")
     ).drop("root"))
 
@@ -373,23 +382,24 @@ def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataF
     The first result has one row (doc_id, digest, text_id) per document, the second a and b.
     """
     sent = docs.sparkSession.sparkContext.broadcast(word_frequencies(docs))
-    signed = cut(sampled(docs, sent))
-    kinds = cut(signed.groupBy("digest").agg(F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("chars").alias("chars")))
-    # The written rows keep their places, so these numbers do not change when they are computed again.
-    kinds = kinds.withColumn("text_id", F.monotonically_increasing_id())
+    signed = written(sampled(docs, sent))
+    # Numbered as they are written, once.
+    kinds = written(signed.groupBy("digest").agg(
+        F.min("doc_id").alias("first_id"), F.first("bands").alias("bands"), F.first("chars").alias("chars")
+    ).withColumn("text_id", F.monotonically_increasing_id()))
     texts_of = salted_join(signed.select("doc_id", "digest"), kinds.select("digest", "text_id"), ["digest"], "doc_id", SALTS)
 
     banded = kinds.filter("bands is not null").select("text_id", "chars", F.explode("bands").alias("key"))
     full = banded.groupBy("key").agg(F.count("*").alias("size")).filter("size > 1")
     shared = salted_join(banded, full, ["key"], "text_id", SALTS)
-    popular = cut(shared.groupBy("text_id").agg(F.sum("size").alias("popularity")))
-    members = cut(shared.join(popular, "text_id").select("key", "text_id", "chars", "popularity", F.col("text_id").alias("class_id")))
+    popular = written(shared.groupBy("text_id").agg(F.sum("size").alias("popularity")))
+    members = written(shared.join(popular, "text_id").select("key", "text_id", "chars", "popularity", F.col("text_id").alias("class_id")))
     # One row of the table for each text that is compared.
     wanted = kinds.join(popular.select("text_id"), "text_id", "left_semi").select("digest", "text_id", F.col("first_id").alias("_first"))
     own = docs.select(digest_of_text(), F.col("doc_id").cast("long").alias("_id"), "text")
-    texts = cut(own.join(wanted, "digest").filter(F.col("_id").eqNullSafe(F.col("_first"))).select("text_id", "text").dropDuplicates(["text_id"]))
+    texts = written(own.join(wanted, "digest").filter(F.col("_id").eqNullSafe(F.col("_first"))).select("text_id", "text").dropDuplicates(["text_id"]))
 
-    anchors = cut(_most_popular(members))
+    anchors = written(_most_popular(members))
     first = _star(members, anchors, texts, sent)
     links = first.filter(F.col("similarity") >= least).select("a", "b")
     # The anchor itself has met all others and leaves its bucket.
@@ -397,14 +407,14 @@ def near_duplicate_links(docs: DataFrame, least: float = SIMILAR) -> tuple[DataF
         "*", F.least("text_id", "anchor").alias("a"), F.greatest("text_id", "anchor").alias("b")
     ).join(first, ["a", "b"]).withColumn("step", F.floor(F.col("similarity") / STEP)).drop("a", "b", "similarity")
     # A second anchor from outside the class of the first meets all that is left of its bucket and leaves, too.
-    near = cut(near_roots(links))
-    left = cut(_open(_classes(beside.drop("anchor"), near), least))
+    near = written(near_roots(links))
+    left = written(_open(_classes(beside.drop("anchor"), near), least))
     main = anchors.select("key", "anchor").join(near.withColumnRenamed("node", "anchor"), "anchor", "left").select("key", F.coalesce("root", "anchor").alias("_main"))
-    second = cut(_most_popular(salted_join(left, main, ["key"], "text_id", SALTS).filter("class_id <> _main")))
-    links = cut(links.union(_star(left, second, texts, sent).filter(F.col("similarity") >= least).select("a", "b")))
+    second = written(_most_popular(salted_join(left, main, ["key"], "text_id", SALTS).filter("class_id <> _main")))
+    links = written(links.union(_star(left, second, texts, sent).filter(F.col("similarity") >= least).select("a", "b")))
     met = second.select("key", F.col("anchor").alias("text_id"))
-    left = cut(_open(_classes(left.join(met, ["key", "text_id"], "left_anti"), cut(near_roots(links))), least))
-    return texts_of.select("doc_id", "digest", "text_id"), links.union(cut(_every_pair(left, texts, sent, least)))
+    left = written(_open(_classes(left.join(met, ["key", "text_id"], "left_anti"), written(near_roots(links))), least))
+    return texts_of.select("doc_id", "digest", "text_id"), links.union(written(_every_pair(left, texts, sent, least)))
 
 
 def classed_rows(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -412,7 +422,7 @@ def classed_rows(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
     texts_of, links = near_duplicate_links(docs, least)
     roots = components(links)
     named = salted_join(texts_of, roots.withColumnRenamed("node", "text_id"), ["text_id"], "doc_id", SALTS, "left")
-    return cut(named.select("doc_id", "digest", F.coalesce("root", "text_id").alias("group")))
+    return written(named.select("doc_id", "digest", F.coalesce("root", "text_id").alias("group")))
 
 
 def near_duplicate_classes(docs: DataFrame, least: float = SIMILAR) -> DataFrame:
@@ -427,7 +437,7 @@ def without_near_duplicates(docs: DataFrame, least: float = SIMILAR) -> DataFram
     different = classed_rows(docs, least).groupBy("group", "doc_id", "digest").agg(F.count("*").alias("n"))
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "digest")
     best = different.groupBy("group").agg(F.min(place).alias("best"))
-    judged = cut(salted_join(different, best, ["group"], "doc_id", SALTS).withColumn("stays", F.col("best") == place))
+    judged = written(salted_join(different, best, ["group"], "doc_id", SALTS).withColumn("stays", F.col("best") == place))
 
     def met(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
         same = rows["doc_id"].cast("long").eqNullSafe(keys["doc_id"]) & (F.md5(F.coalesce(rows["text"], F.lit(""))) == keys["hex_digest"])
