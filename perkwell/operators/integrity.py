@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from perkwell.functions.columns import MONEY, moment
 from perkwell.operators.ordering import BLOCK, block_offsets, place_in_order, row_in_block
 from perkwell.schemas import (
-    DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS, USER,
+    DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS, USER, Reference,
 )
 from perkwell.sources.checkpoints import cut
 
@@ -145,40 +145,62 @@ def _all_there(key: Sequence[str]) -> Column:
 
 
 def cascade_delete(
-    tables: Mapping[str, DataFrame], root: str, doomed: DataFrame
+    tables: Mapping[str, DataFrame], root: str, doomed: DataFrame, references: Sequence[Reference] = REFERENCES,
+    keys: Mapping[str, Sequence[str]] = PRIMARY_KEYS,
 ) -> tuple[dict[str, DataFrame], dict[str, DataFrame]]:
-    """Delete rows of ``root`` by key and everything that hangs on them.
+    """Delete rows of ``root`` by key and everything that hangs on them. Returns (deleted, kept) per table.
 
-    Walks the references from parents to children. Each table is marked once
-    against the keys of all its doomed parents, so a row reached on two paths is
-    counted once. Returns (deleted, kept) per table.
+    First only keys are followed: the keys found in a round lead to the keys of their children, of which
+    those not found before make the next round. So a key is followed once, whatever paths or cycles lead to it, and the
+    rounds end with the longest chain. Then every table is joined once: one that has children with its own
+    doomed keys, any other with those of its parents.
     """
-    key = PRIMARY_KEYS[root][0]
-    gone = {root: tables[root].join(doomed.select(key), key, "left_semi")}
-    kept = {root: tables[root].join(doomed.select(key), key, "left_anti")}
-    for name in _children_last(tables):
-        links = [ref for ref in REFERENCES if ref.child == name and ref.parent in gone]
-        if name == root or not links:
-            kept.setdefault(name, tables[name])
-            continue
-        marked = tables[name]
-        for i, ref in enumerate(links):
-            keys = gone[ref.parent].select(F.col(ref.parent_key).alias(ref.column)).distinct()
-            marked = marked.join(keys.withColumn(f"_gone{i}", F.lit(True)), ref.column, "left")
-        hit = F.coalesce(*[F.col(f"_gone{i}") for i in range(len(links))], F.lit(False))
-        gone[name] = marked.where(hit).select(tables[name].columns)
-        kept[name] = marked.where(~hit).select(tables[name].columns)
-    return gone, kept
-
-
-def _children_last(tables: Mapping[str, DataFrame]) -> list[str]:
-    """Table names with every parent before its children."""
-    left, placed = set(tables), []
-    while left:
-        ready = sorted(n for n in left if not any(r.child == n and r.parent in left for r in REFERENCES))
-        placed += ready
-        left -= set(ready)
-    return placed
+    parents = {ref.parent for ref in references} | {root}
+    gone = _doomed_keys(tables, root, doomed, references, keys, parents)
+    deleted, kept = {}, {}
+    for name, rows in tables.items():
+        links = [ref for ref in references if ref.child == name and ref.parent in gone]
+        if name in gone:
+            key = list(keys[name])
+            deleted[name], kept[name] = rows.join(gone[name], key, "left_semi"), rows.join(gone[name], key, "left_anti")
+        elif name in parents or not links:
+            kept[name] = rows
+        else:
+            marked = rows
+            for i, ref in enumerate(links):
+                mark = gone[ref.parent].select(F.col(keys[ref.parent][0]).alias(ref.column), F.lit(True).alias(f"_gone{i}"))
+                marked = marked.join(mark, ref.column, "left")
+            hit = F.coalesce(*[F.col(f"_gone{i}") for i in range(len(links))], F.lit(False))
+            deleted[name], kept[name] = marked.where(hit).select(rows.columns), marked.where(~hit).select(rows.columns)
+    return deleted, kept
+
+
+def _doomed_keys(
+    tables: Mapping[str, DataFrame], root: str, doomed: DataFrame, references: Sequence[Reference],
+    keys: Mapping[str, Sequence[str]], parents: set[str],
+) -> dict[str, DataFrame]:
+    """The keys to delete of every table that has children, each written once."""
+    key = list(keys[root])
+    fresh = {root: cut(tables[root].select(*key).join(doomed.select(*key).distinct(), key, "left_semi"))}
+    gone = dict(fresh)
+    while fresh:
+        found: dict[str, list[DataFrame]] = {}
+        for ref in references:
+            if ref.parent in fresh and ref.child in tables and ref.child in parents:
+                # The column may be the child's own key.
+                rows = tables[ref.child].select(*[F.col(c).alias(f"_key{k}") for k, c in enumerate(keys[ref.child])], F.col(ref.column).alias("_ref"))
+                hit = rows.join(fresh[ref.parent].select(F.col(keys[ref.parent][0]).alias("_ref")), "_ref", "left_semi")
+                found.setdefault(ref.child, []).append(hit.select(*[F.col(f"_key{k}").alias(c) for k, c in enumerate(keys[ref.child])]))
+        fresh = {}
+        for name, parts in found.items():
+            new = union_all(parts).distinct()
+            if name in gone:
+                new = new.join(gone[name], list(keys[name]), "left_anti")
+            new = cut(new)
+            if not new.isEmpty():
+                fresh[name] = new
+                gone[name] = gone[name].unionByName(new) if name in gone else new
+    return gone
 
 
 def apply_defaults(rows: DataFrame, table: str, as_of: datetime, user: str | None = None) -> DataFrame:

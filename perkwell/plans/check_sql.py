@@ -190,6 +190,23 @@ def _redeem_walk(requests: str, orders: str) -> str:
         FROM walk w JOIN queue q ON q.customer_id = w.customer_id AND q.nr = w.nr + 1)"""
 
 
+# À la carte orders with their vouchers, which of these were paid for, and what that did to the customers.
+_FLOW = f"""
+    made AS (SELECT * FROM {_ALACARTE_ORDERS}),
+    asked AS (SELECT request_id, customer_id, promotion_id, request_id AS order_id FROM made WHERE discount > 0),
+    heads AS (SELECT request_id AS order_id, customer_id, total AS total_amount, CAST(0 AS DECIMAL(10,2)) AS discount_amount FROM made),
+    {_redeem_walk("asked", "heads")},
+    paid AS (SELECT w.customer_id, f.promotion_id, f.points_required AS points FROM walk w JOIN facts f ON f.request_id = w.request_id
+        WHERE w.hit)"""
+_SETTLED = """
+    settled AS (
+        SELECT c.customer_id, c.tier_id, c.points_balance AS old_balance, c.points_balance - CAST(s.points AS BIGINT) AS points_balance,
+            c.points_expiry_date, (SELECT arg_max(t.tier_id, t.points_required) FROM ly_membership_tiers t
+                WHERE t.points_required <= c.points_balance - s.points) AS reached
+        FROM ly_customers c JOIN (SELECT customer_id, sum(points) AS points FROM paid WHERE points IS NOT NULL GROUP BY customer_id) s
+            ON s.customer_id = c.customer_id)"""
+
+
 # Redemption on orders that several customers share: a request is judged once all earlier ones of its customer and of its order are.
 _SHARED_WAVES = """
     asked AS (
@@ -674,6 +691,15 @@ SQL: dict[str, str] = {
             CASE WHEN status = 'REDEEMED' THEN points END AS points_used,
             CAST(CASE WHEN status = 'REDEEMED' THEN price END AS DOUBLE) AS discount_value
         FROM ({_SEASONAL_OUTCOME})""",
+    "redeem_seasonal_redemptions": f"""
+        SELECT customer_id, promo AS promotion_id, order_id, points AS points_used, $now AS redemption_date,
+            'COMPLETED' AS redemption_status, item_id, CAST(price AS DOUBLE) AS discount_value
+        FROM ({_SEASONAL_OUTCOME}) WHERE status = 'REDEEMED'""",
+    "redeem_seasonal_ledger": f"""
+        SELECT customer_id, order_id, promo AS promotion_id, -points AS points_amount, 'REDEMPTION' AS transaction_type,
+            'Seasonal item redemption for setmeal ' || item_id AS description, $now AS transaction_date,
+            {_plus_months("$now", 12)} AS expiry_date
+        FROM ({_SEASONAL_OUTCOME}) WHERE status = 'REDEEMED'""",
     "redeem_seasonal_lines": f"""
         SELECT l.order_item_id, l.order_id, l.item_id, l.quantity, CAST(l.price AS DOUBLE) AS price,
             CAST(m.base_price AS DOUBLE) AS discount_applied
@@ -699,6 +725,15 @@ SQL: dict[str, str] = {
         SELECT customer_id, -points AS points_amount, 'EXPIRY' AS transaction_type,
             'Points expired from transaction ' || transaction_id AS description, $now AS transaction_date
         FROM walk WHERE hit""",
+    "expire_points_marked": f"""
+        WITH RECURSIVE {_EXPIRY_STEPS}
+        SELECT t.transaction_id, t.customer_id, CAST(NULL AS TIMESTAMP) AS expiry_date,
+            coalesce(t.description, '') || ' - EXPIRED' AS description
+        FROM walk w JOIN ly_point_transactions t ON t.transaction_id = w.transaction_id WHERE w.hit""",
+    "expire_points_totals": f"""
+        WITH RECURSIVE {_EXPIRY_STEPS}
+        SELECT CAST(coalesce(sum(points), 0) AS BIGINT) AS points_expired, CAST(count(*) AS BIGINT) AS entries_expired,
+            CAST(count(DISTINCT customer_id) AS BIGINT) AS customers_affected FROM walk WHERE hit""",
     "expire_points_balances": f"""
         WITH RECURSIVE {_EXPIRY_STEPS}
         SELECT customer_id, min(rest) AS points_balance, CAST(sum(points) AS BIGINT) AS points_expired,
@@ -831,6 +866,9 @@ SQL: dict[str, str] = {
     "realign_tiers": f"""
         SELECT * FROM (SELECT c.customer_id, c.tier_id AS old_tier_id, {_REACHED} AS new_tier_id, $now AS change_date,
             'ADMIN' AS change_reason FROM ly_customers c) WHERE new_tier_id <> old_tier_id""",
+    "realign_tiers_customers": f"""
+        SELECT customer_id, reached AS tier_id FROM (SELECT c.customer_id, c.tier_id, {_REACHED} AS reached FROM ly_customers c)
+        WHERE reached <> tier_id""",
     "append_from_select": """
         SELECT * FROM ly_point_transactions UNION ALL
         SELECT NULL, customer_id, NULL, NULL, 100, 'PURCHASE', $now - INTERVAL 60 DAY, 'Added purchase',
@@ -880,6 +918,11 @@ SQL: dict[str, str] = {
             'Birthday reward points' AS description, $now AS transaction_date, $now + INTERVAL 12 MONTH AS expiry_date
         FROM ly_customers c JOIN ly_membership_tiers t ON t.tier_id = c.tier_id
         WHERE month(c.birth_date) = month($now) AND day(c.birth_date) = day($now) AND t.birthday_bonus_points > 0""",
+    "birthday_bonus_audit": """
+        SELECT c.customer_id, 'BIRTHDAY' AS activity_type, $now AS activity_date, CAST(NULL AS VARCHAR) AS ip_address,
+            'Received ' || t.birthday_bonus_points || ' birthday points' AS details
+        FROM ly_customers c JOIN ly_membership_tiers t ON t.tier_id = c.tier_id
+        WHERE month(c.birth_date) = month($now) AND day(c.birth_date) = day($now) AND t.birthday_bonus_points > 0""",
     "points_cascade_customers": f"""
         WITH {_CASCADE}
         SELECT customer_id, old_balance, points_balance, points_expiry_date, coalesce(reached, tier_id) AS tier_id
@@ -928,6 +971,22 @@ SQL: dict[str, str] = {
             CAST(off AS DOUBLE) AS discount_amount, CAST(greatest(total - off, 0) AS DOUBLE) AS final_amount,
             payment_method, 'COMPLETED' AS status, CAST(items AS BIGINT) AS items
         FROM ended""",
+    "alacarte_flow_ledger": f"""
+        WITH RECURSIVE {_ALACARTE_PARTS}, {_FLOW}
+        SELECT customer_id, -points AS points_amount, 'REDEMPTION' AS transaction_type, $now AS transaction_date,
+            'Voucher redemption' AS description FROM paid WHERE points IS NOT NULL""",
+    "alacarte_flow_customers": f"""
+        WITH RECURSIVE {_ALACARTE_PARTS}, {_FLOW}, {_SETTLED}
+        SELECT customer_id, old_balance, points_balance, points_expiry_date, coalesce(reached, tier_id) AS tier_id FROM settled""",
+    "alacarte_flow_history": f"""
+        WITH RECURSIVE {_ALACARTE_PARTS}, {_FLOW}, {_SETTLED},
+        u AS (SELECT customer_id, tier_id AS old_tier_id, reached AS new_tier_id FROM settled WHERE reached <> tier_id)
+        SELECT u.customer_id, u.old_tier_id, u.new_tier_id, $now AS change_date, {_CHANGE_REASON} AS change_reason,
+            'SYSTEM' AS changed_by FROM u""",
+    "alacarte_flow_holdings": f"""
+        WITH RECURSIVE {_ALACARTE_PARTS}, {_FLOW}
+        SELECT h.customer_id, h.promotion_id, h.date_acquired, 'Y' AS is_used, $now AS used_date, h.acquisition_method
+        FROM ly_customer_promotions h WHERE (h.customer_id, h.promotion_id) IN (SELECT (customer_id, promotion_id) FROM paid)""",
     "ledger_stream": """
         SELECT c.customer_id, c.points_balance AS old_balance,
             c.points_balance + CAST(sum(t.points_amount) AS BIGINT) AS points_balance

@@ -10,6 +10,7 @@ from perkwell.functions.columns import MONEY
 from perkwell.operators.maintenance import mark_promo_used
 from perkwell.operators.meals import create_alacarte_orders
 from perkwell.operators.vouchers import redeem_vouchers
+from perkwell.plans.points_cascade import inserts_as_changes, points_cascade
 from perkwell.sources.checkpoints import cut
 
 
@@ -50,3 +51,22 @@ def place_alacarte_orders(
         "customer_promotions": mark_promo_used(redeemed["redemptions"], holdings, as_of),
         "activity": made["activity"].unionByName(redeemed["activity"]),
     }
+
+
+def place_and_settle(
+    requests: DataFrame, customers: DataFrame, items: DataFrame, promotions: DataFrame, holdings: DataFrame, ledger: DataFrame,
+    tiers: DataFrame, as_of: datetime,
+) -> dict[str, DataFrame]:
+    """Orders, their vouchers, and what the points spent on these set off: balances, expiry dates, tiers, history, new vouchers.
+
+    The jobs hand each other change sets. The ledger entries of the redemptions are written once; the upkeep
+    reads them as inserts. ``ledger`` is the ledger before the orders.
+    """
+    placed = place_alacarte_orders(requests, customers, items, promotions, holdings, as_of)
+    entries = cut(placed["point_transactions"])
+    after = ledger.unionByName(entries, allowMissingColumns=True)
+    settled = points_cascade(inserts_as_changes(entries), after, customers, tiers, promotions, holdings, as_of)
+    return {
+        **placed, "point_transactions": entries, "customers": settled["customers"],
+        "membership_history": settled["membership_history"], "new_promotions": settled["customer_promotions"],
+    }

@@ -235,6 +235,22 @@ def redeem_seasonal_lines(t):
     )["order_items"]
 
 
+def _seasonal_redemption(t):
+    return seasonal.redeem_seasonal(
+        t.seasonal_redeem_requests, t.customers, t.menu_items, t.orders, t.order_items, t.promotions, AS_OF
+    )
+
+
+@query
+def redeem_seasonal_redemptions(t):
+    return _seasonal_redemption(t)["redemptions"]
+
+
+@query
+def redeem_seasonal_ledger(t):
+    return _seasonal_redemption(t)["point_transactions"]
+
+
 @query
 def expire_seasonal_items(t):
     return seasonal.expire_seasonal_items(t.menu_items, t.promotions, AS_OF)["menu_items"]
@@ -263,6 +279,16 @@ def expire_points_balances(t):
     return membership.expire_points(t.point_transactions, t.customers, AS_OF)["balances"]
 
 
+@query
+def expire_points_marked(t):
+    return membership.expire_points(t.point_transactions, t.customers, AS_OF)["marked"]
+
+
+@query
+def expire_points_totals(t):
+    return membership.expire_points(t.point_transactions, t.customers, AS_OF)["totals"]
+
+
 @query
 def downgrade_tiers(t):
     return membership.downgrade_tiers(t.point_transactions, t.customers, t.membership_tiers, AS_OF)
@@ -404,6 +430,11 @@ def realign_tiers(t):
     return membership.realign_tiers(t.customers, t.membership_tiers, AS_OF)["membership_history"]
 
 
+@query
+def realign_tiers_customers(t):
+    return membership.realign_tiers(t.customers, t.membership_tiers, AS_OF)["customers"]
+
+
 @query
 def append_from_select(t):
     rows = t.customers.where("membership_status = 'PENDING'").select(
@@ -479,6 +510,11 @@ def birthday_bonus(t):
     ]
 
 
+@query
+def birthday_bonus_audit(t):
+    return maintenance.birthday_bonus(t.customers, t.membership_tiers, t.point_transactions, AS_OF)["activity"]
+
+
 @query
 def points_cascade_customers(t):
     return points_cascade.points_cascade(
@@ -510,6 +546,33 @@ def alacarte_order_flow(t):
     )["orders"].drop("promotion_id")
 
 
+def _settled(t):
+    return order_flow.place_and_settle(
+        t.alacarte_requests, t.customers, t.menu_items, t.promotions, t.customer_promotions, t.point_transactions,
+        t.membership_tiers, AS_OF,
+    )
+
+
+@query
+def alacarte_flow_ledger(t):
+    return _settled(t)["point_transactions"]
+
+
+@query
+def alacarte_flow_customers(t):
+    return _settled(t)["customers"]
+
+
+@query
+def alacarte_flow_history(t):
+    return _settled(t)["membership_history"]
+
+
+@query
+def alacarte_flow_holdings(t):
+    return _settled(t)["customer_promotions"]
+
+
 @query
 def ledger_stream(t):
     folder = upkeep.run_folder(t.spark, "ledger")

@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import pytest
@@ -5,7 +6,7 @@ from pyspark.sql import functions as F
 
 from perkwell.functions.tiers import with_highest_reached_tier, with_tier_by_points
 from perkwell.operators import integrity, maintenance
-from perkwell.schemas import TABLES
+from perkwell.schemas import TABLES, Reference
 from perkwell.sources import snapshots as files
 from seed import (
     CUSTOMERS, HOLDINGS, ITEMS, LEDGER, LOADED, ORDERS, TIERS, changed, promotions, seed_tables, table, tuples,
@@ -94,6 +95,31 @@ def test_cascade_from_a_tier_reaches_everything_below(t):
     assert integrity.fk_violations(kept).count() == 0
 
 
+def test_cascade_over_a_diamond_and_a_cycle(spark):
+    links = [("b", "a_id", "a"), ("c", "a_id", "a"), ("d", "b_id", "b"), ("d", "c_id", "c"), ("b", "d_id", "d"), ("leaf", "d_id", "d"), ("leaf", "b_id", "b")]
+    references = [Reference(*link) for link in links]
+    keys = {name: (f"{name}_id",) for name in ("a", "b", "c", "d", "leaf")}
+    rng = random.Random(2)
+    rows = {
+        "a": [{"a_id": k} for k in range(6)],
+        "b": [{"b_id": k, "a_id": rng.choice([None, *range(6)]), "d_id": rng.choice([None, *range(30)])} for k in range(30)],
+        "c": [{"c_id": k, "a_id": rng.choice([None, *range(6)])} for k in range(20)],
+        "d": [{"d_id": k, "b_id": rng.choice([None, *range(30)]), "c_id": rng.choice([None, *range(20)])} for k in range(30)],
+        "leaf": [{"leaf_id": k, "d_id": rng.choice([None, *range(30)]), "b_id": rng.choice([None, *range(30)])} for k in range(60)],
+    }
+    gone = {"a": {0}, "b": set(), "c": set(), "d": set(), "leaf": set()}
+    before = None
+    while before != sum(map(len, gone.values())):
+        before = sum(map(len, gone.values()))
+        for child, column, parent in links:
+            gone[child] |= {r[f"{child}_id"] for r in rows[child] if r[column] in gone[parent]}
+    tables = {n: spark.createDataFrame([tuple(r.values()) for r in rs], ", ".join(f"{c} long" for c in rs[0])) for n, rs in rows.items()}
+    deleted, kept = integrity.cascade_delete(tables, "a", tables["a"].where("a_id = 0"), references, keys)
+    for name in rows:
+        assert {r[0] for r in deleted[name].select(f"{name}_id").collect()} == gone[name]
+        assert deleted[name].count() + kept[name].count() == len(rows[name]) and kept[name].columns == tables[name].columns
+
+
 def test_apply_defaults(spark):
     rows = spark.createDataFrame([(1, "A", None)], "customer_id long, name string, points_balance long")
     got = integrity.apply_defaults(rows, "customers", LOADED).first()
