@@ -47,7 +47,7 @@ def op4_fingerprints(spark: SparkSession, directory: str) -> DataFrame:
 
 def page_captures(pages: DataFrame) -> DataFrame:
     """The pages as captures: the day of the fetch follows from the page id."""
-    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") * 7919 % 366).cast("int"))
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366 * 7919 % 366).cast("int"))
     return pages.select("page_id", "url", day.alias("fetched"))
 
 
@@ -346,10 +346,12 @@ WITH RECURSIVE plain AS (SELECT conv_id, turn, role, coalesce(text, '') AS text
   LEFT JOIN plain e ON e.conv_id = c.conv_id AND e.turn = c.turn - 2
 ), split AS (
   SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS place FROM mail
-), marked AS (SELECT *, regexp_extract(line, '^[ 	]*(?:>[ 	]?)+') AS mark FROM split
+), marked AS (SELECT *, regexp_extract(line, '^[ 	
+]*(?:>[ 	
+]?)+') AS mark FROM split
 ), lines AS (
   SELECT conv_id, turn, place, len(regexp_replace(mark, '[^>]', '', 'g')) AS level, line[len(mark) + 1:] AS line,
-    regexp_matches(line[len(mark) + 1:], '[^ 	
+    regexp_matches(line[len(mark) + 1:], '[^ 	
 ]') AS filled FROM marked
 ), begun AS (
   SELECT *, filled AND NOT coalesce(lag(filled) OVER w AND lag(level) OVER w = level, false) AS begins

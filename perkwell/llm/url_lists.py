@@ -5,7 +5,8 @@ or no longer listed (``remove``). A key is a host (which covers its subdomains)
 or a host and the beginning of a path, such as ``example.com/ads``. Entries of a
 key become validity intervals ``[valid_from, valid_to)``; an as-of join finds for
 each capture the interval of each of its keys that holds the day of the fetch.
-The longest listed key decides.
+The longest listed key decides. Only keys as long as some listed key are looked up, so a very long URL has no more
+of them than a short one.
 
 Edge cases: of several entries of one key on one day, ``allow`` goes before
 ``block`` before ``remove``; entries with a NULL part are ignored; a capture
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from perkwell.llm.common import let
 
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.\-]*://[^/?#]*/([^?#]*)"
@@ -29,18 +31,43 @@ def host_of(url: Column) -> Column:
     return F.rtrim(F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1)), F.lit("."))
 
 
-def list_keys(url: Column) -> Column:
-    """All keys a list may hold for a URL: the host, its parents, the host with beginnings of the path."""
-    host = host_of(url)
-    labels = F.split(host, r"\.")
-    parents = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(
-        F.slice(labels, i, F.size(labels)), "."
-    ))
-    path = F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1), "/"), lambda p: p != "")
-    deep = F.when(F.size(path) > 0, F.transform(F.sequence(F.lit(1), F.greatest(F.size(path), F.lit(1))), lambda i: F.concat(
-        host, F.lit("/"), F.array_join(F.slice(path, F.lit(1), i), "/")
-    ))).otherwise(F.array().cast("array<string>"))
-    return F.when(host == "", F.array().cast("array<string>")).otherwise(F.concat(parents, deep))
+def list_keys(url: Column, labels: Column | None = None, depths: Column | None = None) -> Column:
+    """All keys a list may hold for a URL: the host, its parents, the host with beginnings of the path.
+
+    With ``labels`` and ``depths`` only keys of so many host labels, and so many path segments, are made.
+    """
+    def keys(host: Column) -> Column:
+        return F.when(host == "", F.array().cast("array<string>")).otherwise(F.concat(parents(host), deep(host)))
+
+    def parents(host: Column) -> Column:
+        def made(parts: Column) -> Column:
+            sizes = F.sequence(F.size(parts), F.lit(1)) if labels is None else F.filter(labels, lambda n: n <= F.size(parts))
+            return F.transform(sizes, lambda n: F.array_join(F.slice(parts, F.size(parts) - n + 1, n), "."))
+
+        return let(F.split(host, r"\."), made)
+
+    def deep(host: Column) -> Column:
+        def made(path: Column) -> Column:
+            every = F.when(F.size(path) > 0, F.sequence(F.lit(1), F.greatest(F.size(path), F.lit(1)))).otherwise(F.array().cast("array<int>"))
+            sizes = every if depths is None else F.filter(depths, lambda n: (n > 0) & (n <= F.size(path)))
+            return F.transform(sizes, lambda n: F.concat(host, F.lit("/"), F.array_join(F.slice(path, F.lit(1), n), "/")))
+
+        return let(F.filter(F.split(F.regexp_extract(F.coalesce(url, F.lit("")), PATH, 1), "/"), lambda p: p != ""), made)
+
+    return let(host_of(url), keys)
+
+
+def listed_sizes(entries: DataFrame) -> tuple[Column, Column]:
+    """The numbers of host labels and of path segments that listed keys have, as two arrays.
+
+    A URL of any length has one beginning of each such depth, so its keys do not grow with it.
+    """
+    key = F.col("key")
+    sizes = entries.where(key.isNotNull()).agg(
+        F.collect_set(F.size(F.split(F.substring_index(key, "/", 1), r"\."))).alias("labels"),
+        F.collect_set(F.size(F.split(key, "/")) - 1).alias("depths"),
+    )
+    return sizes.select("labels").scalar(), sizes.select("depths").scalar()
 
 
 def intervals(entries: DataFrame) -> DataFrame:
@@ -66,9 +93,11 @@ def evaluate(captures: DataFrame, entries: DataFrame, salts: int = SALTS) -> Dat
 
     One host may hold a third of the captures, so its rows are dealt over ``salts`` parts.
     """
-    keyed = captures.select(
-        "page_id", "url", F.to_date("fetched").alias("fetched"), F.xxhash64("page_id", "url").alias("_row"),
-        F.posexplode_outer(list_keys(F.col("url"))).alias("_n", "_key"),
+    labels, depths = listed_sizes(entries)
+    sized = captures.select("page_id", "url", F.to_date("fetched").alias("fetched"), labels.alias("_labels"), depths.alias("_depths"))
+    keyed = sized.select(
+        "page_id", "url", "fetched", F.xxhash64("page_id", "url").alias("_row"),
+        F.posexplode_outer(list_keys(F.col("url"), F.col("_labels"), F.col("_depths"))).alias("_n", "_key"),
     )
     listed = intervals(entries).select(F.col("key").alias("_key"), "action", "valid_from", "valid_to")
     part = F.pmod("_row", F.lit(salts)).cast("int")

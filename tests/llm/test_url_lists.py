@@ -1,3 +1,4 @@
+import time
 from datetime import date
 
 from perkwell.llm import url_lists as ul
@@ -46,3 +47,15 @@ def test_equal_to_reading_the_log(spark):
     assert {r.page_id: r.n_captures for r in rows} == {p: 2 if p == 903 else 1 for p in expected}
     assert ul.evaluate(captures.limit(0), log).count() == 0
     assert {r.decision for r in ul.evaluate(captures, log.limit(0)).collect()} == {"unlisted"}
+
+
+def test_very_long_urls(spark):
+    day = date(2024, 1, 2)
+    deep = "http://h.ex.com/" + "/".join(f"s{k}" for k in range(32_000))
+    listed = "h.ex.com/" + "/".join(f"s{k}" for k in range(900))
+    urls = [(1, deep, day), (2, "http://" + "a." * 30_000 + "ex.com/s0/s1", day), (10**17, "http://h.ex.com/s0", day)]
+    entries = [("ex.com", "block", day), (listed, "allow", day), ("h.ex.com/s0/s1", "block", day)]
+    started = time.time()
+    rows = ul.evaluate(spark.createDataFrame(urls, "page_id long, url string, fetched date"), spark.createDataFrame(entries, "key string, action string, since date")).collect()
+    assert {r.page_id: (r.decision, r.entry) for r in rows} == {1: ("allowed", listed), 2: ("blocked", "ex.com"), 10**17: ("blocked", "ex.com")}
+    assert time.time() - started < 30
