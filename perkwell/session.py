@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a skewed join side even when the rows must be shuffled once more afterwards.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Rows of whole texts are large: fewer of them in what a Python worker gets at a time.
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
     # Remove checkpoint files once nothing reads from them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
