@@ -52,6 +52,8 @@ BANDS = 12
 ROWS = 4
 SAMPLES = BANDS * ROWS
 TABLE_BITS = 16
+# Words counted together before their counts leave the task.
+WORDS_TOGETHER = 1 << 18
 CHUNK = 1 << 14
 SALTS = 8
 # Pairs of one anchor that meet in a part of their own.
@@ -82,7 +84,18 @@ class WordWeights:
 
 def word_frequencies(docs: DataFrame) -> WordWeights:
     """Exact document counts of all words, of which those in at least one of ``RAREST`` documents are listed."""
+    def merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        word, place = np.unique(np.concatenate([w for w, _ in parts]), return_inverse=True)
+        return word, np.bincount(place, np.concatenate([d for _, d in parts]), minlength=len(word)).astype(np.int64)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def told() -> pa.RecordBatch:
+            word, df = merged(parts)
+            parts.clear()
+            return pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(df)], ["word", "df"])
+
         for batch in batches:
             for _, _, texts in text_batches(batch.column(0)):
                 hashes, bounds = word_hashes(*packed(texts))
@@ -90,8 +103,11 @@ def word_frequencies(docs: DataFrame) -> WordWeights:
                 order = np.lexsort((doc, hashes))
                 hashes, doc = hashes[order], doc[order]
                 new = np.concatenate([[True], (hashes[1:] != hashes[:-1]) | (doc[1:] != doc[:-1])]) if len(hashes) else np.zeros(0, bool)
-                word, df = np.unique(hashes[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(word.view(np.int64)), pa.array(df.astype(np.int64))], ["word", "df"])
+                parts.append(np.unique(hashes[new], return_counts=True))
+                if sum(len(w) for w, _ in parts) >= WORDS_TOGETHER:
+                    yield told()
+        if parts:
+            yield told()
 
     n = docs.count()
     counted = docs.select("text").mapInArrow(count, "word long, df long").groupBy("word").agg(F.sum("df").alias("df"))
