@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-SPREAD = 32
 SENT_ROWS = 100_000
 
 
@@ -13,7 +12,7 @@ def sent_if_few(side: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(side) if rows <= SENT_ROWS else side
 
 
-def spread_join(many: DataFrame, few: DataFrame, key: str, row_id: str, spread: int = SPREAD) -> DataFrame:
+def spread_join(many: DataFrame, few: DataFrame, key: str, row_id: str, spread: int) -> DataFrame:
     """Inner join on ``key`` where a single key may hold most rows of ``many``.
 
     Rows of ``many`` are dealt over ``spread`` parts of their key by a hash of
