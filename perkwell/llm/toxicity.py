@@ -15,6 +15,8 @@ as often; other columns are not read.
 
 from __future__ import annotations
 
+import bisect
+import itertools
 import re
 import unicodedata
 from collections import Counter
@@ -37,7 +39,6 @@ STARTERS = ("idiot", "moron", "loser", "scum", "worthless", "pathetic", "stupid"
 EXCEPTIONS = ("trash can", "trash bin", "trash bag", "clown fish", "clown nose", "stupid mistake")
 HOLD_PARTS, HOLD_PART = 4, 2
 SHORTEST, LONGEST = 4, 10
-LEXICON_ROWS = 2000
 # An entry is listed if its share of toxic documents is surely (so many standard deviations) above the least precision.
 DEVIATIONS, LEAST_PRECISION, KEPT_HITS = 1.64, 0.5, 0.9
 THRESHOLD = 0.3
@@ -69,7 +70,7 @@ def entries_of(words: str) -> set[str]:
 
 
 def mined(rows: DataFrame) -> dict[str, float]:
-    """Weights of the entries that tell toxic texts, from rows (text, label); at most ``LEXICON_ROWS``."""
+    """Weights of the entries that tell toxic texts, from rows (text, label), whose number bounds theirs."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             labels = batch.column(1).to_pylist()
@@ -100,7 +101,7 @@ def mined(rows: DataFrame) -> dict[str, float]:
     rated = counted.select("entry", weight.alias("weight"), "toxic", share.alias("share"), surely.alias("surely"))
     kept = rated.filter((F.col("surely") >= LEAST_PRECISION) | F.col("entry").isin([f" {word}" for word in STARTERS])).collect()
     best = sorted((r for r in kept if r["surely"] >= LEAST_PRECISION), key=lambda r: (-r["toxic"], len(r["entry"]), r["entry"]))
-    found = _pruned({r["entry"]: (r["weight"], r["toxic"], r["surely"]) for r in best[:LEXICON_ROWS]})
+    found = _pruned({r["entry"]: (r["weight"], r["toxic"], r["surely"]) for r in best})
     starters = {r["entry"]: r["weight"] for r in kept if r["surely"] < LEAST_PRECISION and r["share"] >= LEAST_PRECISION and r["weight"] > 0}
     return found | {e: w for e, w in starters.items() if not any(e.startswith(f) for f in found)}
 
@@ -142,9 +143,14 @@ def features(machine: ahocorasick.Automaton, text: str | None) -> tuple[float, f
     if len(machine):
         for end, (entry, weight) in machine.iter(words):
             (spared if weight is None else hits).append((end - len(entry) + 1, end, weight))
+    # The furthest end of all exceptions that begin at or before each of them, in order of their beginnings.
+    spared.sort()
+    begins = [start for start, _, _ in spared]
+    reach = list(itertools.accumulate((end for _, end, _ in spared), max))
     total = 0.0
     for start, end, weight in hits:
-        if not any(a <= start and end <= b + 1 for a, b, _ in spared):
+        before = bisect.bisect_right(begins, start)
+        if not before or reach[before - 1] + 1 < end:
             total += weight
     return float(total > 0), float(np.log1p(total)), float(np.log1p(100 * total / (words.count(" ") + 20)))
 

@@ -1,3 +1,6 @@
+import random
+import re
+import time
 import zlib
 
 import numpy as np
@@ -42,6 +45,28 @@ def labelled(spark, documents):
     return docs, labels
 
 
+def test_exceptions_equal_testing_every_pair():
+    rng = random.Random(1)
+    model = ToxicityModel({" trash": 1.0, " clown": 2.0, " loser ": 0.5}, (0, 0, 0, 0))
+    machine = model.automaton()
+    for _ in range(200):
+        text = " ".join(rng.choices(["trash", "can", "clown", "fish", "loser", "trash can", "trashcan", "nose", "x"], k=rng.randrange(12)))
+        words, hits, spared = folded(text), [], []
+        for entry, weight in model.lexicon.items():
+            hits += [(m.start(), m.end() - 1, weight) for m in re.finditer(f"(?={entry})", words) for m in [re.compile(entry).match(words, m.start())]]
+        for phrase in model.exceptions:
+            spared += [(m.start(), m.start() + len(phrase)) for m in re.finditer(f"(?= {phrase})", words)]
+        total = sum(w for a, b, w in hits if not any(p <= a and b <= q + 1 for p, q in spared))
+        assert features(machine, text)[1] == pytest.approx(np.log1p(total))
+
+
+def test_a_long_text_full_of_exceptions_is_quick():
+    machine = ToxicityModel({" trash": 1.0}, (0, 0, 0, 0)).automaton()
+    started = time.process_time()
+    assert features(machine, "trash can " * 100_000)[0] == 0
+    assert time.process_time() - started < 2
+
+
 def held(parts, part, n):
     return {k: zlib.crc32(str(k).encode()) % parts == part for k in range(n)}
 
