@@ -2,6 +2,9 @@
 
 import random
 
+from pyspark.sql import functions as F
+
+from perkwell.operators import vouchers
 from perkwell.operators.vouchers import offers_not_held
 
 
@@ -31,3 +34,14 @@ def test_a_hundred_thousand_offers(spark):
         0: 20 * (50_000 - 2_000), 1: 20 * (75_000 - 1_000)}
     plan = fresh._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_tasks_follow_the_pairs_given(spark, monkeypatch):
+    monkeypatch.setattr(vouchers, "PAIRS_TOGETHER", 100_000, raising=False)
+    people = spark.range(2_000).selectExpr("id AS customer_id", "id % 2 AS tier_id")
+    offers = spark.range(3_000).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id % 2 END AS tier_id", "id AS promotion_id")
+    held = spark.range(2_000).selectExpr("id AS customer_id", "2 * id AS promotion_id")
+    fresh = vouchers.offers_not_held(people, spark.range(2).withColumnRenamed("id", "tier_id"), offers, held)
+    tasks = [r["n"] for r in fresh.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    want = {(c, p) for c in range(2_000) for p in range(3_000) if (p % 3 == 0 or p % 2 == c % 2) and p != 2 * c}
+    assert sum(tasks) == len(want) and len(tasks) > 20 and max(tasks) < 1_000_000
