@@ -10,6 +10,9 @@ lower bounds cover is served, one that an upper bound does not cover is refused.
 all its keys has equal bounds, so a wave decides at least all those and usually far more: of one key, all up
 to the first that might not fit. Waves go on over the undecided requests only, until there are none.
 
+Budgets that cover all that is ever asked of them refuse nobody, whatever the order. They are found first, by one sum per
+key, and only requests with another budget go through the waves.
+
 Bounds are sums over earlier requests of a key. Each key's requests are range-partitioned into ordered blocks once, and
 a wave adds up per block and then within blocks, so a key that most requests share is never one group.
 
@@ -20,12 +23,14 @@ turn. A request sure to be refused for a later budget draws nothing, but is kept
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from perkwell.operators.ordering import BLOCK, PLACE, place_in_order
-from perkwell.sources.checkpoints import cut
+from perkwell.sources.checkpoints import cut, written
 
 OPEN, BARRED, SERVED, SETTLED = "open", "barred", "served", "settled"
 UNKNOWN = "?"
@@ -49,19 +54,28 @@ def serve_in_order(requests: DataFrame, order: Sequence[str], budgets: Sequence[
     ``order`` is the order of service and must be total. Amounts are whole and not negative. ``late`` names a
     column with a reason to refuse that is looked at after all budgets; such a request draws nothing.
     """
-    rows = requests
+    asked = requests
+    for k, budget in enumerate(budgets):
+        asked = _with_tight_key(asked, k, budget)
+    covered = reduce(and_, [F.col(_tight(k)).isNull() for k in range(len(budgets))])
+    reason = F.lit(None).cast("string") if late is None else F.col(late)
+    settled = asked.where(covered).select(*requests.columns, reason.alias("reason"))
+    rows = cut(asked.where(~covered))
+    if rows.isEmpty():
+        return settled
+    budgets = [replace(budget, key=_tight(k)) for k, budget in enumerate(budgets)]
     for k, budget in enumerate(budgets):
         rows = _placed(rows, k, budget, order)
     state = F.lit(OPEN) if late is None else F.when(F.col(late).isNull(), OPEN).otherwise(BARRED)
     live = rows.withColumns({"_state": state, "reason": F.lit(None).cast("string"), **{
         _left(k): F.col(b.limit).cast("long") for k, b in enumerate(budgets)
     }})
-    decided: list[DataFrame] = []
+    decided = [settled]
     while True:
         wave = cut(_wave(live, budgets, late))
         decided.append(wave.where(F.col("_state").isin(SERVED, SETTLED)).select(*requests.columns, "reason"))
         if len(decided) == WAVES_TOGETHER:
-            decided = [cut(_union(decided))]
+            decided = [settled, cut(_union(decided[1:]))]
         # What was served in this wave is still to be taken off what later requests find.
         live = wave.where(F.col("_state") != SETTLED)
         if live.where(F.col("_state") != SERVED).isEmpty():
@@ -83,6 +97,19 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
     return out
 
 
+def _tight(k: int) -> str:
+    return f"_tight{k}"
+
+
+def _with_tight_key(rows: DataFrame, k: int, budget: Budget) -> DataFrame:
+    """Add the key of a budget where its requests together ask for more than there is, else NULL."""
+    sums = rows.where(F.col(budget.key).isNotNull()).groupBy(F.col(budget.key).alias(_tight(k))).agg(
+        F.sum(F.col(budget.amount).cast("decimal(38,0)")).alias("_asked"), F.min(F.col(budget.limit).cast("long")).alias("_least")
+    )
+    tight = written(sums.where(~F.coalesce(F.col("_asked") <= F.col("_least"), F.lit(False))).select(_tight(k)))
+    return rows.join(tight, F.col(budget.key) == F.col(_tight(k)), "left")
+
+
 def _left(k: int) -> str:
     return f"_left{k}"
 

@@ -49,3 +49,13 @@ def test_a_hot_budget_takes_few_waves(spark, monkeypatch):
     rows = spark.range(200_000).selectExpr("id AS n", "0L AS a", "CAST(100 * (1 + id % 3) AS LONG) AS x", "5000000L AS la")
     got = serve_in_order(rows, ["n"], [BUDGETS[0]])
     assert got.where("reason IS NULL").selectExpr("sum(x)").first()[0] <= 5_000_000 and len(waves) < 10
+
+
+def test_only_tight_budgets_go_through_the_waves(spark, monkeypatch):
+    met = []
+    monkeypatch.setattr(shared_budgets, "_wave", lambda live, *a, was=shared_budgets._wave: met.append(live.count()) or was(live, *a))
+    # Customer 0 asks for more than there is, and meets customer 1 in an order with room for both.
+    rows = [(n, n % 50, 10, 35 if n % 50 == 0 else 40, n % 50 // 2, 5, 1000, None, 0, 0, "LATE" if n == 7 else None) for n in range(200)]
+    got = serve_in_order(spark.createDataFrame(rows, SCHEMA), ["n"], BUDGETS, late="late").collect()
+    assert {r.n: r.reason for r in got} == loop(rows) and len(got) == len(rows)
+    assert max(met) == 4
