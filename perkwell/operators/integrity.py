@@ -14,7 +14,7 @@ from perkwell.operators.ordering import BLOCK, block_offsets, place_in_order, ro
 from perkwell.schemas import (
     DEFAULTS, FIRST_IDS, NOW, PRIMARY_KEYS, REFERENCES, RULES, SCHEMAS, UNIQUE_COLUMNS, USER, Reference,
 )
-from perkwell.sources.checkpoints import cut, written
+from perkwell.sources.checkpoints import cut
 
 
 def row_key(table: str) -> Column:
@@ -65,26 +65,23 @@ def fk_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """Child rows whose key has no parent, as (table_name, column_name, row_key, missing_key).
 
     Keys are made distinct where the rows are read, so a key that many rows share meets
-    the parents once. The missing keys of all references are written in one pass, so their size is known before rows are
-    looked up: while they are few, rows are not shuffled by a key that may have few values.
+    the parents once; only rows of the few missing keys are then looked up.
     """
-    links = [ref for ref in REFERENCES if ref.child in tables and ref.parent in tables]
-    orphans = []
-    for k, ref in enumerate(links):
-        parents = tables[ref.parent].select(F.col(ref.parent_key).alias(ref.column))
-        keys = tables[ref.child].select(ref.column).where(F.col(ref.column).isNotNull()).distinct()
-        orphans.append(keys.join(parents, ref.column, "left_anti").select(
-            F.lit(k).alias("_ref"), F.col(ref.column).cast("string").alias("_missing")
-        ))
-    missing = written(union_all(orphans))
-    return union_all([
-        tables[ref.child].join(
-            missing.where(F.col("_ref") == k).select("_missing"), F.col(ref.column).cast("string") == F.col("_missing"), "left_semi"
-        ).select(
-            F.lit(ref.child).alias("table_name"), F.lit(ref.column).alias("column_name"),
-            row_key(ref.child).alias("row_key"), F.col(ref.column).alias("missing_key"),
-        ) for k, ref in enumerate(links)
-    ])
+    parts = []
+    for ref in REFERENCES:
+        if ref.child in tables and ref.parent in tables:
+            missing = F.col(ref.column)
+            parents = tables[ref.parent].select(F.col(ref.parent_key).alias(ref.column))
+            children = tables[ref.child].where(missing.isNotNull())
+            orphans = children.select(ref.column).distinct().join(parents, ref.column, "left_anti")
+            parts.append(
+                children.join(orphans, ref.column, "left_semi")
+                .select(
+                    F.lit(ref.child).alias("table_name"), F.lit(ref.column).alias("column_name"),
+                    row_key(ref.child).alias("row_key"), missing.alias("missing_key"),
+                )
+            )
+    return union_all(parts)
 
 
 def unique_violations(tables: Mapping[str, DataFrame]) -> DataFrame:
