@@ -14,7 +14,9 @@ knows its smallest document.
 Documents are packed into parts of about ``PART_BYTES``; a part names each
 minimizer and each segment once, however many of its documents hold it, so a passage
 that a third of all documents share costs a bucket one entry per part. Numbers of
-parts and buckets follow the amount of text. A minimizer with very many segments is
+parts and buckets follow the amount of text; from ``LEAST_BUCKETS`` on there are fewer of them, larger ones, as
+each part writes to each bucket and what a row costs besides its bytes grows with parts times buckets. A bucket
+is therefore transformed in portions of whole minimizers. A minimizer with very many segments is
 divided by a second minimizer of each string, taken in another order of the hashes, so the
 many surroundings of a frequent piece spread over buckets. Where a minimizer has a single different segment, all
 its strings are that segment's, and no transform is needed.
@@ -27,6 +29,7 @@ an empty table gives an empty result; other columns are not read.
 
 from __future__ import annotations
 
+import itertools
 import struct
 from collections.abc import Iterator
 
@@ -40,8 +43,14 @@ from perkwell.llm.textbytes import mixed, slices
 LENGTH = 50
 SEED = 16
 PART_BYTES = 1 << 23
-# So that the different segments of a bucket usually stay below 2^21 bytes, where they sort fastest.
+# Texts that are hashed at a time: what is made of them stays in the processor's cache.
+SLICE_BYTES = 1 << 18
+# With few parts, so that there are buckets for all tasks; of more than LEAST_BUCKETS so many make one.
 BUCKETS_PER_PART = 4
+LEAST_BUCKETS = 256
+BUCKETS_TOGETHER = 8
+# Bytes of different segments that are transformed at a time, about.
+PORTION_BYTES = 1 << 18
 # A minimizer with more segments than about this is divided; a power of two.
 HOT_SEGMENTS = 1 << 12
 # Where a part has a minimizer so often, its different segments are counted.
@@ -62,8 +71,9 @@ def _seed_hashes(data: np.ndarray) -> np.ndarray:
     """Hash of the ``SEED`` bytes from each position, by doubling the hashed length."""
     value, width, factor = data.astype(np.uint64), 1, _FACTOR
     while width < SEED:
-        value = value[:-width] * np.uint64(factor) + value[width:]
-        width, factor = width * 2, factor * factor & 0xFFFFFFFFFFFFFFFF
+        doubled = value[:-width] * np.uint64(factor)
+        doubled += value[width:]
+        value, width, factor = doubled, width * 2, factor * factor & 0xFFFFFFFFFFFFFFFF
     # The low bits stay free for notes.
     return mixed(value) | np.uint64((1 << COUNT_BITS) - 1)
 
@@ -81,7 +91,7 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
 
     Documents are numbered from 0 over all texts; start and end count within the joined bytes.
     """
-    for first, last in slices([len(t) for t in texts]):
+    for first, last in slices([len(t) for t in texts], SLICE_BYTES):
         joined = b"".join(texts[first:last])
         if len(joined) < LENGTH:
             continue
@@ -101,6 +111,11 @@ def segments(texts: list[bytes]) -> Iterator[tuple[bytes, np.ndarray, np.ndarray
             yield joined, doc[begins] + first, start, end, value[begins], seeds
 
 
+def buckets_of(parts: int) -> int:
+    buckets = parts * BUCKETS_PER_PART
+    return max(min(buckets, LEAST_BUCKETS), buckets // BUCKETS_TOGETHER)
+
+
 def _bucket(group: np.ndarray, buckets: int) -> np.ndarray:
     return (mixed(group) % np.uint64(buckets)).astype(np.int64)
 
@@ -189,7 +204,8 @@ def _shared(hot_segments: int):
         hot = np.repeat(often > hot_segments, np.diff(np.concatenate([first, [len(value)]])))
         mine, told = np.zeros(len(value), bool), np.zeros(len(value), np.uint64)
         mine[order], told[order] = shared, plain << np.uint64(COUNT_BITS) | hot.astype(np.uint64)
-        found = [told[owner == k][mine[owner == k]] for k in range(len(lists))]
+        edges = np.cumsum([0, *map(len, lists)])
+        found = [told[a:b][mine[a:b]] for a, b in itertools.pairwise(edges.tolist())]
         keep = [k for k, x in enumerate(found) if len(x)]
         bucket = table.column("bucket")[0].as_py()
         return _rows([parts[k] for k in keep], 0, [bucket] * len(keep), [found[k].tobytes() for k in keep])
@@ -200,19 +216,35 @@ def _shared(hot_segments: int):
 # ---- equal strings of a bucket -------------------------------------------------------
 
 
+def _numbered(pieces: list[bytes], known: dict[bytes, int], seen: int) -> np.ndarray:
+    """For each piece the number of its first occurrence; ``seen`` pieces were numbered before."""
+    return np.fromiter(map(known.setdefault, pieces, itertools.count(seen)), np.int64, len(pieces))
+
+
+def _dense(known: dict[bytes, int], numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the first occurrence of each different piece, and which of them each piece is."""
+    firsts = np.fromiter(known.values(), np.int64, len(known))
+    which = np.empty(len(numbers), np.int64)
+    which[firsts] = np.arange(len(firsts))
+    return firsts, which[numbers]
+
+
+def _joint(arrays: list[np.ndarray], kind: type) -> np.ndarray:
+    return np.concatenate([np.zeros(0, kind), *arrays])
+
+
 def _known_segments(texts: list[bytes], ids: np.ndarray, notes: pa.Table, buckets: int):
-    """The different shared segments of a part in each bucket, and where they occur.
+    """The different shared segments of a part by bucket, and where they occur.
 
-    Gives {bucket: {segment: number}}, the smallest document and the group of each segment in the same
-    order, and per run of texts the joined bytes' document, start, bucket and number arrays.
+    Gives the segments, and the bucket, the smallest document and the tag of the group of each,
+    and per run of texts the document, start and number arrays of its segments.
     """
     lists = [np.frombuffer(p, np.uint64) for k, p in zip(notes.column("kind").to_pylist(), notes.column("payload").to_pylist(), strict=True) if k == 0]
     told = np.sort(np.concatenate(lists)) if lists else np.zeros(0, np.uint64)
     shared, hot = told >> np.uint64(COUNT_BITS), (told & np.uint64(1)).astype(bool)
-    names: dict[int, dict[bytes, int]] = {}
-    least: dict[int, list[int]] = {}
-    groups: dict[int, list[int]] = {}
-    places = []
+    # Equal segments have one group, so they can be told apart over all buckets at once.
+    known: dict[bytes, int] = {}
+    places, groups, numbers, seen = [], [], [], 0
     for joined, doc, start, end, value, _ in segments(texts) if len(shared) else ():
         plain = value >> np.uint64(COUNT_BITS)
         at = np.minimum(np.searchsorted(shared, plain), len(shared) - 1)
@@ -223,36 +255,41 @@ def _known_segments(texts: list[bytes], ids: np.ndarray, notes: pa.Table, bucket
         doc, start, end, group = (x[usual] for x in (doc, start, end, plain))
         if cut:
             doc, start, end, group = (np.concatenate(x) for x in zip((doc, start, end, group), cut, strict=True))
-        bucket, tag = _bucket(group, buckets), (mixed(group) >> np.uint64(32)).tolist()
-        number = np.empty(len(doc), np.int64)
-        owner = ids[doc].tolist()
-        for k, (b, s, e) in enumerate(zip(bucket.tolist(), start.tolist(), end.tolist(), strict=True)):
-            known = names.setdefault(b, {})
-            at = known.setdefault(joined[s:e], len(known))
-            number[k] = at
-            mine = least.setdefault(b, [])
-            if at == len(mine):
-                mine.append(owner[k])
-                groups.setdefault(b, []).append(tag[k])
-            elif owner[k] < mine[at]:
-                mine[at] = owner[k]
-        places.append((doc, start, bucket, number))
-    return names, least, groups, places
+        pieces = [joined[s:e] for s, e in zip(start.tolist(), end.tolist(), strict=True)]
+        numbers.append(_numbered(pieces, known, seen))
+        groups.append(group)
+        places.append((doc, start))
+        seen += len(pieces)
+    firsts, number = _dense(known, _joint(numbers, np.int64))
+    group = _joint(groups, np.uint64)[firsts]
+    least = np.full(len(firsts), NO_ID)
+    np.minimum.at(least, number, ids[_joint([doc for doc, _ in places], np.int64)])
+    bucket = _bucket(group, buckets)
+    order = np.argsort(bucket, kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    tag = (mixed(group) >> np.uint64(32)).astype(np.uint32)
+    segment = list(known)
+    ends = np.cumsum([0, *map(len, numbers)]).tolist()
+    number = rank[number]
+    return [segment[k] for k in order.tolist()], bucket[order], least[order], tag[order], [
+        (doc, start, number[a:b]) for (doc, start), (a, b) in zip(places, itertools.pairwise(ends), strict=True)
+    ]
 
 
 def _segment_rows(buckets: int):
     def run(docs: pa.Table, notes: pa.Table) -> pa.Table:
         if not docs.num_rows or not notes.num_rows:
             return _rows([], 1, [], [])
-        names, least, groups, _ = _known_segments(*_texts(docs), notes, buckets)
+        strings, bucket, least, tags, _ = _known_segments(*_texts(docs), notes, buckets)
         pack = zstandard.ZstdCompressor(level=3).compress
-        part, filled = docs.column("part")[0].as_py(), sorted(names)
+        filled, edges = np.unique(bucket, return_index=True)
         payload = []
-        for b in filled:
-            sizes = np.array([len(s) for s in names[b]], np.uint32)
-            head = struct.pack("<q", len(sizes)) + np.array(least[b], np.int64).tobytes() + sizes.tobytes() + np.array(groups[b], np.uint32).tobytes()
-            payload.append(pack(head + b"".join(names[b])))
-        return _rows([part] * len(filled), 1, filled, payload)
+        for a, b in itertools.pairwise([*edges.tolist(), len(strings)]):
+            sizes = np.array([len(s) for s in strings[a:b]], np.uint32)
+            head = struct.pack("<q", b - a) + least[a:b].tobytes() + sizes.tobytes() + tags[a:b].tobytes()
+            payload.append(pack(head + b"".join(strings[a:b])))
+        return _rows([docs.column("part")[0].as_py()] * len(filled), 1, filled.tolist(), payload)
 
     return run
 
@@ -374,6 +411,16 @@ def earliest(strings: list[bytes], docs: np.ndarray) -> tuple[np.ndarray, np.nda
     return out, begin
 
 
+def _portions(several: np.ndarray, lengths: np.ndarray, groups: np.ndarray) -> list[np.ndarray]:
+    """Segments in the order of their groups, cut between groups into portions of about ``PORTION_BYTES``."""
+    if not len(several):
+        return []
+    group = groups[several]
+    first = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+    before = (np.cumsum(lengths[several]) - lengths[several])[first] // PORTION_BYTES
+    return np.split(several, first[1:][before[1:] != before[:-1]])
+
+
 def _runs(strings: list[bytes], docs: np.ndarray, groups: np.ndarray) -> tuple[np.ndarray, ...]:
     """Runs of ``LENGTH``-byte strings with one smallest document: segment, first byte, last byte behind, document.
 
@@ -383,18 +430,17 @@ def _runs(strings: list[bytes], docs: np.ndarray, groups: np.ndarray) -> tuple[n
     alone = size[group] == 1
     lonely, several = np.flatnonzero(alone), np.flatnonzero(~alone)
     lengths = np.array([len(s) for s in strings])
-    run_of, run_from, run_to, run_doc = lonely, np.zeros(len(lonely), np.int64), lengths[lonely], docs[lonely]
-    if len(several):
-        first, begin = earliest([strings[k] for k in several.tolist()], docs[several])
-        counts = lengths[several] - LENGTH + 1
-        inside = np.repeat(np.arange(len(several)), counts)
+    runs = [(lonely, np.zeros(len(lonely), np.int64), lengths[lonely], docs[lonely])]
+    for own in _portions(several[np.argsort(groups[several], kind="stable")], lengths, groups):
+        first, begin = earliest([strings[k] for k in own.tolist()], docs[own])
+        counts = lengths[own] - LENGTH + 1
+        inside = np.repeat(np.arange(len(own)), counts)
         offset = np.arange(len(inside)) - np.repeat(np.cumsum(counts) - counts, counts)
         value = first[begin[inside] + offset]
         starts = np.flatnonzero(np.concatenate([[True], (value[1:] != value[:-1]) | (inside[1:] != inside[:-1])]))
         stops = np.concatenate([starts[1:], [len(inside)]]) - 1
-        run_of = np.concatenate([run_of, several[inside[starts]]])
-        run_from, run_to = np.concatenate([run_from, offset[starts]]), np.concatenate([run_to, offset[stops] + LENGTH])
-        run_doc = np.concatenate([run_doc, value[starts]])
+        runs.append((own[inside[starts]], offset[starts], offset[stops] + LENGTH, value[starts]))
+    run_of, run_from, run_to, run_doc = (np.concatenate(x) for x in zip(*runs, strict=True))
     order = np.argsort(run_of, kind="stable")
     return run_of[order], run_from[order], run_to[order], run_doc[order]
 
@@ -404,55 +450,57 @@ def _meet(table: pa.Table) -> pa.Table:
     unpack = zstandard.ZstdDecompressor().decompress
     parts = table.column("part").to_pylist()
     known: dict[bytes, int] = {}
-    least: list[int] = []
-    groups: list[int] = []
-    held = []
+    held, owners, marks, seen = [], [], [], 0
     for packed in table.column("payload").to_pylist():
         raw = unpack(packed)
         (n,) = struct.unpack_from("<q", raw)
-        docs = np.frombuffer(raw, np.int64, n, 8).tolist()
-        ends = np.cumsum(np.frombuffer(raw, np.uint32, n, 8 + 8 * n), dtype=np.int64) + 8 + 16 * n
-        tags = np.frombuffer(raw, np.uint32, n, 8 + 12 * n).tolist()
-        begin, numbers = 8 + 16 * n, []
-        for end, doc, tag in zip(ends.tolist(), docs, tags, strict=True):
-            at = known.setdefault(raw[begin:end], len(known))
-            if at == len(least):
-                least.append(doc)
-                groups.append(tag)
-            elif doc < least[at]:
-                least[at] = doc
-            numbers.append(at)
-            begin = end
-        held.append(np.array(numbers))
+        owners.append(np.frombuffer(raw, np.int64, n, 8))
+        ends = (np.cumsum(np.frombuffer(raw, np.uint32, n, 8 + 8 * n), dtype=np.int64) + 8 + 16 * n).tolist()
+        marks.append(np.frombuffer(raw, np.uint32, n, 8 + 12 * n))
+        pieces = [raw[a:b] for a, b in itertools.pairwise([8 + 16 * n, *ends])]
+        held.append(_numbered(pieces, known, seen))
+        seen += n
+    firsts, number = _dense(known, np.concatenate(held))
+    least = np.full(len(firsts), NO_ID)
+    np.minimum.at(least, number, np.concatenate(owners))
     strings = list(known)
     del known
-    run_of, run_from, run_to, run_doc = _runs(strings, np.array(least, np.int64), np.array(groups, np.uint32))
+    run_of, run_from, run_to, run_doc = _runs(strings, least, np.concatenate(marks)[firsts])
     edges = np.searchsorted(run_of, np.arange(len(strings) + 1))
     pack = zstandard.ZstdCompressor(level=1).compress
     payload = []
-    for numbers in held:
-        n_runs = edges[numbers + 1] - edges[numbers]
-        at = np.arange(n_runs.sum()) - np.repeat(np.cumsum(n_runs) - n_runs, n_runs) + np.repeat(edges[numbers], n_runs)
+    n_runs = edges[number + 1] - edges[number]
+    last_run = np.cumsum(n_runs)
+    at = np.arange(n_runs.sum()) + np.repeat(edges[number] - last_run + n_runs, n_runs)
+    run_from, run_to, run_doc = run_from[at], run_to[at], run_doc[at]
+    # Of each part: its segments, and their runs.
+    stops = np.cumsum([len(x) for x in held])
+    run_stops = np.concatenate([[0], last_run])[stops]
+    begin = run_begin = 0
+    for end, run_end in zip(stops.tolist(), run_stops.tolist(), strict=True):
         payload.append(pack(
-            struct.pack("<qq", len(numbers), len(at)) + n_runs.astype(np.int64).tobytes()
-            + run_from[at].astype(np.int64).tobytes() + run_to[at].astype(np.int64).tobytes() + run_doc[at].tobytes()
+            struct.pack("<qq", end - begin, run_end - run_begin) + n_runs[begin:end].tobytes()
+            + b"".join(x[run_begin:run_end].tobytes() for x in (run_from, run_to, run_doc))
         ))
+        begin, run_begin = end, run_end
     return _rows(parts, 1, [table.column("bucket")[0].as_py()] * len(parts), payload)
 
 
 # ---- removal -------------------------------------------------------------------------
 
 
-def _answers(notes: pa.Table) -> dict[int, tuple[np.ndarray, ...]]:
+def _answers(notes: pa.Table) -> tuple[np.ndarray, ...]:
+    """First run and number of runs of each segment of a part, and start, end and document of each run, over all buckets in order."""
     unpack = zstandard.ZstdDecompressor().decompress
-    out = {}
-    for kind, bucket, packed in zip(*(notes.column(c).to_pylist() for c in ("kind", "bucket", "payload")), strict=True):
-        if kind == 1:
-            raw = unpack(packed)
-            n, m = struct.unpack_from("<qq", raw)
-            n_runs = np.frombuffer(raw, np.int64, n, 16)
-            out[bucket] = (np.cumsum(n_runs) - n_runs, n_runs, *(np.frombuffer(raw, np.int64, m, 16 + 8 * (n + k * m)) for k in range(3)))
-    return out
+    told = [x for x in zip(*(notes.column(c).to_pylist() for c in ("bucket", "kind", "payload")), strict=True) if x[1] == 1]
+    counts, runs = [], []
+    for _, _, packed in sorted(told):
+        raw = unpack(packed)
+        n, m = struct.unpack_from("<qq", raw)
+        counts.append(np.frombuffer(raw, np.int64, n, 16))
+        runs.append([np.frombuffer(raw, np.int64, m, 16 + 8 * (n + k * m)) for k in range(3)])
+    n_runs = _joint(counts, np.int64)
+    return np.cumsum(n_runs) - n_runs, n_runs, *(_joint([x[k] for x in runs], np.int64) for k in range(3))
 
 
 def _remove(buckets: int):
@@ -477,23 +525,19 @@ def _remove(buckets: int):
     return run
 
 
-def _mark(removed: list, texts: list[bytes], ids: np.ndarray, places: list, answers: dict) -> None:
+def _mark(removed: list, texts: list[bytes], ids: np.ndarray, places: list, answers: tuple[np.ndarray, ...]) -> None:
     """Merge what each segment loses in each document to the spans of that document."""
     sizes = np.array([len(t) for t in texts])
     first_of = np.cumsum(sizes) - sizes
-    for (first, last), (doc, start, bucket, number) in zip(_joined(texts), places, strict=True):
+    base, n_runs, run_from, run_to, run_doc = answers
+    for (first, last), (doc, start, number) in zip(_joined(texts), places, strict=True):
         change = np.zeros(int(sizes[first:last].sum()) + 1, np.int32)
-        order = np.argsort(bucket, kind="stable")
-        edges = np.flatnonzero(np.concatenate([[True], np.diff(bucket[order]) != 0, [True]])) if len(order) else []
-        for a, b in zip(edges[:-1], edges[1:], strict=True):
-            rows = order[a:b]
-            base, n_runs, run_from, run_to, run_doc = answers[int(bucket[rows[0]])]
-            count = n_runs[number[rows]]
-            at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(base[number[rows]], count)
-            whose = np.repeat(rows, count)
-            later = run_doc[at] < ids[doc[whose]]
-            np.add.at(change, start[whose][later] + run_from[at][later], 1)
-            np.add.at(change, start[whose][later] + run_to[at][later], -1)
+        count = n_runs[number]
+        at = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(base[number], count)
+        whose = np.repeat(np.arange(len(number)), count)
+        later = run_doc[at] < ids[doc[whose]]
+        np.add.at(change, start[whose][later] + run_from[at][later], 1)
+        np.add.at(change, start[whose][later] + run_to[at][later], -1)
         covered = np.concatenate([[False], np.cumsum(change[:-1]) > 0, [False]])
         for k in range(first, last):
             a = int(first_of[k] - first_of[first])
@@ -508,14 +552,14 @@ def _mark(removed: list, texts: list[bytes], ids: np.ndarray, places: list, answ
 def _joined(texts: list[bytes]) -> list[tuple[int, int]]:
     """The runs of texts for which ``segments`` gives anything."""
     sizes = [len(t) for t in texts]
-    return [(a, b) for a, b in slices(sizes) if max(sizes[a:b]) >= LENGTH]
+    return [(a, b) for a, b in slices(sizes, SLICE_BYTES) if max(sizes[a:b]) >= LENGTH]
 
 
 def remove_repeated(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, ``spans`` (removed bytes, start and stop) and ``kept`` (the other bytes) of each document."""
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes")).first()["bytes"] or 0
     parts = max(1, -(-size // PART_BYTES))
-    buckets = parts * BUCKETS_PER_PART
+    buckets = buckets_of(parts)
     dealt = docs.select(
         F.pmod(F.xxhash64("doc_id", "text"), F.lit(parts)).alias("part"), F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("binary").alias("text"),
