@@ -45,3 +45,41 @@ def test_tasks_follow_the_pairs_given(spark, monkeypatch):
     tasks = [r["n"] for r in fresh.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
     want = {(c, p) for c in range(2_000) for p in range(3_000) if (p % 3 == 0 or p % 2 == c % 2) and p != 2 * c}
     assert sum(tasks) == len(want) and len(tasks) > 20 and max(tasks) < 1_000_000
+
+
+def test_copies_of_offers_stay_in_proportion(spark, monkeypatch):
+    monkeypatch.setattr(vouchers, "PAIRS_TOGETHER", 1_000, raising=False)
+    told, join = [], vouchers.dealt_join
+
+    def spied(*args):
+        told.append({r["_for"]: r["_parts"] for r in args[-1].collect()})
+        return join(*args)
+
+    monkeypatch.setattr(vouchers, "dealt_join", spied)
+    people = spark.range(100).selectExpr("id AS customer_id", "1L AS tier_id")
+    offers = spark.range(20_000).selectExpr("1L AS tier_id", "id AS promotion_id")
+    held = spark.createDataFrame([(5, 7)], "customer_id long, promotion_id long")
+    fresh = offers_not_held(people, spark.range(3).withColumnRenamed("id", "tier_id"), offers, held)
+    # 2 million pairs would be 2,000 tasks with all 20,000 offers each.
+    assert told[0]["1"] <= 100 and fresh.count() == 100 * 20_000 - 1
+
+
+def test_people_meet_a_chunk_together(spark):
+    people = spark.range(200).selectExpr("id AS customer_id", "1L AS tier_id")
+    offers = spark.range(1_280).selectExpr("1L AS tier_id", "id AS promotion_id")
+    held = spark.createDataFrame([], "customer_id long, promotion_id long")
+    got = offers_not_held(people, spark.range(3).withColumnRenamed("id", "tier_id"), offers, held).collect()
+    assert len({(r.customer_id, r.promotion_id) for r in got}) == len(got) == 200 * 1_280
+    # Neighbouring rows seldom go over to other chunks: people by people they would do so 4,000 times.
+    changes = sum(a.promotion_id // 64 != b.promotion_id // 64 for a, b in zip(got, got[1:], strict=False))
+    assert changes < 200
+
+
+def test_people_without_id_or_alike_are_dealt_too(spark, monkeypatch):
+    monkeypatch.setattr(vouchers, "PAIRS_TOGETHER", 2_000, raising=False)
+    people = spark.range(400).selectExpr("CASE WHEN id % 2 = 0 THEN 7L END AS customer_id", "1L AS tier_id")
+    offers = spark.range(100).selectExpr("CASE WHEN id % 2 = 0 THEN 1L END AS tier_id", "id AS promotion_id")
+    held = spark.createDataFrame([(7, 3), (None, 4)], "customer_id long, promotion_id long")
+    fresh = offers_not_held(people, spark.range(3).withColumnRenamed("id", "tier_id"), offers, held)
+    tasks = [r["n"] for r in fresh.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()]
+    assert sum(tasks) == 200 * 100 + 200 * 99 and len(tasks) > 4
